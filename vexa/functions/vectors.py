@@ -79,13 +79,16 @@ def sign_bits(v, dim: int) -> Column:
     v = _c(v)
     words = (dim + 63) // 64
 
+    # bit i of a word as a signed long (bit 63 is the sign bit)
+    powers = F.array(*[F.lit((1 << i) if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
+
     def word(w):
         return F.aggregate(
             F.sequence(F.lit(0), F.lit(63)),
             F.lit(0).cast("long"),
             lambda acc, i: F.when(
-                (w * 64 + i < dim) & (F.element_at(v, w * 64 + i + 1) > 0),
-                acc.bitwiseOR(F.shiftleft(F.lit(1).cast("long"), i)),
+                (w * 64 + i < dim) & (F.try_element_at(v, w * 64 + i + 1) > 0),
+                acc.bitwiseOR(F.element_at(powers, i + 1)),
             ).otherwise(acc),
         )
 

@@ -237,3 +237,34 @@ def centroid_queries(df: DataFrame, group_col: str, vec_col: str,
 
 def rounded(df: DataFrame, col: str = "score", places: int = 6) -> DataFrame:
     return df.withColumn(col, F.round(F.col(col), places))
+
+
+def fetch_fields(hits: DataFrame, payloads: list[tuple[DataFrame, str, str]]) -> DataFrame:
+    """Join wide payload columns onto the (small) hit list late.
+
+    Each payload table is first cut down by a semi-join with the broadcast
+    hit keys (the hit list is bounded by queries x k), so the wide table is
+    scanned once and never shuffled whole.
+    """
+    out = hits
+    for payload, key, how in payloads:
+        keys = F.broadcast(hits.select(key).distinct())
+        small = payload.join(keys, key, "left_semi")
+        out = out.join(small, key, how)
+    return out
+
+
+def export_batches(scored: DataFrame, score_col: str, id_col: str, batch_size: int,
+                   limit: int | None = None, ascending: bool = True) -> DataFrame:
+    """Every row in (score, id) order with a global position ``rn`` and
+    ``batch_no = (rn - 1) div batch_size``; rows past ``limit`` dropped.
+
+    Numbering goes through ``global_row_number`` (range partitions plus
+    offsets), never through one global window."""
+    from vexa.operators.ordering import batch_number, global_row_number
+    order = [F.col(score_col).asc() if ascending else F.col(score_col).desc(), F.col(id_col).asc()]
+    n = global_row_number(scored, order, "rn")
+    if limit is not None:
+        n = n.where(F.col("rn") <= limit)
+    return n.select(batch_number(F.col("rn"), batch_size).alias("batch_no"), "rn", id_col,
+                    F.round(F.col(score_col), 6).alias(score_col))

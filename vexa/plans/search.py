@@ -11,9 +11,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vexa.functions import vectors as V
-from vexa.operators.knn import centroid_queries, rounded, top_k
+from vexa.operators.common import vector_dim
+from vexa.operators.knn import centroid_queries, export_batches, fetch_fields, rounded, top_k
+from vexa.operators.sparse import sparse_ip_topk, text_postings
 from vexa.plans import sql_snippets as S
 from vexa.plans.registry import load, register
+from vexa.session import scratch_path
+from vexa.sources.tables import write_partitioned
 
 K = 10
 
@@ -54,3 +58,167 @@ def knn_l2(spark, sf):
 def knn_filtered(spark, sf):
     base = _emb(spark, sf).where(F.col("label") >= 5)
     return _knn(base, _centroids(spark, sf), "L2")
+
+
+# --- O54 / O55 inner product and cosine on a deterministically scaled base --
+@register("knn_ip", _sql_knn(S.ip("b.v", "q.qv"), order="DESC",
+                             base=f"(SELECT vec_id, {S.scaled('embedding', SCALE_SQL)} AS v FROM embeddings) b"))
+def knn_ip(spark, sf):
+    return _knn(_scaled(_emb(spark, sf)), _centroids(spark, sf), "IP")
+
+
+@register("knn_cosine", _sql_knn(S.cosine("b.v", "q.qv"), order="DESC",
+                                 base=f"(SELECT vec_id, {S.scaled('embedding', SCALE_SQL)} AS v FROM embeddings) b"))
+def knn_cosine(spark, sf):
+    return _knn(_scaled(_emb(spark, sf)), _centroids(spark, sf), "COSINE")
+
+
+# --- O56 normalisation ----------------------------------------------------
+@register("normalize_vectors", f"""
+SELECT vec_id, round({S.norm('v')}, 6) AS norm_before,
+       round({S.norm('u')}, 6) AS norm_after, round(u[1], 6) AS first_component
+FROM (SELECT vec_id, v, CASE WHEN {S.norm('v')} = 0 THEN list_transform(v, lambda x: 0.0::DOUBLE)
+                             ELSE list_transform(v, lambda x: x / {S.norm('v')}) END AS u
+      FROM (SELECT vec_id, {S.scaled('embedding', SCALE_SQL)} AS v FROM embeddings))""")
+def normalize_vectors(spark, sf):
+    df = _scaled(_emb(spark, sf)).withColumn("u", V.normalize("embedding"))
+    return df.select("vec_id", F.round(V.norm("embedding"), 6).alias("norm_before"),
+                     F.round(V.norm("u"), 6).alias("norm_after"),
+                     F.round(F.element_at("u", 1), 6).alias("first_component"))
+
+
+# --- O57 / O58 binary vectors (sign bits packed in 64-bit words) -------------
+def _bits(spark, sf):
+    emb = _emb(spark, sf)
+    dim = vector_dim(emb, "embedding")
+    base = emb.select("vec_id", V.sign_bits("embedding", dim).alias("bits"))
+    q = _centroids(spark, sf).select("qid", V.sign_bits("qv", dim).alias("qv"))
+    return base, q
+
+
+@register("knn_hamming", _sql_knn(S.hamming_sign("b.embedding", "q.qv")))
+def knn_hamming(spark, sf):
+    base, q = _bits(spark, sf)
+    return _knn(base, q, "HAMMING", vec_col="bits")
+
+
+@register("knn_jaccard", _sql_knn(S.jaccard_sign("b.embedding", "q.qv")))
+def knn_jaccard(spark, sf):
+    base, q = _bits(spark, sf)
+    return _knn(base, q, "JACCARD", vec_col="bits")
+
+
+# --- O59 sparse inner product (term-frequency vectors, 20 % of query weights dropped)
+SPARSE_SQL = f"""
+WITH d AS (SELECT doc_id, t AS term, count(*)::DOUBLE AS w
+           FROM (SELECT doc_id, unnest({S.tokens('text')}) AS t FROM documents) GROUP BY 1, 2),
+qt AS (SELECT item_id AS qid, t AS term, count(*)::DOUBLE AS w
+       FROM (SELECT item_id, unnest({S.tokens('text')}) AS t FROM benchmark) GROUP BY 1, 2),
+qr AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY w, term) AS r,
+              count(*) OVER (PARTITION BY qid) AS n FROM qt),
+qk AS (SELECT qid, term, w AS qw FROM qr WHERE r > floor(n * 0.2e0)),
+s AS (SELECT qid, doc_id, sum(w * qw) AS d FROM d JOIN qk USING (term) GROUP BY 1, 2)
+{S.topk('SELECT * FROM s', K, 'DESC', 'doc_id')}"""
+
+
+@register("sparse_ip_topk", SPARSE_SQL)
+def sparse_ip(spark, sf):
+    docs = text_postings(load(spark, sf, "documents"), "doc_id", "text")
+    qs = text_postings(load(spark, sf, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "qid")
+    return rounded(sparse_ip_topk(docs, qs, k=K, drop_ratio=0.2, id_col="doc_id"))
+
+
+# --- O61 search inside named partitions and across all of them --------------
+@register("knn_partitions", f"""
+WITH {S.CENTROIDS},
+named AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.l2('b.embedding', 'q.qv')} AS d FROM embeddings b, q WHERE b.label IN (1, 3)", K, 'ASC', 'vec_id')}),
+every AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.l2('b.embedding', 'q.qv')} AS d FROM embeddings b, q", K, 'ASC', 'vec_id')})
+SELECT 'named' AS scope, * FROM named UNION ALL SELECT 'all' AS scope, * FROM every""")
+def knn_partitions(spark, sf):
+    path = scratch_path(spark, "partitioned-embeddings")
+    write_partitioned(_emb(spark, sf), path, "label")
+    table = spark.read.parquet(path)
+    q = _centroids(spark, sf)
+    named = _knn(table.where(F.col("label").isin(1, 3)), q).withColumn("scope", F.lit("named"))
+    every = _knn(table, q).withColumn("scope", F.lit("all"))
+    return named.unionByName(every)
+
+
+# --- O62 several vector fields of one row, each with its own metric ---------
+@register("knn_multi_field", f"""
+WITH {S.CENTROIDS},
+f1 AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.l2('b.embedding', 'q.qv')} AS d FROM embeddings b, q", K, 'ASC', 'vec_id')}),
+f2 AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.ip('b.embedding[1:32]', 'q.qv[1:32]')} AS d FROM embeddings b, q", K, 'DESC', 'vec_id')})
+SELECT 'embedding' AS field, * FROM f1 UNION ALL SELECT 'head32' AS field, * FROM f2""")
+def knn_multi_field(spark, sf):
+    emb = _emb(spark, sf).withColumn("head32", F.slice("embedding", 1, 32))
+    q = _centroids(spark, sf)
+    q32 = q.withColumn("qv", F.slice("qv", 1, 32))
+    a = _knn(emb, q, "L2").withColumn("field", F.lit("embedding"))
+    b = _knn(emb, q32, "IP", vec_col="head32").withColumn("field", F.lit("head32"))
+    return a.unionByName(b)
+
+
+# --- O63 late fetch of payload columns for the hits -------------------------
+@register("knn_fetch_fields", f"""
+WITH {S.CENTROIDS},
+h AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.l2('b.embedding', 'q.qv')} AS d FROM embeddings b, q", K, 'ASC', 'vec_id')})
+SELECT h.*, e.label, d.lang, d.n_chars FROM h
+JOIN embeddings e ON e.vec_id = h.vec_id LEFT JOIN documents d ON d.doc_id = h.vec_id""")
+def knn_fetch_fields(spark, sf):
+    emb = _emb(spark, sf)
+    hits = _knn(emb.select("vec_id", "embedding"), _centroids(spark, sf))
+    return fetch_fields(hits, [(emb.select("vec_id", "label"), "vec_id", "inner"),
+                               (load(spark, sf, "documents").select(F.col("doc_id").alias("vec_id"), "lang", "n_chars"),
+                                "vec_id", "left")])
+
+
+# --- O20 the same search at several dimensions ------------------------------
+DIMS = (2, 16, 64)
+
+
+def _dims_sql():
+    parts = []
+    for d in DIMS:
+        cand = f"SELECT q.qid, b.vec_id, {S.l2(f'b.embedding[1:{d}]', f'q.qv[1:{d}]')} AS d FROM embeddings b, q"
+        parts.append(f"SELECT {d} AS dim, * FROM ({S.topk(cand, K, 'ASC', 'vec_id')})")
+    return f"WITH {S.CENTROIDS}\n" + "\nUNION ALL\n".join(parts)
+
+
+@register("vector_dims", _dims_sql())
+def vector_dims(spark, sf):
+    emb, q = _emb(spark, sf), _centroids(spark, sf)
+    out = None
+    for d in DIMS:
+        r = _knn(emb.withColumn("embedding", F.slice("embedding", 1, d)),
+                 q.withColumn("qv", F.slice("qv", 1, d))).withColumn("dim", F.lit(d))
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+# --- O22 first five components ----------------------------------------------
+@register("vector_head", """
+SELECT vec_id, list_transform(embedding[1:5], lambda x: round(x::DOUBLE, 6)) AS head FROM embeddings""")
+def vector_head(spark, sf):
+    return _emb(spark, sf).select(
+        "vec_id", F.transform(V.head("embedding", 5), lambda x: F.round(x.cast("double"), 6)).alias("head"))
+
+
+# --- O10 search iterator: every row by distance, in numbered batches ---------
+EXPORT_BATCH = 100
+EXPORT_LIMIT = 10_000
+
+
+@register("export_batches", f"""
+WITH g AS (SELECT list(m ORDER BY pos) AS qv FROM (
+             SELECT pos, avg(x::DOUBLE) AS m FROM (
+               SELECT unnest(embedding) AS x, unnest(range(1, len(embedding) + 1)) AS pos FROM embeddings)
+             GROUP BY pos)),
+r AS (SELECT b.vec_id, {S.l2('b.embedding', 'g.qv')} AS d FROM embeddings b, g),
+n AS (SELECT vec_id, d, row_number() OVER (ORDER BY d, vec_id) AS rn FROM r)
+SELECT (rn - 1) // {EXPORT_BATCH} AS batch_no, rn, vec_id, round(d, 6) AS score FROM n WHERE rn <= {EXPORT_LIMIT}""")
+def export_batches_q(spark, sf):
+    emb = _emb(spark, sf)
+    g = centroid_queries(emb.withColumn("_all", F.lit(0)), "_all", "embedding").first()
+    scored = emb.select("vec_id", V.l2_sq("embedding", V.literal_vector(g["qv"])).alias("score"))
+    return export_batches(scored, "score", "vec_id", EXPORT_BATCH, EXPORT_LIMIT)
