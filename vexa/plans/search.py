@@ -48,7 +48,10 @@ def _sql_knn(dist: str, where: str = "", order: str = "ASC", base: str = "embedd
 
 
 # --- O53 exact L2 ---------------------------------------------------------
-@register("knn_l2", _sql_knn(S.l2("b.embedding", "q.qv")))
+ORACLES_KNN_L2 = _sql_knn(S.l2("b.embedding", "q.qv"))
+
+
+@register("knn_l2", ORACLES_KNN_L2)
 def knn_l2(spark, sf):
     return _knn(_emb(spark, sf), _centroids(spark, sf), "L2")
 
