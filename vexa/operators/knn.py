@@ -80,11 +80,12 @@ def _bit_keys(metric: str, Q: np.ndarray, B: np.ndarray) -> np.ndarray:
         return np.where(union == 0, 0.0, 1.0 - inter / np.where(union == 0, 1.0, union))
 
 
-def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type, id_type):
+def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type, id_type,
+                    cell_col: str | None = None):
     binary = metric in BINARY
 
     def run(batches):
-        qids, Q = bq.value
+        qids, Q, probe = bq.value
         m = len(qids)
         qn = np.einsum("ij,ij->i", Q, Q) if not binary else None
         width = Q.shape[1]
@@ -100,12 +101,16 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
                 B_all = flat.astype(np.int64).view(np.uint64).reshape(n, width)
             else:
                 B_all = flat.astype(np.float64).reshape(n, width)
+            cells_all = batch.column(cell_col).to_numpy(zero_copy_only=False) if probe is not None else None
             step = max(1, BLOCK_CELLS // max(1, m * (width if binary else 1)))
             for lo in range(0, n, step):
                 ids = ids_all[lo:lo + step]
                 B = B_all[lo:lo + step]
                 K = _bit_keys(metric, Q, B) if binary else _dense_keys(metric, Q, qn, B)
                 K = np.where(np.isnan(K), np.inf, K)
+                if probe is not None:
+                    # a query only sees rows of the cells it probes
+                    K = np.where(probe[:, cells_all[lo:lo + step]], K, np.inf)
                 if st_ids is None:
                     st_ids = np.empty((m, 0), dtype=ids.dtype)
                 sc = st_keys.shape[1]
@@ -132,10 +137,11 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
             return
         c = st_keys.shape[1]
         scores = st_keys if ASCENDING[metric] else -st_keys
+        keep = np.isfinite(st_keys).reshape(-1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(qids, c), type=qid_type),
-             pa.array(st_ids.reshape(-1), type=id_type),
-             pa.array(scores.reshape(-1), type=pa.float64())],
+            [pa.array(np.repeat(qids, c)[keep], type=qid_type),
+             pa.array(st_ids.reshape(-1)[keep], type=id_type),
+             pa.array(scores.reshape(-1)[keep], type=pa.float64())],
             names=["qid", id_col, "score"])
 
     return run
@@ -169,13 +175,17 @@ def query_passes(queries: DataFrame, qid_col: str, dim_hint: int | None,
 def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2",
           id_col: str = "id", vec_col: str = "vector", qid_col: str = "qid",
           qvec_col: str = "qv", dim: int | None = None,
-          max_queries_per_pass: int = MAX_QUERIES_PER_PASS) -> DataFrame:
+          max_queries_per_pass: int = MAX_QUERIES_PER_PASS,
+          cell_col: str | None = None, probes: DataFrame | None = None, n_cells: int = 0) -> DataFrame:
     """Exact top-k of every query over ``base`` (already filtered by the caller).
 
     ``base`` needs ``id_col`` and ``vec_col`` (array<float|double>, or
     array<long> packed bits for HAMMING / JACCARD).  Rows whose vector is
     null or of another length than the queries are skipped (rejected at
     write time by ``sources.schema``).
+
+    With ``probes(qid, cell)`` (IVF search) a query scores only rows whose
+    ``cell_col`` it probes; the probe table is bounded by queries x nprobe.
     """
     metric = metric.upper()
     spark = base.sparkSession
@@ -197,9 +207,17 @@ def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2
             Q = np.array([r[1] for r in rows], dtype=np.int64).view(np.uint64).reshape(len(rows), d)
         else:
             Q = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), d)
-        bq = sc.broadcast((qids, Q))
-        fn = _partition_topk(bq, k, metric, id_col, vec_col, _arrow_type(qid_dt), _arrow_type(id_dt))
-        cand = (base.select(id_col, vec_col)
+        probe = None
+        if probes is not None:
+            pos = {q: i for i, q in enumerate(qids.tolist())}
+            probe = np.zeros((len(qids), n_cells), dtype=bool)
+            for qid, cell in probes.select("qid", "cell").collect():  # bounded: queries x nprobe
+                if qid in pos:
+                    probe[pos[qid], int(cell)] = True
+        bq = sc.broadcast((qids, Q, probe))
+        fn = _partition_topk(bq, k, metric, id_col, vec_col, _arrow_type(qid_dt), _arrow_type(id_dt), cell_col)
+        cols = [id_col, vec_col] + ([cell_col] if probe is not None else [])
+        cand = (base.select(*cols)
                 .where(F.size(F.col(vec_col)) == d)
                 .mapInArrow(fn, out_schema))
         parts.append(cand)
