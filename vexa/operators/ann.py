@@ -118,3 +118,119 @@ def fp16_encode(v: pd.Series) -> pd.Series:
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def fp16_decode(b: pd.Series) -> pd.Series:
     return b.map(lambda x: None if x is None else np.frombuffer(x, dtype="<f2").astype(np.float32))
+
+
+# --- product quantization ----------------------------------------------------------
+@dataclass
+class PqCodebook:
+    m: int
+    ksub: int
+    dsub: int
+    centers: np.ndarray   # m x ksub x dsub (bounded; broadcast to tasks)
+
+
+def pq_train(spark: SparkSession, df: DataFrame, vec_col: str, m: int, ksub: int = 16, seed: int = 42,
+             sample_fraction: float | None = None) -> PqCodebook:
+    """One MLlib KMeans per sub-space (Jegou et al. 2011)."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.functions import array_to_vector
+
+    dim = int(df.select(F.max(F.size(vec_col))).first()[0])
+    dsub = dim // m
+    src = df.select(vec_col)
+    if sample_fraction and sample_fraction < 1.0:
+        src = src.sample(fraction=sample_fraction, seed=seed)
+    src = src.where(F.size(vec_col) == dim)
+    cents = []
+    for j in range(m):
+        sub = src.select(array_to_vector(F.slice(vec_col, j * dsub + 1, dsub)).alias("features"))
+        model = KMeans(k=ksub, seed=seed + j, featuresCol="features", maxIter=20).fit(sub)
+        c = np.array([list(x) for x in model.clusterCenters()], dtype=np.float64)
+        if c.shape[0] < ksub:  # fewer distinct points than centroids
+            c = np.vstack([c, np.repeat(c[-1:], ksub - c.shape[0], axis=0)])
+        cents.append(c)
+    return PqCodebook(m, ksub, dsub, np.stack(cents))
+
+
+def pq_encode(df: DataFrame, id_col: str, vec_col: str, book: PqCodebook) -> DataFrame:
+    """``(id, codes array<int>)``: nearest sub-centroid per sub-space, per Arrow batch."""
+    bc = df.sparkSession.sparkContext.broadcast(book.centers)
+    m, dsub = book.m, book.dsub
+    id_type = df.schema[id_col].dataType
+
+    def enc(batches):
+        import pyarrow as pa
+        C = bc.value
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            X = b.column(vec_col).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
+            codes = np.empty((n, m), dtype=np.int32)
+            for j in range(m):
+                S = X[:, j * dsub:(j + 1) * dsub]
+                d = (S * S).sum(1)[:, None] + (C[j] * C[j]).sum(1)[None, :] - 2 * S @ C[j].T
+                codes[:, j] = d.argmin(1)
+            off = np.arange(0, (n + 1) * m, m, dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(id_col), pa.ListArray.from_arrays(pa.array(off), pa.array(codes.reshape(-1)))],
+                names=[id_col, "codes"])
+
+    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("codes", T.ArrayType(T.IntegerType()))])
+    d = df.select(id_col, vec_col).where(F.size(vec_col) == m * dsub)
+    return d.mapInArrow(enc, schema)
+
+
+def pq_search(codes: DataFrame, base: DataFrame, queries: DataFrame, book: PqCodebook, *, id_col: str,
+              vec_col: str, k: int = 10, rerank: int = 50) -> DataFrame:
+    """Asymmetric-distance top-``rerank`` per query over the codes, then exact
+    L2 re-rank of those candidates (fetched by a semi-join with the base)."""
+    from vexa.operators.knn import _select
+
+    rows = queries.select("qid", "qv").collect()  # query batch, bounded like top_k's
+    qids = np.array([r[0] for r in rows])
+    Q = np.array([r[1] for r in rows], dtype=np.float64)
+    m, dsub = book.m, book.dsub
+    lut = np.stack([((Q[:, None, j * dsub:(j + 1) * dsub] - book.centers[j][None, :, :]) ** 2).sum(-1)
+                    for j in range(m)], axis=1)  # q x m x ksub
+    bc = codes.sparkSession.sparkContext.broadcast((qids, lut))
+    id_type = codes.schema[id_col].dataType
+    qid_type = queries.schema["qid"].dataType
+
+    def adc(batches):
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_type
+        qid_arr, L = bc.value
+        nq = len(qid_arr)
+        keys = np.empty((nq, 0))
+        ids = None
+        for b in batches:
+            n = b.num_rows
+            if n == 0:
+                continue
+            cid = b.column(id_col).to_numpy(zero_copy_only=False)
+            C = b.column("codes").flatten().to_numpy(zero_copy_only=False).reshape(n, m)
+            K = np.zeros((nq, n))
+            for j in range(m):
+                K += L[:, j, :][:, C[:, j]]
+            if ids is None:
+                ids = np.empty((nq, 0), dtype=cid.dtype)
+            allk = np.hstack([keys, K])
+            allid = np.hstack([ids, np.broadcast_to(cid, (nq, n))])
+            sel = _select(allk, lambda r, cols: allid[r, cols], rerank)
+            keys, ids = np.take_along_axis(allk, sel, 1), np.take_along_axis(allid, sel, 1)
+        if ids is None:
+            return
+        c = keys.shape[1]
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid_arr, c), type=to_arrow_type(qid_type)),
+                                          pa.array(ids.reshape(-1),
+                                          type=to_arrow_type(id_type))], names=["qid", id_col])
+
+    schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField(id_col, id_type)])
+    cand = codes.mapInArrow(adc, schema).distinct()
+    ids = F.broadcast(cand.select(id_col).distinct())  # bounded: queries x rerank x tasks
+    vecs = base.select(id_col, vec_col).join(ids, id_col, "left_semi")
+    from vexa.functions.vectors import l2_sq
+    qv = F.broadcast(queries.select("qid", "qv"))
+    scored = cand.join(qv, "qid").join(vecs, id_col).select("qid", id_col, l2_sq(vec_col, "qv").alias("score"))
+    return rank_within(scored, ["qid"], [F.col("score").asc(), F.col(id_col).asc()], k)

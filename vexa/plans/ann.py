@@ -133,3 +133,15 @@ def report_all(spark, sf):
     g = _grid(spark, sf)
     return g.select("filter_name", "nprobe", "recall", F.round("seconds", 4).alias("seconds"),
                     F.round("qps", 4).alias("qps"))
+
+
+PQ_M, PQ_KSUB, PQ_RERANK = 8, 16, 50
+
+
+@register("pq_encode_search")
+def pq_encode_search(spark, sf):
+    emb = _emb(spark, sf)
+    book = A.pq_train(spark, emb, "embedding", PQ_M, PQ_KSUB, seed=42)
+    codes = A.pq_encode(emb, "vec_id", "embedding", book)
+    return A.pq_search(codes, emb, _queries(spark, sf), book, id_col="vec_id", vec_col="embedding", k=K,
+                       rerank=PQ_RERANK).withColumn("score", F.round("score", 6))
