@@ -82,6 +82,36 @@ def ivf_search(spark: SparkSession, index: IvfIndex, queries: DataFrame, *, k: i
                  cell_col="cell", probes=probes, n_cells=index.nlist)
 
 
+def ivf_probes(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
+    """``(qid, cell, rank)`` of the nprobe nearest centroids per query, kept as a
+    local relation (bounded: queries x nprobe) so several searches share it."""
+    from vexa.operators.knn import local_queries
+    p = top_k(index.centroids, queries, k=nprobe, metric="L2", id_col="cell", vec_col="centroid")
+    return local_queries(p.select("qid", "cell", "rank"), max_rows=1 << 20)
+
+
+def ivf_search_settings(spark: SparkSession, index: IvfIndex, queries: DataFrame, nprobes: list[int], *,
+                        k: int = 10, metric: str = "L2", where=None, probes: DataFrame | None = None) -> DataFrame:
+    """Every nprobe setting in one scan: the (bounded) query set is repeated
+    once per setting with its own probe mask, so a grid of S settings costs
+    one pass over the probed cells instead of S.  Output has ``nprobe``."""
+    S = len(nprobes)
+    probes = probes if probes is not None else ivf_probes(index, queries, max(nprobes))
+    setting = F.explode(F.array(*[F.lit(i) for i in range(S)])).alias("s")
+    limit = F.element_at(F.array(*[F.lit(n) for n in nprobes]), F.col("s") + 1)
+    px = (probes.select("qid", "cell", "rank", setting).where(F.col("rank") <= limit)
+          .select((F.col("qid").cast("long") * S + F.col("s")).alias("qid"), "cell"))
+    qx = queries.select("qid", "qv", setting).select((F.col("qid").cast("long") * S + F.col("s")).alias("qid"), "qv")
+    cells = sorted({int(r[0]) for r in probes.select("cell").distinct().collect()})  # <= nlist values
+    base = index.table(spark).where(F.col("cell").isin(*cells))
+    if where is not None:
+        base = base.where(where)
+    hits = top_k(base, qx, k=k, metric=metric, id_col=index.id_col, vec_col=index.vec_col,
+                 cell_col="cell", probes=px, n_cells=index.nlist)
+    np_of = F.element_at(F.array(*[F.lit(n) for n in nprobes]), (F.col("qid") % S).cast("int") + 1)
+    return hits.select(F.floor(F.col("qid") / S).alias("qid"), np_of.alias("nprobe"), index.id_col, "score", "rank")
+
+
 def lsh_search(df: DataFrame, queries: DataFrame, id_col: str, vec_col: str, *, k: int = 10,
                bucket_length: float = 0.5, num_tables: int = 8, threshold: float = 2.0, seed: int = 42) -> DataFrame:
     """Candidates from bucket collisions (approxSimilarityJoin), exact L2 ranks them."""

@@ -286,3 +286,13 @@ def export_batches(scored: DataFrame, score_col: str, id_col: str, batch_size: i
         n = n.where(F.col("rn") <= limit)
     return n.select(batch_number(F.col("rn"), batch_size).alias("batch_no"), "rn", id_col,
                     F.round(F.col(score_col), 6).alias(score_col))
+
+
+def local_queries(queries: DataFrame, max_rows: int = MAX_QUERIES_PER_PASS) -> DataFrame:
+    """Evaluate a small query set once and keep it as a local relation, so
+    repeated searches (grids, several metrics) do not recompute it.  A set
+    larger than ``max_rows`` stays distributed and is split into passes."""
+    rows = queries.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return queries
+    return queries.sparkSession.createDataFrame(rows, queries.schema)

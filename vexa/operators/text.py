@@ -3,11 +3,12 @@
 Index build (one job, persisted to the shared scratch folder and re-read,
 which also cuts lineage):
 
-* postings  ``(term, doc_id, tf)``  -- explode + count per (doc, term);
-* doc table ``(doc_id, dl)``        -- token count per document, map-side;
-* term table ``(term, df)``         -- count per term, map-side partial agg,
-                                       so a term in every document costs one
-                                       partial row per task.
+* postings  ``(term, doc_id, dl, tf)`` -- explode + count per (doc, term),
+                                          the document length carried along;
+* term table ``(term, df)``            -- count per term, map-side partial agg,
+                                          so a term in every document costs one
+                                          partial row per task;
+* N = row count of the input, avgdl = sum(tf) / N.
 
 Postings are range-partitioned and sorted by term before writing, so a
 query's terms hit few files and Parquet min/max statistics skip the rest.
@@ -41,8 +42,7 @@ TIE_PLACES = 9
 
 @dataclass
 class TextIndex:
-    postings: DataFrame   # term, doc_id, tf
-    docs: DataFrame       # doc_id, dl
+    postings: DataFrame   # term, doc_id, dl, tf  (doc length carried on every posting)
     terms: DataFrame      # term, df
     n_docs: int
     avgdl: float
@@ -50,20 +50,20 @@ class TextIndex:
 
 def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 path: str | None = None) -> TextIndex:
+    """One tokenization pass; the document length rides on each posting, so
+    a query never joins a per-document table."""
     path = path or scratch_path(spark, "text-index")
     tok = docs.select(F.col(id_col).alias("doc_id"), tokenize(text_col).alias("tokens"))
-    dl = tok.select("doc_id", F.size("tokens").cast("long").alias("dl"))
-    postings = (tok.select("doc_id", F.explode("tokens").alias("term"))
-                .groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf")))
+    postings = (tok.select("doc_id", F.size("tokens").cast("long").alias("dl"), F.explode("tokens").alias("term"))
+                .groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")))
     n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (postings.repartitionByRange(n_part, "term").sortWithinPartitions("term", "doc_id")
      .write.parquet(f"{path}/postings"))
-    dl.write.parquet(f"{path}/docs")
     p = spark.read.parquet(f"{path}/postings")
     p.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{path}/terms")
-    d = spark.read.parquet(f"{path}/docs")
-    st = d.agg(F.count(F.lit(1)).alias("n"), F.avg(F.col("dl").cast("double")).alias("avgdl")).first()
-    return TextIndex(p, d, spark.read.parquet(f"{path}/terms"), int(st["n"]), float(st["avgdl"] or 0.0))
+    n_docs = docs.count()  # every document, also those without tokens
+    total = p.agg(F.sum("tf")).first()[0] or 0
+    return TextIndex(p, spark.read.parquet(f"{path}/terms"), int(n_docs), float(total) / n_docs if n_docs else 0.0)
 
 
 def query_terms(queries: DataFrame, qid_col: str, text_col: str) -> DataFrame:
@@ -76,7 +76,7 @@ def bm25_topk(index: TextIndex, qterms: DataFrame, k: int = 10, k1: float = K1,
     q = qterms.join(index.terms, "term").withColumn(
         "idf", F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5))))
     q = broadcast_if_small(q.select("qid", "term", "idf"))
-    hits = index.postings.join(q, "term").join(index.docs, "doc_id")
+    hits = index.postings.join(q, "term")
     tf = F.col("tf").cast("double")
     part = F.col("idf") * (tf * F.lit(k1 + 1.0)) / (
         tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl)))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from vexa.functions import vectors as V
 from vexa.operators import ann as A
 from vexa.operators import evaluate as E
-from vexa.operators.knn import centroid_queries, top_k
+from vexa.operators.knn import centroid_queries, local_queries, top_k
 from vexa.plans import sql_snippets as S
 from vexa.plans.registry import load, register
 
@@ -30,7 +30,7 @@ def _emb(spark, sf):
 
 
 def _queries(spark, sf):
-    return centroid_queries(_emb(spark, sf), "label", "embedding")
+    return local_queries(centroid_queries(_emb(spark, sf), "label", "embedding"))
 
 
 def _cond(expr):
@@ -102,23 +102,34 @@ def recall_at_k(spark, sf):
     return r.withColumn("recall", F.round("recall", 4))
 
 
-def _grid(spark, sf, timed=False):
+def _grid(spark, sf):
+    """recall@k over filters x nprobe; one search pass per filter covers all
+    nprobe settings, one recall job per filter."""
     emb, q = _emb(spark, sf), _queries(spark, sf)
     idx = _index(spark, sf)
     n_q = q.count()
-    rows = []
+    probes = A.ivf_probes(idx, q, max(NPROBES))  # filter-independent, shared by the grid
+    out = None
     for name, expr in FILTERS.items():
         cond = _cond(expr)
+        t0 = time.time()
         truth = top_k(emb if cond is None else emb.where(cond), q, k=K, id_col="vec_id", vec_col="embedding")
-        for nprobe in NPROBES:
-            t0 = time.time()
-            found = A.ivf_search(spark, idx, q, k=K, nprobe=nprobe, where=cond)
-            per = E.recall_per_query(found, truth, "vec_id", K)
-            rec = E.mean_recall(per).first()["recall"]
-            sec = time.time() - t0
-            rows.append((name, nprobe, float(rec), sec, n_q / sec if sec > 0 else 0.0))
-    schema = "filter_name string, nprobe int, recall double, seconds double, qps double"
-    return spark.createDataFrame(rows, schema)
+        found = A.ivf_search_settings(spark, idx, q, list(NPROBES), k=K, where=cond, probes=probes)
+        t = truth.select(F.col("qid").cast("long").alias("qid"), "vec_id")
+        n_truth = t.groupBy("qid").agg(F.count(F.lit(1)).alias("n_truth"))
+        hits = found.join(t, ["qid", "vec_id"]).groupBy("qid", "nprobe").agg(F.count(F.lit(1)).alias("hits"))
+        per = (n_truth.select("qid", "n_truth", F.explode(F.array(*[F.lit(n) for n in NPROBES])).alias("nprobe"))
+               .join(hits, ["qid", "nprobe"], "left").fillna(0, ["hits"]))
+        den = F.least(F.lit(K), F.col("n_truth"))
+        rec = per.groupBy("nprobe").agg(F.round(F.avg(F.when(den == 0, 1.0).otherwise(F.col("hits") / den)), 4)
+                                        .alias("recall"))
+        rows = rec.collect()  # one row per setting
+        sec = (time.time() - t0) / len(NPROBES)
+        part = spark.createDataFrame([(name, int(r.nprobe), float(r.recall), sec, n_q / sec if sec else 0.0)
+                                      for r in rows],
+                                     "filter_name string, nprobe int, recall double, seconds double, qps double")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @register("search_grid")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from vexa.functions import vectors as V
 from vexa.operators.common import vector_dim
-from vexa.operators.knn import centroid_queries, export_batches, fetch_fields, rounded, top_k
+from vexa.operators.knn import centroid_queries, export_batches, fetch_fields, local_queries, rounded, top_k
 from vexa.operators.sparse import sparse_ip_topk, text_postings
 from vexa.plans import sql_snippets as S
 from vexa.plans.registry import load, register
@@ -27,7 +27,7 @@ def _emb(spark, sf):
 
 
 def _centroids(spark, sf):
-    return centroid_queries(_emb(spark, sf), "label", "embedding")
+    return local_queries(centroid_queries(_emb(spark, sf), "label", "embedding"))
 
 
 def _knn(base, queries, metric="L2", k=K, id_col="vec_id", vec_col="embedding"):
