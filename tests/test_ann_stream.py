@@ -45,3 +45,24 @@ def test_stream_delete_prefixes_and_replay(spark):
     w(parts[0], 0)
     w(parts[0], 0)
     assert spark.read.parquet(sink).count() == 10
+
+
+def test_pq_rerank_recall_and_lsh_shape(spark):
+    emb = load(spark, SF, "embeddings")
+    q = emb.where("vec_id < 20").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    truth = top_k(emb, q, k=10, id_col="vec_id", vec_col="embedding")
+    book = A.pq_train(spark, emb, "embedding", 8, 16, seed=42)
+    assert book.centers.shape == (8, 16, 8)
+    codes = A.pq_encode(emb, "vec_id", "embedding", book)
+    assert codes.count() == emb.count()
+    found = A.pq_search(codes, emb, q, book, id_col="vec_id", vec_col="embedding", k=10, rerank=100)
+    rec = E.mean_recall(E.recall_per_query(found, truth, "vec_id", 10)).first()["recall"]
+    assert rec >= 0.8
+    lsh = A.lsh_search(emb, q, "vec_id", "embedding", k=10, bucket_length=0.25, num_tables=8, threshold=2.0)
+    rows = lsh.collect()
+    per = {}
+    for r in rows:
+        per.setdefault(r.qid, []).append(r)
+    assert all(len(v) <= 10 for v in per.values())
+    # each query vector is its own nearest neighbour when it collides with itself
+    assert all(min(v, key=lambda r: r.rank).vec_id == qid for qid, v in per.items())
