@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vexa.operators.common import rank_within
+from vexa.operators.common import broadcast_if_small, rank_within
 from vexa.operators.knn import top_k
 from vexa.session import scratch_path
 
@@ -258,9 +258,9 @@ def pq_search(codes: DataFrame, base: DataFrame, queries: DataFrame, book: PqCod
 
     schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField(id_col, id_type)])
     cand = codes.mapInArrow(adc, schema).distinct()
-    ids = F.broadcast(cand.select(id_col).distinct())  # bounded: queries x rerank x tasks
+    ids = broadcast_if_small(cand.select(id_col).distinct())  # queries x rerank x tasks, checked
     vecs = base.select(id_col, vec_col).join(ids, id_col, "left_semi")
     from vexa.functions.vectors import l2_sq
-    qv = F.broadcast(queries.select("qid", "qv"))
+    qv = F.broadcast(queries.select("qid", "qv"))  # the query batch collected above (bounded)
     scored = cand.join(qv, "qid").join(vecs, id_col).select("qid", id_col, l2_sq(vec_col, "qv").alias("score"))
     return rank_within(scored, ["qid"], [F.col("score").asc(), F.col(id_col).asc()], k)

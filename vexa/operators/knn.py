@@ -260,13 +260,14 @@ def rounded(df: DataFrame, col: str = "score", places: int = 6) -> DataFrame:
 def fetch_fields(hits: DataFrame, payloads: list[tuple[DataFrame, str, str]]) -> DataFrame:
     """Join wide payload columns onto the (small) hit list late.
 
-    Each payload table is first cut down by a semi-join with the broadcast
-    hit keys (the hit list is bounded by queries x k), so the wide table is
-    scanned once and never shuffled whole.
+    Each payload table is first cut down by a semi-join with the hit keys
+    (broadcast after a count proves them small; the hit list is bounded by
+    queries x k), so the wide table is scanned once and never shuffled whole.
     """
+    from vexa.operators.common import broadcast_if_small
     out = hits
     for payload, key, how in payloads:
-        keys = F.broadcast(hits.select(key).distinct())
+        keys = broadcast_if_small(hits.select(key).distinct())
         small = payload.join(keys, key, "left_semi")
         out = out.join(small, key, how)
     return out

@@ -32,7 +32,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
         run += c
     off_df = spark.createDataFrame(offs, T.StructType([
         T.StructField("_p", T.LongType()), T.StructField("_off", T.LongType())]))
-    out = tagged.withColumn("_p", part).join(F.broadcast(off_df), "_p")
+    out = tagged.withColumn("_p", part).join(F.broadcast(off_df), "_p")  # one row per partition
     return (out.withColumn(name, F.col("_off") + F.col("_mid").bitwiseAND(F.lit(_LOW)) + 1)
             .drop("_p", "_off", "_mid"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from vexa.operators import dml as D
+from vexa.operators.common import broadcast_if_small
 from vexa.operators.ordering import batch_number
 from vexa.plans.registry import load, register
 from vexa.session import scratch_path
@@ -62,7 +63,7 @@ def insert_assign_ids(spark, sf):
     counts = files.groupBy("f").agg(F.count(F.lit(1)).alias("c"))
     w = Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("f", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("off"))
-    ids = files.join(F.broadcast(offs), "f").select((F.col("off") + F.col("ri") + 1).alias("pk"), "o_orderkey")
+    ids = files.join(broadcast_if_small(offs), "f")  # one row per file.select((F.col("off") + F.col("ri") + 1).alias("pk"), "o_orderkey")
     return ids.withColumn("batch", batch_number(F.col("pk"), 500))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from vexa.functions.text import text_match, tokenize
 from vexa.operators import hybrid as H
+from vexa.operators.common import broadcast_if_small
 from vexa.operators.knn import centroid_queries, fetch_fields, rounded, top_k
 from vexa.operators.text import bm25_topk, build_index, query_terms
 from vexa.plans import sql_snippets as S
@@ -88,7 +89,7 @@ def _hybrid(spark, sf):
     emb = load(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
     corpus = docs.join(emb, "doc_id").select("doc_id", "text", "lang", "embedding")
     firsts = corpus.groupBy("lang").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    hq = corpus.join(F.broadcast(firsts), "doc_id", "left_semi").select(
+    hq = corpus.join(broadcast_if_small(firsts), "doc_id", "left_semi").select(
         F.col("doc_id").alias("qid"), F.col("text").alias("qtext"), F.col("embedding").alias("qv"))
     dense = top_k(corpus.select("doc_id", "embedding"), hq, k=HYBRID_LIMIT, metric="IP",
                   id_col="doc_id", vec_col="embedding")
