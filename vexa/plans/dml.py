@@ -63,7 +63,8 @@ def insert_assign_ids(spark, sf):
     counts = files.groupBy("f").agg(F.count(F.lit(1)).alias("c"))
     w = Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select("f", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("off"))
-    ids = files.join(broadcast_if_small(offs), "f")  # one row per file.select((F.col("off") + F.col("ri") + 1).alias("pk"), "o_orderkey")
+    # offs has one row per file
+    ids = files.join(broadcast_if_small(offs), "f").select((F.col("off") + F.col("ri") + 1).alias("pk"), "o_orderkey")
     return ids.withColumn("batch", batch_number(F.col("pk"), 500))
 
 
