@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vexa.functions.text import tokenize
+from vexa.functions.text import explode_tokens, tokenize
 from vexa.operators.common import broadcast_if_small, rank_within
 
 
@@ -22,7 +22,7 @@ def text_postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     as every document sits in one task it is already complete there; the
     shuffle carries one row per distinct (doc, term).
     """
-    tok = df.select(id_col, F.explode(tokenize(text_col)).alias("term"))
+    tok = df.select(id_col, explode_tokens(tokenize(text_col)).alias("term")).where(F.col("term").isNotNull())
     return tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("double").alias("w"))
 
 

@@ -30,7 +30,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vexa.functions.text import tokenize
+from vexa.functions.text import explode_tokens, tokenize
 from vexa.operators.common import broadcast_if_small, rank_within
 from vexa.session import scratch_path
 
@@ -54,7 +54,8 @@ def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     a query never joins a per-document table."""
     path = path or scratch_path(spark, "text-index")
     tok = docs.select(F.col(id_col).alias("doc_id"), tokenize(text_col).alias("tokens"))
-    postings = (tok.select("doc_id", F.size("tokens").cast("long").alias("dl"), F.explode("tokens").alias("term"))
+    postings = (tok.select("doc_id", F.size("tokens").cast("long").alias("dl"), explode_tokens("tokens").alias("term"))
+                .where(F.col("term").isNotNull())
                 .groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")))
     n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (postings.repartitionByRange(n_part, "term").sortWithinPartitions("term", "doc_id")
@@ -67,7 +68,8 @@ def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
 
 
 def query_terms(queries: DataFrame, qid_col: str, text_col: str) -> DataFrame:
-    return queries.select(F.col(qid_col).alias("qid"), F.explode(tokenize(text_col)).alias("term")).distinct()
+    t = queries.select(F.col(qid_col).alias("qid"), explode_tokens(tokenize(text_col)).alias("term"))
+    return t.where(F.col("term").isNotNull()).distinct()
 
 
 def bm25_topk(index: TextIndex, qterms: DataFrame, k: int = 10, k1: float = K1, b: float = B) -> DataFrame:
