@@ -214,10 +214,21 @@ def pq_encode(df: DataFrame, id_col: str, vec_col: str, book: PqCodebook) -> Dat
 def pq_search(codes: DataFrame, base: DataFrame, queries: DataFrame, book: PqCodebook, *, id_col: str,
               vec_col: str, k: int = 10, rerank: int = 50) -> DataFrame:
     """Asymmetric-distance top-``rerank`` per query over the codes, then exact
-    L2 re-rank of those candidates (fetched by a semi-join with the base)."""
+    L2 re-rank of those candidates (fetched by a semi-join with the base).
+    The query set is split into bounded passes like ``top_k``'s."""
+    from vexa.operators.knn import query_passes
+    out = None
+    for qpass in query_passes(queries.select("qid", "qv"), "qid", book.m * book.dsub):
+        r = _pq_pass(codes, base, qpass, book, id_col=id_col, vec_col=vec_col, k=k, rerank=rerank)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def _pq_pass(codes: DataFrame, base: DataFrame, queries: DataFrame, book: PqCodebook, *, id_col: str,
+             vec_col: str, k: int, rerank: int) -> DataFrame:
     from vexa.operators.knn import _select
 
-    rows = queries.select("qid", "qv").collect()  # query batch, bounded like top_k's
+    rows = queries.select("qid", "qv").collect()  # one pass: bounded by query_passes
     qids = np.array([r[0] for r in rows])
     Q = np.array([r[1] for r in rows], dtype=np.float64)
     m, dsub = book.m, book.dsub

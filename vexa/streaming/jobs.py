@@ -25,13 +25,14 @@ from vexa.session import scratch_path
 
 
 def land_files(parts: list[DataFrame], landing: str) -> None:
-    """Write each part as new files under ``landing`` (arrival order = list order)."""
+    """Write each part as new files under ``landing`` (arrival order = list
+    order); every part is written by as many tasks as it has partitions."""
     for p in parts:
-        p.coalesce(1).write.mode("append").parquet(landing)
+        p.write.mode("append").parquet(landing)
 
 
 def run_available_now(spark: SparkSession, landing: str, schema, on_batch: Callable[[DataFrame, int], None],
-                      name: str, files_per_trigger: int = 1) -> None:
+                      name: str, files_per_trigger: int = 4) -> None:
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(landing))
     q = (stream.writeStream.foreachBatch(on_batch)
