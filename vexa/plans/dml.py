@@ -76,8 +76,8 @@ def insert_atomic(spark, sf):
     emb = load(spark, sf, "embeddings")
     dim = 64
     table = VersionedTable(spark, scratch_path(spark, "atomic"))
-    # corrupt batch: every 50th vector loses its last component
-    corrupt = emb.withColumn("embedding", F.when(F.col("vec_id") % 50 == 0, F.slice("embedding", 1, dim - 1))
+    # corrupt batch: the vectors of label 3 lose their last component
+    corrupt = emb.withColumn("embedding", F.when(F.col("label") == 3, F.slice("embedding", 1, dim - 1))
                              .otherwise(F.col("embedding")))
     out = []
     for name, batch in (("clean", emb), ("corrupt", corrupt)):
@@ -91,9 +91,9 @@ def insert_atomic(spark, sf):
 # --- O41 latest-wins upsert -------------------------------------------------
 UPSERT_SQL = """
 WITH ch AS (
-  SELECT o_orderkey, o_totalprice + 50 AS o_totalprice, o_orderstatus, 1 AS seq FROM orders WHERE o_orderkey % 10 = 0
-  UNION ALL SELECT o_orderkey, o_totalprice + 100, o_orderstatus, 2 FROM orders WHERE o_orderkey % 10 = 0
-  UNION ALL SELECT o_orderkey + 1000000, o_totalprice, o_orderstatus, 1 FROM orders WHERE o_orderkey % 10 = 5),
+  SELECT o_orderkey, o_totalprice + 50 AS o_totalprice, o_orderstatus, 1 AS seq FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT o_orderkey, o_totalprice + 100, o_orderstatus, 2 FROM orders WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT o_orderkey + 1000000, o_totalprice, o_orderstatus, 1 FROM orders WHERE o_orderpriority = '2-HIGH'),
 latest AS (SELECT o_orderkey, o_totalprice, o_orderstatus FROM (
   SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY seq DESC) AS rk FROM ch) WHERE rk = 1)
 SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice, o_orderstatus FROM (
@@ -102,20 +102,23 @@ SELECT o_orderkey, round(o_totalprice, 2) AS o_totalprice, o_orderstatus FROM (
 
 
 def upsert_changes(o):
+    """Two versions of every urgent order (price + 50, then + 100; the later
+    wins) and the high-priority orders again under new keys (inserts)."""
     k = F.col("o_orderkey")
-    a = o.where(k % 10 == 0).select("o_orderkey", (F.col("o_totalprice") + 50).alias("o_totalprice"),
+    urgent, high = F.col("o_orderpriority") == "1-URGENT", F.col("o_orderpriority") == "2-HIGH"
+    a = o.where(urgent).select("o_orderkey", (F.col("o_totalprice") + 50).alias("o_totalprice"),
                                     "o_orderstatus", F.lit(1).alias("seq"))
-    b = o.where(k % 10 == 0).select("o_orderkey", (F.col("o_totalprice") + 100).alias("o_totalprice"),
+    b = o.where(urgent).select("o_orderkey", (F.col("o_totalprice") + 100).alias("o_totalprice"),
                                     "o_orderstatus", F.lit(2).alias("seq"))
-    c = o.where(k % 10 == 5).select((k + 1000000).alias("o_orderkey"), "o_totalprice", "o_orderstatus",
+    c = o.where(high).select((k + 1000000).alias("o_orderkey"), "o_totalprice", "o_orderstatus",
                                     F.lit(1).alias("seq"))
     return a.unionByName(b).unionByName(c)
 
 
 @register("upsert", UPSERT_SQL)
 def upsert_q(spark, sf):
-    o = _orders(spark, sf).select("o_orderkey", "o_totalprice", "o_orderstatus")
-    out = D.upsert(o, upsert_changes(o), ["o_orderkey"], "seq")
+    o = _orders(spark, sf).select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    out = D.upsert(o.drop("o_orderpriority"), upsert_changes(o), ["o_orderkey"], "seq")
     return out.select("o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"), "o_orderstatus")
 
 

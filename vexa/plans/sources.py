@@ -140,11 +140,12 @@ EMB_DECL = T.StructType([SC.field("vec_id", T.LongType(), pk=True),
 
 
 @register("validate_schema_strict", """
-SELECT vec_id, NOT (vec_id % 50 = 0) AS valid,
-       CASE WHEN vec_id % 50 = 0 THEN 'wrong dim embedding' END AS reason FROM embeddings""")
+SELECT vec_id, NOT coalesce(label = 3, false) AS valid,
+       CASE WHEN label = 3 THEN 'wrong dim embedding' END AS reason FROM embeddings""")
 def validate_schema_strict(spark, sf):
     e = load(spark, sf, "embeddings")
-    bad = e.withColumn("embedding", F.when(F.col("vec_id") % 50 == 0, F.slice("embedding", 1, 63))
+    # the vectors of label 3 arrive one component short
+    bad = e.withColumn("embedding", F.when(F.col("label") == 3, F.slice("embedding", 1, 63))
                        .otherwise(F.col("embedding")))
     return SC.validate(bad, EMB_DECL).select("vec_id", "valid", "reason")
 

@@ -29,8 +29,8 @@ def stream_append_search(spark, sf):
 
 @register("stream_upsert", PD.UPSERT_SQL)
 def stream_upsert(spark, sf):
-    o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    base = o.withColumn("seq", F.lit(0))
+    o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    base = o.drop("o_orderpriority").withColumn("seq", F.lit(0))
     ch = PD.upsert_changes(o)
     parts = [base, ch.where(F.col("seq") == 1), ch.where(F.col("seq") == 2)]
     log = J.stream_into_table(spark, parts, "upsert")
