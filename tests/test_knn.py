@@ -104,3 +104,23 @@ def test_centroids_and_export_batches(spark):
     out = export_batches(scored, "score", "id", 100, limit=230).orderBy("rn").collect()
     assert len(out) == 230 and out[0].id == 0 and out[1].id == 10 and out[-1].batch_no == 2
     assert [r.rn for r in out] == list(range(1, 231))
+
+
+@pytest.mark.parametrize("metric", ["L2", "COSINE", "HAMMING"])
+def test_bound_pruning_keeps_results_exact(spark, monkeypatch, metric):
+    import vexa.operators.knn as KN
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in rng.normal(size=64)]) for i in range(3000)]
+    base = spark.createDataFrame(rows, "id long, vector array<float>").repartition(40)
+    q = _q(spark, [(j, [float(x) for x in rng.normal(size=64)]) for j in range(4)])
+    if metric == "HAMMING":  # many exact ties: the bound must keep all of them
+        base = base.select("id", V.sign_bits("vector", 64).alias("vector"))
+        q = q.select("qid", V.sign_bits("qv", 64).alias("qv"))
+    monkeypatch.setattr(KN, "PRUNE_MIN_SPLITS", 10 ** 9)
+    plain = [tuple(r) for r in top_k(base, q, k=10, metric=metric, id_col="id", vec_col="vector")
+             .orderBy("qid", "rank").collect()]
+    monkeypatch.setattr(KN, "PRUNE_MIN_SPLITS", 8)
+    monkeypatch.setattr(KN, "PRUNE_SUBSET_ROWS", 200)
+    pruned = [tuple(r) for r in top_k(base, q, k=10, metric=metric, id_col="id", vec_col="vector")
+              .orderBy("qid", "rank").collect()]
+    assert plain == pruned and len(plain) == 40

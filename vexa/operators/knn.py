@@ -34,6 +34,10 @@ MAX_QUERIES_PER_PASS = 2048
 MAX_QUERY_BYTES = 64 << 20
 # Bound for the (queries x rows) score block held in memory by one task.
 BLOCK_CELLS = 4_000_000
+# Inputs with at least this many splits get a per-query score bound first
+# (see ``_bounds``); rows of the bounding subset.
+PRUNE_MIN_SPLITS = 64
+PRUNE_SUBSET_ROWS = 20_000
 
 
 def _select(keys: np.ndarray, ids_of, k: int) -> np.ndarray:
@@ -85,7 +89,7 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
     binary = metric in BINARY
 
     def run(batches):
-        qids, Q, probe = bq.value
+        qids, Q, probe, thr = bq.value
         m = len(qids)
         qn = np.einsum("ij,ij->i", Q, Q) if not binary else None
         width = Q.shape[1]
@@ -108,6 +112,9 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
                 B = B_all[lo:lo + step]
                 K = _bit_keys(metric, Q, B) if binary else _dense_keys(metric, Q, qn, B)
                 K = np.where(np.isnan(K), np.inf, K)
+                if thr is not None:
+                    # rows worse than the query's bound cannot reach its top-k
+                    K = np.where(K <= thr[:, None], K, np.inf)
                 if probe is not None:
                     # a query only sees rows of the cells it probes
                     K = np.where(probe[:, cells_all[lo:lo + step]], K, np.inf)
@@ -147,6 +154,28 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
     return run
 
 
+def _bounds(base: DataFrame, cols: list[str], bq_plain, k: int, metric: str, id_col: str, vec_col: str,
+            qid_dt, id_dt, qids: np.ndarray, cell_col: str | None) -> np.ndarray | None:
+    """Per-query sort-key bound: the k-th best key over a bounded subset of
+    the base (``limit``, so only a few splits are read).  The subset's k-th
+    best is never better than the full table's, so every true top-k row is
+    within the bound and dropping the rest keeps the result exact, while the
+    candidate shuffle shrinks from queries x k x splits to about the rows
+    that beat the bound."""
+    out_schema = T.StructType([T.StructField("qid", qid_dt), T.StructField(id_col, id_dt),
+                               T.StructField("score", T.DoubleType())])
+    fn = _partition_topk(bq_plain, k, metric, id_col, vec_col, _arrow_type(qid_dt), _arrow_type(id_dt), cell_col)
+    sub = base.select(*cols).limit(PRUNE_SUBSET_ROWS).repartition(1).mapInArrow(fn, out_schema)
+    agg = F.max("score") if ASCENDING[metric] else F.min("score")
+    got = {r[0]: (r[1], r[2]) for r in sub.groupBy("qid").agg(agg.alias("b"), F.count(F.lit(1)).alias("n")).collect()}
+    thr = np.full(len(qids), np.inf)
+    for i, q in enumerate(qids.tolist()):
+        if q in got and got[q][1] >= k:
+            b = got[q][0]
+            thr[i] = b if ASCENDING[metric] else -b
+    return thr
+
+
 def _arrow_type(dt: T.DataType):
     from pyspark.sql.pandas.types import to_arrow_type
     return to_arrow_type(dt)
@@ -214,9 +243,14 @@ def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2
             for qid, cell in probes.select("qid", "cell").collect():  # bounded: queries x nprobe
                 if qid in pos:
                     probe[pos[qid], int(cell)] = True
-        bq = sc.broadcast((qids, Q, probe))
-        fn = _partition_topk(bq, k, metric, id_col, vec_col, _arrow_type(qid_dt), _arrow_type(id_dt), cell_col)
         cols = [id_col, vec_col] + ([cell_col] if probe is not None else [])
+        thr = None
+        if base.rdd.getNumPartitions() >= PRUNE_MIN_SPLITS:
+            plain = sc.broadcast((qids, Q, probe, None))
+            thr = _bounds(base.where(F.size(F.col(vec_col)) == d), cols, plain, k, metric, id_col, vec_col,
+                          qid_dt, id_dt, qids, cell_col)
+        bq = sc.broadcast((qids, Q, probe, thr))
+        fn = _partition_topk(bq, k, metric, id_col, vec_col, _arrow_type(qid_dt), _arrow_type(id_dt), cell_col)
         cand = (base.select(*cols)
                 .where(F.size(F.col(vec_col)) == d)
                 .mapInArrow(fn, out_schema))
