@@ -147,7 +147,19 @@ def fp16_encode(v: pd.Series) -> pd.Series:
 
 @F.pandas_udf(T.ArrayType(T.FloatType()))
 def fp16_decode(b: pd.Series) -> pd.Series:
-    return b.map(lambda x: None if x is None else np.frombuffer(x, dtype="<f2").astype(np.float32))
+    """Little-endian float16 bytes -> array<float>; one NumPy decode per Arrow
+    batch when all rows have the same length."""
+    ok = b.notna()
+    out = pd.Series([None] * len(b), index=b.index, dtype=object)
+    if not ok.any():
+        return out
+    lens = b[ok].map(len)
+    if lens.nunique() == 1:
+        m = np.frombuffer(b"".join(b[ok].tolist()), dtype="<f2").astype(np.float32).reshape(int(ok.sum()), -1)
+        rows = iter(m)
+        return pd.Series([next(rows) if f else None for f in ok.tolist()], index=b.index, dtype=object)
+    out[ok] = b[ok].map(lambda x: np.frombuffer(x, dtype="<f2").astype(np.float32))
+    return out
 
 
 # --- product quantization ----------------------------------------------------------
