@@ -32,9 +32,20 @@ def land_files(parts: list[DataFrame], landing: str) -> None:
 
 
 def run_available_now(spark: SparkSession, landing: str, schema, on_batch: Callable[[DataFrame, int], None],
-                      name: str, files_per_trigger: int = 4) -> None:
+                      name: str, files_per_trigger: int = 4,
+                      dedupe: tuple[list[str], str, str] | None = None) -> None:
+    """``dedupe = (keys, event_time_col, delay)`` drops repeated keys with
+    ``dropDuplicatesWithinWatermark``: the watermark bounds the dedupe state.
+    The delay must cover how far apart in event time a row and its replay can
+    arrive; rows behind the watermark would count as late."""
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
               .parquet(landing))
+    if dedupe is not None:
+        keys, ts_col, delay = dedupe
+        # watermarks need TIMESTAMP; zone-less event times are read as UTC
+        stream = (stream.withColumn("_event_time", F.col(ts_col).cast("timestamp"))
+                  .withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(keys)
+                  .drop("_event_time"))
     q = (stream.writeStream.foreachBatch(on_batch)
          .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
@@ -48,11 +59,12 @@ def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def stream_into_table(spark: SparkSession, parts: list[DataFrame], name: str) -> DataFrame:
+def stream_into_table(spark: SparkSession, parts: list[DataFrame], name: str,
+                      dedupe: tuple[list[str], str, str] | None = None) -> DataFrame:
     """Land ``parts`` as files, stream them into a batch-keyed table, return it."""
     landing, sink = scratch_path(spark, f"landing-{name}"), scratch_path(spark, f"sink-{name}")
     land_files(parts, landing)
-    run_available_now(spark, landing, parts[0].schema, batch_sink(sink), name)
+    run_available_now(spark, landing, parts[0].schema, batch_sink(sink), name, dedupe=dedupe)
     return spark.read.parquet(sink)
 
 
