@@ -1,24 +1,27 @@
-"""Atomic publish for plain Parquet tables: version directories + pointer file.
+"""Atomic publish for plain Parquet tables: version directories + commit markers.
 
 Layout under ``root``::
 
     root/v-000001/part-*.parquet
     root/v-000002/...
-    root/_CURRENT            -> "v-000002"
+    root/_commits/v-000001      (empty marker files, created once, never rewritten)
+    root/_commits/v-000002
 
-A writer writes the full new version, then replaces ``_CURRENT`` (write to
-a temp name, rename over).  Readers resolve the pointer once per read, so
-they see either the old or the new version, never a mix.  One writer at a
-time (documented limit); object stores without atomic rename need a
-put-if-absent pointer instead.  All file access goes through the Hadoop
-FileSystem of the session, so the folder can be on any shared store.
+A writer writes the full new version directory, then creates its commit
+marker with ``overwrite=False`` (put-if-absent).  The current version is
+the highest committed marker, resolved once per read, so a reader sees
+either the old or the new version, never a mix, and a version whose write
+died before its marker is invisible.  Two writers racing for the same
+version number cannot both commit it; one writer at a time is the
+documented use.  All file access goes through the Hadoop FileSystem of
+the session, so the folder can be on any shared store.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+COMMITS = "_commits"
 
 
 class VersionedTable:
@@ -30,28 +33,21 @@ class VersionedTable:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
         self._fs = self._Path(self.root).getFileSystem(conf)
 
-    # -- pointer -----------------------------------------------------------
+    # -- commit markers ------------------------------------------------------
+    def _committed(self) -> list[str]:
+        d = self._Path(f"{self.root}/{COMMITS}")
+        if not self._fs.exists(d):
+            return []
+        return sorted(st.getPath().getName() for st in self._fs.listStatus(d)
+                      if st.getPath().getName().startswith("v-"))
+
     def current(self) -> str | None:
-        p = self._Path(f"{self.root}/{POINTER}")
-        if not self._fs.exists(p):
-            return None
-        stream = self._fs.open(p)
-        try:
-            reader = self.spark.sparkContext._jvm.java.io.BufferedReader(
-                self.spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-            return reader.readLine().strip()
-        finally:
-            stream.close()
+        c = self._committed()
+        return c[-1] if c else None
 
-    def _swap(self, version: str) -> None:
-        tmp = self._Path(f"{self.root}/.{POINTER}.{version}.tmp")
-        out = self._fs.create(tmp, True)
-        out.write(bytearray(version.encode()))
+    def _commit(self, version: str) -> None:
+        out = self._fs.create(self._Path(f"{self.root}/{COMMITS}/{version}"), False)  # fails if present
         out.close()
-        dst = self._Path(f"{self.root}/{POINTER}")
-        if self._fs.exists(dst):
-            self._fs.delete(dst, False)
-        self._fs.rename(tmp, dst)
 
     def versions(self) -> list[str]:
         root = self._Path(self.root)
@@ -74,7 +70,7 @@ class VersionedTable:
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         w.parquet(f"{self.root}/{nxt}")
-        self._swap(nxt)
+        self._commit(nxt)
         return nxt
 
     def publish_if(self, df: DataFrame, ok: bool) -> str | None:
