@@ -16,6 +16,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if n <= max_rows else df
 
 
+def broadcast_query_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
+    """Broadcast a query-derived table (query terms, probe lists) evaluated
+    once: it is collected only when at most ``max_rows`` rows exist, so the
+    size check and the broadcast share one evaluation.  Larger inputs stay
+    distributed and the planner joins them with a shuffle."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return df
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def rank_within(df: DataFrame, keys, order, k: int | None = None, name: str = "rank") -> DataFrame:
     """1-based bigint rank per key group; keeps rank <= k when k is given
     (Spark inserts a partial WindowGroupLimit before the shuffle)."""

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vexa.functions.text import explode_tokens, tokenize
-from vexa.operators.common import broadcast_if_small, rank_within
+from vexa.operators.common import broadcast_query_side, rank_within
 
 
 def text_postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -44,7 +44,7 @@ def sparse_ip_topk(base: DataFrame, queries: DataFrame, *, k: int = 10, drop_rat
                    id_col: str = "id", qid_col: str = "qid") -> DataFrame:
     """``base(id, term, w)`` x ``queries(qid, term, w)`` -> ``(qid, id, score, rank)``."""
     q = drop_smallest(queries.select(F.col(qid_col).alias("qid"), "term", "w"), drop_ratio)
-    q = broadcast_if_small(q.withColumnRenamed("w", "qw"))
+    q = broadcast_query_side(q.withColumnRenamed("w", "qw"))
     hits = (base.select(id_col, "term", "w").join(q, "term")
             .groupBy("qid", id_col).agg(F.sum(F.col("w") * F.col("qw")).alias("score")))
     return rank_within(hits, ["qid"], [F.col("score").desc(), F.col(id_col).asc()], k)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vexa.functions.text import explode_tokens, tokenize
-from vexa.operators.common import broadcast_if_small, rank_within
+from vexa.operators.common import broadcast_query_side, rank_within
 from vexa.session import scratch_path
 
 # Fixed BM25 parameters.
@@ -77,7 +77,7 @@ def bm25_topk(index: TextIndex, qterms: DataFrame, k: int = 10, k1: float = K1,
     n, avgdl = float(index.n_docs), index.avgdl
     q = qterms.join(index.terms, "term").withColumn(
         "idf", F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5))))
-    q = broadcast_if_small(q.select("qid", "term", "idf"))
+    q = broadcast_query_side(q.select("qid", "term", "idf"))
     hits = index.postings.join(q, "term")
     tf = F.col("tf").cast("double")
     part = F.col("idf") * (tf * F.lit(k1 + 1.0)) / (
