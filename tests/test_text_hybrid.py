@@ -64,3 +64,15 @@ def test_rrf_and_weighted(spark):
     assert math.isclose(r[11], 1 / 62 + 1 / 61) and math.isclose(r[10], 1 / 61) and math.isclose(r[12], 1 / 62)
     w = {x.id: x.score for x in H.weighted([(a, 0.8, True), (b, 0.3, True)], "id", 5).collect()}
     assert math.isclose(w[10], 0.8) and math.isclose(w[11], 0.3) and math.isclose(w[12], 0.0)
+
+
+def test_bm25_pruned_equals_exhaustive(spark):
+    from tests.conftest import SF
+    from vexa.plans.registry import load
+    idx = build_index(spark, load(spark, SF, "documents"))
+    qt = query_terms(load(spark, SF, "benchmark"), "item_id", "text")
+    full = sorted(tuple(r) for r in bm25_topk(idx, qt, 10, prune=False).collect())
+    pruned = sorted(tuple(r) for r in bm25_topk(idx, qt, 10, prune=True).collect())
+    assert len(full) > 0
+    assert [(a[0], a[1], a[3]) for a in full] == [(b[0], b[1], b[3]) for b in pruned]
+    assert all(math.isclose(a[2], b[2], rel_tol=1e-12) for a, b in zip(full, pruned))

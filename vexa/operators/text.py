@@ -61,10 +61,19 @@ def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
     (postings.repartitionByRange(n_part, "term").sortWithinPartitions("term", "doc_id")
      .write.parquet(f"{path}/postings"))
     p = spark.read.parquet(f"{path}/postings")
-    p.groupBy("term").agg(F.count(F.lit(1)).alias("df")).write.parquet(f"{path}/terms")
     n_docs = docs.count()  # every document, also those without tokens
     total = p.agg(F.sum("tf")).first()[0] or 0
-    return TextIndex(p, spark.read.parquet(f"{path}/terms"), int(n_docs), float(total) / n_docs if n_docs else 0.0)
+    avgdl = float(total) / n_docs if n_docs else 0.0
+    # df and the largest per-posting contribution (idf aside) of every term:
+    # the upper bounds used by pruned queries
+    (p.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.max(_tf_part(avgdl, K1, B)).alias("max_part"))
+     .write.parquet(f"{path}/terms"))
+    return TextIndex(p, spark.read.parquet(f"{path}/terms"), int(n_docs), avgdl)
+
+
+def _tf_part(avgdl: float, k1: float, b: float):
+    tf = F.col("tf").cast("double")
+    return (tf * F.lit(k1 + 1.0)) / (tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl)))
 
 
 def query_terms(queries: DataFrame, qid_col: str, text_col: str) -> DataFrame:
@@ -72,17 +81,68 @@ def query_terms(queries: DataFrame, qid_col: str, text_col: str) -> DataFrame:
     return t.where(F.col("term").isNotNull()).distinct()
 
 
-def bm25_topk(index: TextIndex, qterms: DataFrame, k: int = 10, k1: float = K1, b: float = B) -> DataFrame:
-    """``qterms(qid, term)`` distinct -> ``(qid, doc_id, score, rank)``."""
+PRUNE_MARGIN = 1e-6
+SEED_TERMS = 3
+
+
+def bm25_topk(index: TextIndex, qterms: DataFrame, k: int = 10, k1: float = K1, b: float = B,
+              prune: bool = False) -> DataFrame:
+    """``qterms(qid, term)`` distinct -> ``(qid, doc_id, score, rank)``.
+
+    ``prune=True`` evaluates only documents that hold an *essential* term of
+    the query, MaxScore style: with a lower bound theta on the query's k-th
+    score (exact scores of a few strong seed postings), terms whose upper
+    bounds sum to less than theta cannot lift a document into the top k on
+    their own.  The result equals the exhaustive one.  It costs two extra
+    scans of the query terms' postings and pays off for short queries with
+    common terms over large corpora; for long queries of mostly rare terms
+    (the benchmark passages) the exhaustive plan is faster, so it is opt-in."""
     n, avgdl = float(index.n_docs), index.avgdl
     q = qterms.join(index.terms, "term").withColumn(
         "idf", F.log(F.lit(1.0) + (F.lit(n) - F.col("df") + F.lit(0.5)) / (F.col("df") + F.lit(0.5))))
-    q = broadcast_query_side(q.select("qid", "term", "idf"))
-    hits = index.postings.join(q, "term")
-    tf = F.col("tf").cast("double")
-    part = F.col("idf") * (tf * F.lit(k1 + 1.0)) / (
-        tf + F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl)))
+    q = broadcast_query_side(q.select("qid", "term", "idf", (F.col("idf") * F.col("max_part")).alias("ub")))
+    part = F.col("idf") * _tf_part(avgdl, k1, b)
+    if prune and (k1, b) == (K1, B):
+        cand = _essential_candidates(index, q, part, k)
+        hits = index.postings.join(q.select("qid", "term", "idf"), "term").join(cand, ["qid", "doc_id"], "left_semi")
+    else:
+        hits = index.postings.join(q.select("qid", "term", "idf"), "term")
     s = hits.groupBy("qid", "doc_id").agg(F.sum(part).alias("score"))
     # rank on scores rounded to 9 places: exact copies of a document must tie
     # (and fall back to doc_id) whatever order the sum was taken in
     return rank_within(s, ["qid"], [F.round("score", TIE_PLACES).desc(), F.col("doc_id").asc()], k)
+
+
+def _essential_candidates(index: TextIndex, q: DataFrame, part, k: int) -> DataFrame:
+    """(qid, doc_id) pairs that can still reach a query's top k."""
+    spark = index.postings.sparkSession
+    qt = q.select("qid", "term", "idf")
+    # seeds: the k strongest postings of each query's best few terms, scored
+    # exactly -- their k-th score is the bound theta
+    top_terms = rank_within(q, ["qid"], [F.col("ub").desc(), F.col("term").asc()], SEED_TERMS,
+                            name="_r").select("qid", "term")
+    strong = index.postings.join(F.broadcast(top_terms), "term").withColumn("_p", _tf_part(index.avgdl, K1, B))
+    seeds = rank_within(strong, ["qid"], [F.col("_p").desc(), F.col("doc_id").asc()], k * SEED_TERMS,
+                        name="_r").select("qid", "doc_id").distinct()
+    seeds = broadcast_query_side(seeds)
+    seed_scores = (index.postings.join(qt, "term").join(seeds, ["qid", "doc_id"], "left_semi")
+                   .groupBy("qid", "doc_id").agg(F.sum(part).alias("score")))
+    kth = seed_scores.groupBy("qid").agg(F.min("score").alias("theta"), F.count(F.lit(1)).alias("n"))
+    theta = {r.qid: r.theta for r in kth.collect() if r.n >= k}  # one row per query
+    essential = []
+    by_q: dict = {}
+    for r in q.select("qid", "term", "ub").collect():  # the query-term set, bounded as above
+        by_q.setdefault(r.qid, []).append((r.ub, r.term))
+    for qid, terms in by_q.items():
+        terms.sort()
+        th = theta.get(qid)
+        acc, i = 0.0, 0
+        if th is not None:
+            # non-essential prefix: its bounds sum below theta (with a margin
+            # larger than the 9-place rounding used for ranking)
+            while i < len(terms) and acc + terms[i][0] < th - PRUNE_MARGIN:
+                acc += terms[i][0]
+                i += 1
+        essential.extend((qid, t) for _, t in terms[i:])
+    ess = spark.createDataFrame(essential, q.select("qid", "term").schema)
+    return (index.postings.join(broadcast_query_side(ess), "term").select("qid", "doc_id").distinct())
