@@ -277,14 +277,18 @@ def centroid_queries(df: DataFrame, group_col: str, vec_col: str,
                      qid_col: str = "qid", qvec_col: str = "qv") -> DataFrame:
     """Mean vector per group, as a query set ``(qid, qv array<double>)``.
 
-    posexplode + two-key aggregation: partial sums are combined map-side,
-    so a group holding a third of all rows costs one partial row per task.
-    """
-    e = df.select(F.col(group_col).alias(qid_col), F.posexplode(vec_col).alias("pos", "x"))
-    m = e.groupBy(qid_col, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    return (m.groupBy(qid_col)
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("pm"))
-            .select(qid_col, F.transform("pm", lambda s: s["m"]).alias(qvec_col)))
+    MLlib ``Summarizer.mean`` aggregates whole vectors in one buffer per
+    group with map-side partial aggregation: no explode into dim rows, and a
+    group holding a third of all rows costs one partial buffer per task.
+    Vectors of another length than the group's are skipped upstream by the
+    caller's schema check."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    v = df.where(F.col(vec_col).isNotNull()).select(
+        F.col(group_col).alias(qid_col), array_to_vector(F.col(vec_col)).alias("_v"))
+    m = v.groupBy(qid_col).agg(Summarizer.mean(F.col("_v")).alias("_m"))
+    return m.select(qid_col, vector_to_array(F.col("_m"), "float64").alias(qvec_col))
 
 
 def rounded(df: DataFrame, col: str = "score", places: int = 6) -> DataFrame:
