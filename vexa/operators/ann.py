@@ -42,13 +42,27 @@ class IvfIndex:
         return spark.read.parquet(self.path)
 
 
+MAX_TRAIN_ROWS = 200_000
+
+
+def _train_fraction(df: DataFrame, sample_fraction: float | None, max_train_rows: int) -> float | None:
+    """Sample fraction that caps the KMeans training set (training only:
+    every row is still assigned and indexed)."""
+    if sample_fraction:
+        return sample_fraction
+    n = df.count()
+    return max_train_rows / n if n > max_train_rows else None
+
+
 def ivf_build(spark: SparkSession, df: DataFrame, id_col: str, vec_col: str, nlist: int, seed: int = 42,
-              sample_fraction: float | None = None, path: str | None = None) -> IvfIndex:
+              sample_fraction: float | None = None, path: str | None = None,
+              max_train_rows: int = MAX_TRAIN_ROWS) -> IvfIndex:
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     feats = df.withColumn("features", array_to_vector(F.col(vec_col)))
     train = feats.select("features")
+    sample_fraction = _train_fraction(df, sample_fraction, max_train_rows)
     if sample_fraction and sample_fraction < 1.0:
         train = train.sample(fraction=sample_fraction, seed=seed)
     model = KMeans(k=nlist, seed=seed, featuresCol="features", maxIter=20).fit(train)
@@ -172,14 +186,16 @@ class PqCodebook:
 
 
 def pq_train(spark: SparkSession, df: DataFrame, vec_col: str, m: int, ksub: int = 16, seed: int = 42,
-             sample_fraction: float | None = None) -> PqCodebook:
-    """One MLlib KMeans per sub-space (Jegou et al. 2011)."""
+             sample_fraction: float | None = None, max_train_rows: int = MAX_TRAIN_ROWS) -> PqCodebook:
+    """One MLlib KMeans per sub-space (Jegou et al. 2011), trained on at
+    most about ``max_train_rows`` sampled vectors."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     dim = int(df.select(F.max(F.size(vec_col))).first()[0])
     dsub = dim // m
     src = df.select(vec_col)
+    sample_fraction = _train_fraction(df, sample_fraction, max_train_rows)
     if sample_fraction and sample_fraction < 1.0:
         src = src.sample(fraction=sample_fraction, seed=seed)
     src = src.where(F.size(vec_col) == dim)
