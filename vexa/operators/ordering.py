@@ -19,7 +19,9 @@ _LOW = (1 << 33) - 1
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
+    from vexa.session import checkpoint_root
     spark = df.sparkSession
+    checkpoint_root(spark)  # reliable checkpoints need the shared folder
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id())

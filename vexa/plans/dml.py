@@ -43,7 +43,7 @@ def insert_parallel_batches(spark, sf):
     rows = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pk"), "l_quantity")
     rows = rows.withColumn("batch", F.floor(F.col("pk") / 5000).cast("long"))
     path = scratch_path(spark, "parallel-insert")
-    rows.repartition("batch").write.partitionBy("batch").parquet(path)
+    rows.hint("rebalance", "batch").write.partitionBy("batch").parquet(path)
     back = spark.read.parquet(path)
     return back.groupBy(F.col("batch").cast("long").alias("batch")).agg(
         F.count(F.lit(1)).alias("num_rows"), F.min("pk").alias("min_pk"), F.max("pk").alias("max_pk"))
