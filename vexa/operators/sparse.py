@@ -15,14 +15,19 @@ from vexa.functions.text import explode_tokens, tokenize
 from vexa.operators.common import broadcast_query_side, rank_within
 
 
-def text_postings(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def text_postings(df: DataFrame, id_col: str, text_col: str, only_terms: DataFrame | None = None) -> DataFrame:
     """Term-frequency sparse vectors ``(id, term, w)`` of a text column.
 
     explode + count per (id, term): the partial aggregate runs map-side, and
     as every document sits in one task it is already complete there; the
-    shuffle carries one row per distinct (doc, term).
+    shuffle carries one row per distinct (doc, term).  ``only_terms`` (a
+    small, broadcast term list such as a query batch's) is applied to the
+    tokens before the aggregation, since Catalyst cannot push a later join
+    through it.
     """
     tok = df.select(id_col, explode_tokens(tokenize(text_col)).alias("term")).where(F.col("term").isNotNull())
+    if only_terms is not None:
+        tok = tok.join(broadcast_query_side(only_terms.select("term").distinct()), "term", "left_semi")
     return tok.groupBy(id_col, "term").agg(F.count(F.lit(1)).cast("double").alias("w"))
 
 

@@ -126,8 +126,9 @@ s AS (SELECT qid, doc_id, sum(w * qw) AS d FROM d JOIN qk USING (term) GROUP BY
 
 @register("sparse_ip_topk", SPARSE_SQL)
 def sparse_ip(spark, sf):
-    docs = text_postings(load(spark, sf, "documents"), "doc_id", "text")
     qs = text_postings(load(spark, sf, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "qid")
+    # document terms outside every query cannot contribute: cut them before aggregating
+    docs = text_postings(load(spark, sf, "documents"), "doc_id", "text", only_terms=qs)
     return rounded(sparse_ip_topk(docs, qs, k=K, drop_ratio=0.2, id_col="doc_id"))
 
 
