@@ -124,3 +124,13 @@ def test_bound_pruning_keeps_results_exact(spark, monkeypatch, metric):
     pruned = [tuple(r) for r in top_k(base, q, k=10, metric=metric, id_col="id", vec_col="vector")
               .orderBy("qid", "rank").collect()]
     assert plain == pruned and len(plain) == 40
+
+
+def test_export_bound_keeps_first_rows_exact(spark, monkeypatch):
+    import vexa.operators.knn as KN
+    monkeypatch.setattr(KN, "EXPORT_SUBSET_ROWS", 40)
+    scored = spark.range(0, 3000, 1, 6).select(F.col("id"), ((F.col("id") * 7919) % 1000).cast("double").alias("score"))
+    got = [(r.rn, r.id, r.batch_no) for r in export_batches(scored, "score", "id", 25, limit=100).orderBy("rn").collect()]
+    want = sorted(((s, i) for i, s in ((i, float((i * 7919) % 1000)) for i in range(3000))))[:100]
+    assert [(rn, i) for rn, i, _ in got] == [(n + 1, i) for n, (_, i) in enumerate(want)]
+    assert got[-1][2] == 3

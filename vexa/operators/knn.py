@@ -34,6 +34,8 @@ MAX_QUERIES_PER_PASS = 2048
 MAX_QUERY_BYTES = 64 << 20
 # Bound for the (queries x rows) score block held in memory by one task.
 BLOCK_CELLS = 4_000_000
+# Rows of the subset that bounds a limited export (``export_batches``).
+EXPORT_SUBSET_ROWS = 50_000
 # Inputs with at least this many splits get a per-query score bound first
 # (see ``_bounds``); rows of the bounding subset.
 PRUNE_MIN_SPLITS = 64
@@ -320,6 +322,16 @@ def export_batches(scored: DataFrame, score_col: str, id_col: str, batch_size: i
     offsets), never through one global window."""
     from vexa.operators.ordering import batch_number, global_row_number
     order = [F.col(score_col).asc() if ascending else F.col(score_col).desc(), F.col(id_col).asc()]
+    if limit is not None:
+        # The limit-th best score of any subset is no better than the table's,
+        # so every row of the true first ``limit`` passes this bound: only
+        # those rows (plus ties) are range-sorted, not the whole table.
+        sub = scored.limit(max(limit, EXPORT_SUBSET_ROWS)).orderBy(*order).limit(limit)
+        got = sub.agg(F.count(F.lit(1)).alias("n"),
+                      (F.max if ascending else F.min)(score_col).alias("b")).first()
+        if got["n"] == limit and got["b"] is not None:
+            keep = F.col(score_col) <= got["b"] if ascending else F.col(score_col) >= got["b"]
+            scored = scored.where(keep)
     n = global_row_number(scored, order, "rn")
     if limit is not None:
         n = n.where(F.col("rn") <= limit)
