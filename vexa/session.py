@@ -43,9 +43,36 @@ def get_session(master: str | None = None, app: str = "vexa",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vexa`` importable in Python workers (Arrow / pandas UDFs refer
+    to it): zip the package once and hand it to ``SparkContext.addPyFile``,
+    which distributes it like ``--py-files``.  A no-op when already shipped
+    to this application."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="vexa-pyfiles-"), "vexa.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
