@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vexa.llm import common as C
-from vexa.llm import minhash
+from vexa.llm import minhash, posindex
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,3 +31,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (found.join(ids, C.UID)
             .join(ids.select(F.col(C.UID).alias("component"), F.col("doc_id").alias("component_id")), "component")
             .select("doc_id", "n_shingles", "component_id", "kept"))
+
+
+@register("op10_decontaminate")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.identified(C.load(spark, sf_dir, "documents"))
+    found = posindex.contamination(docs, C.load(spark, sf_dir, "benchmark"))
+    return (found.join(docs.select(C.UID, "doc_id"), C.UID)
+            .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                    F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"))
