@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vexa.llm import common as C
-from vexa.llm import minhash, posindex
+from vexa.llm import minhash, posindex, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (found.join(docs.select(C.UID, "doc_id"), C.UID)
             .select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                     F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"))
+
+
+@register("op9_suffix_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.identified(C.load(spark, sf_dir, "documents"))
+    return (suffix.removal_report(docs).join(docs.select(C.UID, "doc_id"), C.UID)
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
