@@ -44,19 +44,20 @@ _BITS = 21           # a block has fewer than 2**21 positions
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every window of ``w`` values, by prefix and suffix minima of runs."""
-    m = len(x) - w + 1
-    pad = np.full(-len(x) % w, np.iinfo(np.uint64).max, np.uint64)
-    runs = np.concatenate([x, pad]).reshape(-1, w)
-    pre = np.minimum.accumulate(runs, axis=1).ravel()
-    suf = np.minimum.accumulate(runs[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(suf[:m], pre[w - 1:w - 1 + m])
+    """Minimum of every window of ``w`` values, from those of windows of doubled width."""
+    have = 1
+    while 2 * have <= w:
+        x = np.minimum(x[:-have], x[have:])
+        have *= 2
+    return np.minimum(x[:len(x) - (w - have)], x[w - have:]) if have < w else x
 
 
 def segments(data: np.ndarray, offs: np.ndarray, length: int, gram: int = GRAM):
     """(text, start, bytes, anchor hash, content hash) of every segment."""
     gram = min(gram, length)
     out = []
+    owner = np.repeat(np.arange(len(offs) - 1, dtype=np.int32), np.diff(offs))
+    room = offs[1:] - length  # last window start of each text
     for lo in range(0, max(len(data) - length + 1, 0), STEP):
         piece = data[lo:lo + STEP + length - 1]
         m = len(piece) - length + 1
@@ -64,9 +65,8 @@ def segments(data: np.ndarray, offs: np.ndarray, length: int, gram: int = GRAM):
         h = roll.windows(gram)
         keys = (h & ~np.uint64((1 << _BITS) - 1)) | np.arange(len(h), dtype=np.uint64)
         at = (_sliding_min(keys, length - gram + 1)[:m] & np.uint64((1 << _BITS) - 1)).astype(np.int64)
-        p = np.arange(lo, lo + m)
-        text = np.searchsorted(offs, p, side="right") - 1
-        ok = p + length <= offs[text + 1]
+        text = owner[lo:lo + m]
+        ok = np.arange(lo, lo + m) <= room[text]
         new = np.ones(m, bool)
         new[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1]) | ~ok[:-1]
         first = np.flatnonzero(new & ok)
@@ -76,7 +76,7 @@ def segments(data: np.ndarray, offs: np.ndarray, length: int, gram: int = GRAM):
         stop = np.append(np.flatnonzero(new | ~ok), m)
         last = stop[np.searchsorted(stop, first, side="right")]
         size = last - first + length - 1
-        who = text[first]
+        who = text[first].astype(np.int64)
         out.append((who, first + lo - offs[who], size, h[at[first]], roll.ranges(first, first + size)))
     if not out:
         z = np.zeros(0, np.int64)
@@ -136,7 +136,10 @@ def repeat_classes(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
     bwt = codes[sa - 1]
     order = np.argsort(bwt, kind="stable")
     lf = np.empty(n, np.int64)
-    lf[order] = np.arange(n)
+    lf[order] = np.arange(n) << _BITS
+    front = bwt[order]
+    border = np.ones(n, bool)  # the leading value changes here
+    border[1:] = front[1:] != front[:-1]
     known = np.zeros(n + 1, bool)  # boundaries whose common prefix is below the level
     known[0] = known[n] = True
     lb, rb = np.zeros(1, np.int64), np.full(1, n, np.int64)
@@ -146,13 +149,12 @@ def repeat_classes(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
         width = rb - lb
         total = int(width.sum())
         owner = np.repeat(np.arange(len(lb), dtype=np.int64), width)
-        idx = np.arange(total) - np.repeat(np.cumsum(width) - width, width) + np.repeat(lb, width)
-        f = lf[idx]
-        packed = np.sort((f << _BITS) | owner)  # extensions lie side by side, in order
-        f, owner = packed >> _BITS, packed & ((1 << _BITS) - 1)
-        c = bwt[order[f]]
+        idx = np.arange(total) + np.repeat(lb - np.cumsum(width) + width, width)
+        packed = np.sort(lf[idx] | owner)  # extensions lie side by side, in order
+        f = packed >> _BITS
+        packed &= (1 << _BITS) - 1
         head = np.ones(total, bool)
-        head[1:] = (owner[1:] != owner[:-1]) | (c[1:] != c[:-1])
+        head[1:] = (packed[1:] != packed[:-1]) | border[f[1:]]
         at = np.flatnonzero(head)
         lo, hi = f[at], f[np.append(at[1:], total) - 1] + 1
         fresh = ~known[hi]
@@ -175,9 +177,11 @@ def repeated_windows(parts: list[np.ndarray], length: int) -> tuple[np.ndarray,
     at = np.arange(len(raw)) + np.repeat(np.arange(len(parts)), size)
     text[at] = code[raw]
     sa, cls = repeat_classes(text, length)
-    part = np.searchsorted(begin, sa, side="right") - 1
-    window = sa - begin[part] + length <= size[part]
-    sa, cls, part = sa[window], cls[window], part[window]
+    owner = np.repeat(np.arange(len(parts), dtype=np.int32), size + 1)
+    starts = np.arange(len(text)) <= (begin + size - length)[owner]
+    keep = starts[sa]
+    sa, cls = sa[keep], cls[keep]
+    part = owner[sa].astype(np.int64)
     if not len(sa):
         return sa, sa, np.zeros(0, bool)
     head = np.flatnonzero(np.concatenate([[True], cls[1:] != cls[:-1]]))
@@ -267,10 +271,15 @@ def _indexed_segments(docs: DataFrame, first: DataFrame, length: int) -> DataFra
 
 
 def _transformed(segs: DataFrame, length: int, block: int) -> DataFrame:
-    """(_uid, start, stop, d1, d2): spans repeated within a block (no digest), and the first
-    windows of the classes of anchors that lie in several blocks (with digest)."""
+    """(_uid, start, stop, bucket, firsts): spans repeated within a block, and, packed by hash
+    bucket, (hash, hash, _uid, start) of the first windows of the classes of anchors that lie in
+    several blocks."""
+    buckets = C.shuffle_partitions(segs.sparkSession)
+    names = ["_uid", "start", "stop", "bucket", "firsts"]
+
     def solve(tables: list[pa.Table]):
         t = pa.concat_tables(tables)
+        t = t.take(pa.array(np.lexsort((C.longs(t, "start"), C.longs(t, "_uid")))))  # document order
         blob, offs = C.column_bytes(t.column("bytes").combine_chunks())
         parts = [blob[a:b] for a, b in zip(offs[:-1], offs[1:])]
         uid, start = C.longs(t, "_uid"), C.longs(t, "start")
@@ -281,8 +290,8 @@ def _transformed(segs: DataFrame, length: int, block: int) -> DataFrame:
         who, a, b = _runs(part[later], off[later], length) if later.any() else (part[:0],) * 3
         if len(who):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(uid[who]), pa.array(start[who] + a), pa.array(start[who] + b), pa.nulls(len(who), pa.int64()),
-                 pa.nulls(len(who), pa.int64())], ["_uid", "start", "stop", "d1", "d2"])
+                [pa.array(uid[who]), pa.array(start[who] + a), pa.array(start[who] + b), pa.nulls(len(who), pa.int32()),
+                 pa.nulls(len(who), pa.binary())], names)
         if spread.any():
             size = np.diff(offs)
             n = np.where(spread, np.maximum(size - length + 1, 0), 0)
@@ -294,10 +303,15 @@ def _transformed(segs: DataFrame, length: int, block: int) -> DataFrame:
             p, o, at = p[~skip[at]], o[~skip[at]], at[~skip[at]]
             d1 = C.RollingHash(blob).ranges(at, at + length)
             d2 = C.RollingHash(255 - blob[::-1]).ranges(len(blob) - at - length, len(blob) - at)
-            s = start[p] + o
-            yield pa.RecordBatch.from_arrays([pa.array(uid[p]), pa.array(s), pa.array(s + length),
-                                              pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64))],
-                                             ["_uid", "start", "stop", "d1", "d2"])
+            where = (d1 % np.uint64(buckets)).astype(np.int64)
+            by = np.argsort(where, kind="stable")
+            cut = np.searchsorted(where[by], np.arange(buckets + 1))
+            rows = np.stack([d1.view(np.int64), d2.view(np.int64), uid[p], start[p] + o], 1)[by]
+            some = np.flatnonzero(np.diff(cut))
+            empty = pa.nulls(len(some), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [empty, empty, empty, pa.array(some.astype(np.int32)),
+                 pa.array([rows[cut[k]:cut[k + 1]].tobytes() for k in some], pa.binary())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -314,7 +328,26 @@ def _transformed(segs: DataFrame, length: int, block: int) -> DataFrame:
 
     key = ["anchor", "salt"]
     return (segs.repartition(*key).sortWithinPartitions(*key, "_uid", "start")
-            .mapInArrow(run, "_uid long, start long, stop long, d1 long, d2 long"))
+            .mapInArrow(run, "_uid long, start long, stop long, bucket int, firsts binary"))
+
+
+def _across_blocks(found: DataFrame, length: int) -> DataFrame:
+    """(_uid, start, stop) of the windows whose equal in another block is earlier."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in C.by_group(batches, ["bucket"]):
+            d1, d2, uid, start = C.ragged(t.column("firsts").combine_chunks(), np.int64)[0].reshape(-1, 4).T
+            o = np.lexsort((start, uid, d2, d1))
+            d1, d2, uid, start = d1[o], d2[o], uid[o], start[o]
+            later = np.zeros(len(d1), bool)
+            later[1:] = (d1[1:] == d1[:-1]) & (d2[1:] == d2[:-1])
+            uid, start = uid[later], start[later]
+            if len(uid):
+                ids, code = np.unique(uid, return_inverse=True)
+                who, a, b = _runs(code, start, length)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[who]), pa.array(a), pa.array(b)], ["_uid", "start", "stop"])
+
+    return (found.filter("bucket is not null").select("bucket", "firsts").repartition("bucket")
+            .sortWithinPartitions("bucket").mapInArrow(run, "_uid long, start long, stop long"))
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, block: int = BLOCK) -> DataFrame:
@@ -336,11 +369,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, block: int = BLOCK) -> Da
     first = (firsts.join(mixed, "anchor")
              .select("anchor", "salts", F.col("u").alias("_uid"), F.col("p").alias("place")))
     found = C.save(_transformed(_indexed_segments(docs, first, length), length, block), "repeats")
-    between = found.filter("d1 is not null")
-    low = between.groupBy("d1", "d2").agg(F.min(F.struct("_uid", "start")).alias("f"), F.count(F.lit(1)).alias("n"))
-    across = (between.join(low.filter("n > 1"), ["d1", "d2"]).filter("_uid != f._uid or start != f.start")
-              .select("_uid", "start", "stop"))
-    spans = copied.unionByName(found.filter("d1 is null").select("_uid", "start", "stop")).unionByName(across)
+    spans = (copied.unionByName(found.filter("bucket is null").select("_uid", "start", "stop"))
+             .unionByName(_across_blocks(found, length)))
     return spans.groupBy("_uid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))  # within one text
 
 
