@@ -137,9 +137,7 @@ def repeat_classes(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
     order = np.argsort(bwt, kind="stable")
     lf = np.empty(n, np.int64)
     lf[order] = np.arange(n) << _BITS
-    front = bwt[order]
-    border = np.ones(n, bool)  # the leading value changes here
-    border[1:] = front[1:] != front[:-1]
+    front = bwt[order] << _BITS
     known = np.zeros(n + 1, bool)  # boundaries whose common prefix is below the level
     known[0] = known[n] = True
     lb, rb = np.zeros(1, np.int64), np.full(1, n, np.int64)
@@ -154,7 +152,8 @@ def repeat_classes(codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarr
         f = packed >> _BITS
         packed &= (1 << _BITS) - 1
         head = np.ones(total, bool)
-        head[1:] = (packed[1:] != packed[:-1]) | border[f[1:]]
+        packed |= front[f]
+        head[1:] = packed[1:] != packed[:-1]
         at = np.flatnonzero(head)
         lo, hi = f[at], f[np.append(at[1:], total) - 1] + 1
         fresh = ~known[hi]
