@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vexa.llm import common as C
-from vexa.llm import minhash, posindex, suffix
+from vexa.llm import langid, minhash, posindex, suffix, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,28 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def part(divisor: int):
+    """crc32(doc_id as text) modulo ``divisor``; null ids count as the text ''."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % divisor
+
+
+@register("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs.filter(part(4) != 2), C.load(spark, sf_dir, "labels"))
+    return (toxicity.score(docs, model, ["doc_id"])
+            .select("doc_id", (part(4) == 2).alias("held_out"), "score",
+                    F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")))
+
+
+@register("op4_language_spans")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(part(3) != 1))
+    return (langid.predict(docs, model, ["doc_id"])
+            .select("doc_id", (part(3) == 1).alias("held_out"), "lang_pred", "score", F.size("langs").alias("n_spans")))
+
+
 @register("op7_minhash_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.identified(C.load(spark, sf_dir, "documents"))
