@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vexa.llm import common as C
-from vexa.llm import langid, minhash, posindex, suffix, toxicity
+from vexa.llm import embedding, langid, minhash, packing, posindex, quality, suffix, tokencount, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +37,24 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")))
 
 
+#: A vocabulary file of a public tokenizer; only its path is known here.
+UNIGRAM_FILE = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+@register("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str, vocabulary: str = UNIGRAM_FILE) -> DataFrame:
+    docs = C.load(spark, sf_dir, "documents")
+    return tokencount.token_counts(docs, tokencount.Vocabulary.from_sentencepiece(vocabulary), ["doc_id"])
+
+
+@register("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.load(spark, sf_dir, "documents").select("doc_id", "text")
+    return (quality.score(docs, quality.train(docs))
+            .select("doc_id", F.col("_posterior").alias("posterior"), F.col("_quality").alias("score"),
+                    (F.col("_quality") >= 0.5).alias("kept")))
+
+
 @register("op4_language_spans")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -45,6 +63,22 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (part(3) == 1).alias("held_out"), "lang_pred", "score", F.size("langs").alias("n_spans")))
 
 
+def word_count(text):
+    """Runs of characters other than blanks and ASCII controls 9 to 13."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
+
+
+@register("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = C.load(spark, sf_dir, "documents")
+    return packing.best_fit(docs.select("doc_id", word_count(F.col("text")).alias("n_words")), "doc_id", "n_words")
+
+
+@register("op6_warc_archive")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(C.load(spark, sf_dir, "pages"))
+
+
 @register("op7_minhash_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.identified(C.load(spark, sf_dir, "documents"))
@@ -64,6 +98,15 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated"))
 
 
+@register("op8_embedding_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.identified(C.load(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    ids = rows.select(C.UID, "vec_id")
+    return (embedding.near_vectors(rows).join(ids, C.UID)
+            .join(ids.select(F.col(C.UID).alias("component"), F.col("vec_id").alias("component_id")), "component")
+            .select("vec_id", "n_links", "component_id", "kept"))
+
+
 @register("op9_suffix_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.identified(C.load(spark, sf_dir, "documents"))

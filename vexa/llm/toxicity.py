@@ -91,7 +91,7 @@ def pooled(z: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 16, dim: int = 8, steps: int = 80,
+def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 18, dim: int = 8, steps: int = 90,
         rate: float = 0.1, decay: float = 1e-4, seed: int = 5) -> Model:
     """Train on texts held in memory (the bounded sample)."""
     if not len(labels) or labels.min() == labels.max():
@@ -107,11 +107,13 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 16, dim: int
     owner, word = pair // len(spot), pair % len(spot)
     first = np.searchsorted(owner, np.arange(len(texts) + 1))
     whole, grams = _hashes(text, start[spot], end[spot], buckets)
-    feats, who = [whole], [np.arange(len(spot))]
+    feats, who = [whole.astype(np.int32)], [np.arange(len(spot), dtype=np.int32)]
     for h, at, n in grams:
-        feats.append(h[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(at, n)])
-        who.append(np.repeat(np.arange(len(spot)), n))
+        feats.append(h[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(at, n)].astype(np.int32))
+        who.append(np.repeat(np.arange(len(spot), dtype=np.int32), n))
     feats, who = np.concatenate(feats), np.concatenate(who)
+    n_spots = len(spot)
+    del text, start, end, code, spot, whole, grams, data  # the driver's memory is small
 
     rng = np.random.default_rng(seed)
     some = np.flatnonzero(np.diff(first))
@@ -120,6 +122,7 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 16, dim: int
     n_words = np.diff(first)[some]
     balance = np.where(y > 0, 0.5 / max(y.mean(), 1e-9), 0.5 / max(1 - y.mean(), 1e-9)) / len(y)
     used, feats = np.unique(feats, return_inverse=True)
+    feats = feats.astype(np.int32)
     table = rng.normal(0, 0.1, (len(used), dim)).astype(np.float32)
     soft = np.stack([-np.ones(dim), np.ones(dim)], 1).astype(np.float32) / dim
     bias = np.zeros(2)
@@ -128,8 +131,8 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 16, dim: int
     for step in range(1, steps + 1):
         keep = rng.random(len(feats)) < 0.5
         f, w = feats[keep], who[keep]
-        size = np.maximum(np.bincount(w, minlength=len(spot)), 1)[:, None]
-        vec = np.stack([np.bincount(w, table[f, d], len(spot)) for d in range(dim)], 1) / size
+        size = np.maximum(np.bincount(w, minlength=n_spots), 1)[:, None]
+        vec = np.stack([np.bincount(w, table[f, d], n_spots) for d in range(dim)], 1) / size
         logits = vec @ soft + bias
         z = (logits[:, 1] - logits[:, 0])[word]
         top = np.maximum.reduceat(z, at)
@@ -137,7 +140,7 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 16, dim: int
         norm = np.add.reduceat(spread, at)
         doc = top + np.log(norm) / SHARP
         err = (1 / (1 + np.exp(-doc)) - y) * balance
-        dz = np.bincount(word, spread / np.repeat(norm, n_words) * np.repeat(err, n_words), len(spot))
+        dz = np.bincount(word, spread / np.repeat(norm, n_words) * np.repeat(err, n_words), n_spots)
         dlogits = np.stack([-dz, dz], 1)
         dvec = dlogits @ soft.T / size
         grads = [np.stack([np.bincount(f, dvec[w, d], len(used)) for d in range(dim)], 1) + decay * table / len(y),
@@ -154,7 +157,7 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 16, dim: int
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic",
-          max_rows: int = 2000, max_bytes: int = 16_384, **kw) -> Model:
+          max_rows: int = 1000, max_bytes: int = 8192, **kw) -> Model:
     """Fit on a bounded sample of the labelled rows of ``docs``, the same for every run."""
     marks = labels.groupBy(id_col).agg(F.max(label_col).alias("y")).filter("y is not null")
     small = docs.select(id_col, "text").filter(F.octet_length("text").between(1, max_bytes))
