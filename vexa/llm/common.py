@@ -212,3 +212,13 @@ def longs(table, name: str) -> np.ndarray:
     """An integer column without nulls, as int64."""
     return table.column(name).to_numpy(zero_copy_only=False).astype(np.int64) if isinstance(table, pa.RecordBatch) \
         else table.column(name).combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def sample_texts(docs: DataFrame, ids: DataFrame, id_col: str, max_rows: int) -> list[str]:
+    """Texts of the ``max_rows`` ids that come first by hash: a bounded sample for fitting.
+
+    Only ids are sorted; the chosen ones are few, so they are broadcast to the scan."""
+    chosen = ids.select(id_col).filter(F.col(id_col).isNotNull()).distinct().orderBy(F.xxhash64(id_col), id_col).limit(max_rows)
+    rows = (docs.select(id_col, "text").join(F.broadcast(chosen), id_col)
+            .groupBy(id_col).agg(F.min("text").alias("text")).orderBy(id_col).collect())
+    return [r.text for r in rows]

@@ -160,12 +160,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
           max_rows: int = 1000, max_bytes: int = 8192, **kw) -> Model:
     """Fit on a bounded sample of the labelled rows of ``docs``, the same for every run."""
     marks = labels.groupBy(id_col).agg(F.max(label_col).alias("y")).filter("y is not null")
-    small = docs.select(id_col, "text").filter(F.octet_length("text").between(1, max_bytes))
-    rows = []
-    for y in (0, 1):
-        ids = marks.filter(F.col("y") == y)
-        part = small.join(ids, id_col).orderBy(F.xxhash64(id_col), "text").limit(max_rows)
-        rows += [(r.text.encode(), y) for r in part.select("text").collect()]
+    fits = docs.select(id_col, F.octet_length("text").alias("size")).filter(F.col("size").between(1, max_bytes)).select(id_col)
+    marked = fits.join(marks, id_col)
+    rows = [(t.encode(), y) for y in (0, 1)
+            for t in C.sample_texts(docs.filter(F.octet_length("text").between(1, max_bytes)), marked.filter(F.col("y") == y), id_col, max_rows)]
     return fit([t for t, _ in rows], np.array([y for _, y in rows], np.int64), **kw)
 
 
