@@ -146,19 +146,18 @@ def estimate(pattern: np.ndarray, count: np.ndarray, rounds: int = 50) -> WeakLa
     return model
 
 
-def vote_counts(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarray, np.ndarray]:
-    """Counts of the vote patterns of all texts with words."""
+def vote_table(docs: DataFrame, id_col: str) -> DataFrame:
+    """(id, size, pattern) of every text with words, written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(3 ** len(LABELLERS), np.int64)
-        for _, data, offs in C.text_blocks(batches, text_col):
+        for rows, data, offs in C.text_blocks(batches):
             feat, words = features(data, offs)
-            total += np.bincount(patterns(votes(feat, words))[words > 0], minlength=len(total))
-        some = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["pattern", "n"])
+            some = pa.array(words > 0)
+            yield pa.RecordBatch.from_arrays(
+                [c.filter(some) for c in (rows.column(0), pa.array(np.diff(offs)), pa.array(patterns(votes(feat, words))))],
+                ["id", "size", "pattern"])
 
-    rows = (docs.select(text_col).mapInArrow(run, "pattern long, n long").groupBy("pattern")
-            .agg(F.sum("n").alias("n")).orderBy("pattern").collect())  # at most 3**9
-    return np.array([r.pattern for r in rows], np.int64), np.array([r.n for r in rows], np.float64)
+    kind = dict(docs.dtypes)[id_col]
+    return C.save(docs.select(id_col, "text").mapInArrow(run, f"id {kind}, size long, pattern long"), "votes")
 
 
 @dataclass
@@ -195,25 +194,6 @@ def _levels(feat: np.ndarray, buckets: int) -> np.ndarray:
     return (C.mix(out + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _sample_rows(docs: DataFrame, model: WeakLabels, buckets: int, id_col: str, max_rows: int, max_bytes: int) -> list:
-    """(posterior, buckets, shares) of a bounded sample, half from either likely class."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, data, offs in C.text_blocks(batches):
-            feat, words = features(data, offs)
-            q = model.posterior(votes(feat, words))
-            q[words == 0] = np.nan
-            yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(0), pa.array(q, from_pandas=True)],
-                                             [id_col, "text", "q"])
-
-    kinds = dict(docs.dtypes)
-    short = docs.filter(F.octet_length("text").between(1, max_bytes)).select("text", id_col)
-    judged = short.mapInArrow(run, f"`{id_col}` {kinds[id_col]}, text string, q double").filter("q is not null")
-    out = []
-    for side in (F.col("q") >= 0.5, F.col("q") < 0.5):
-        out += judged.filter(side).orderBy(F.xxhash64(id_col), "text").limit(max_rows).select("text", "q").collect()
-    return out
-
-
 def fit_scorer(texts: list[bytes], q: np.ndarray, buckets: int = 1 << 14, steps: int = 200, rate: float = 0.5,
                decay: float = 1e-4) -> Scorer:
     """Logistic regression on shares of hashed n-grams, and on levels, against posterior labels, by Adam."""
@@ -246,9 +226,22 @@ def train(docs: DataFrame, id_col: str = "doc_id", max_rows: int = 1500, max_byt
           buckets: int = 1 << 14) -> tuple[WeakLabels, Scorer]:
     """Weak labels from all documents; the scorer from at most ``max_rows`` texts of either likely
     class, of at most ``max_bytes`` each."""
-    model = estimate(*vote_counts(docs))
-    rows = _sample_rows(docs, model, buckets, id_col, max_rows, max_bytes)
-    return model, fit_scorer([r.text.encode() for r in rows], np.array([r.q for r in rows]), buckets)
+    table = vote_table(docs, id_col)
+    rows = table.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()  # at most 3**9
+    pattern, count = np.array([r.pattern for r in rows], np.int64), np.array([r.n for r in rows], np.float64)
+    model = estimate(pattern, count)
+    q = model.posterior((pattern[:, None] // 3 ** np.arange(len(LABELLERS))) % 3)
+    texts: list[bytes] = []
+    for side in (q >= 0.5, q < 0.5):
+        found = docs.sparkSession.createDataFrame([(int(p),) for p in pattern[side]], "pattern long")
+        ids = table.filter(f"size <= {max_bytes}").join(F.broadcast(found), "pattern").select(F.col("id").alias(id_col))
+        texts += [t.encode() for t in C.sample_texts(docs.filter(F.octet_length("text").between(1, max_bytes)), ids, id_col, max_rows)]
+    own = np.zeros(0)
+    if texts:
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        own = model.posterior(votes(*features(data, offs)))
+    return model, fit_scorer(texts, own, buckets)
 
 
 def score(docs: DataFrame, models: tuple[WeakLabels, Scorer], text_col: str = "text") -> DataFrame:
