@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF
@@ -68,3 +69,32 @@ def test_pq_rerank_recall_and_lsh_shape(spark):
     assert all(len(v) <= 10 for v in per.values())
     # each query vector is its own nearest neighbour when it collides with itself
     assert all(min(v, key=lambda r: r.rank).vec_id == qid for qid, v in per.items())
+
+
+def test_pq_encodes_all_rows_whatever_the_partitions(spark):
+    from vexa.operators import ann
+    emb = load(spark, SF, "embeddings")
+    with pytest.raises(ValueError):
+        ann.pq_train(spark, emb.withColumn("embedding", F.slice("embedding", 1, 50)), "embedding", 8)
+    book = ann.pq_train(spark, emb, "embedding", 8, 16, seed=1)
+    codes = ann.pq_encode(emb, "vec_id", "embedding", book).cache()
+    assert codes.count() == emb.count()
+    q = emb.where("vec_id < 5").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    got = [sorted(tuple(r) for r in ann.pq_search(codes.repartition(n), emb, q, book, id_col="vec_id", vec_col="embedding",
+                                                  k=10, rerank=20).collect()) for n in (1, 4, 16)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_new_vectors_get_their_nearest_cell_without_the_driver(spark):
+    import numpy as np
+
+    from vexa.operators import ann
+    emb = load(spark, SF, "embeddings")
+    idx = ann.ivf_build(spark, emb, "vec_id", "embedding", 4, seed=7)
+    centers = {r.cell: np.array(r.centroid) for r in idx.centroids.collect()}
+    new = emb.limit(50).unionByName(spark.createDataFrame([(9001, None, 1), (9002, [1.0], None)], emb.schema))
+    for r in ann.ivf_assign(idx, new).collect():
+        if r.vec_id > 9000:
+            assert r.cell == -1
+        else:
+            assert r.cell == min(centers, key=lambda c: ((centers[c] - np.array(r.embedding)) ** 2).sum())

@@ -106,29 +106,45 @@ def test_centroids_and_export_batches(spark):
     assert [r.rn for r in out] == list(range(1, 231))
 
 
-@pytest.mark.parametrize("metric", ["L2", "COSINE", "HAMMING"])
-def test_bound_pruning_keeps_results_exact(spark, monkeypatch, metric):
-    import vexa.operators.knn as KN
+@pytest.mark.parametrize("n_queries", [1, 10])
+@pytest.mark.parametrize("metric", ["L2", "IP", "COSINE"])
+def test_many_splits_keep_every_hit(spark, metric, n_queries):
     rng = np.random.default_rng(11)
-    rows = [(i, [float(x) for x in rng.normal(size=64)]) for i in range(3000)]
-    base = spark.createDataFrame(rows, "id long, vector array<float>").repartition(40)
-    q = _q(spark, [(j, [float(x) for x in rng.normal(size=64)]) for j in range(4)])
-    if metric == "HAMMING":  # many exact ties: the bound must keep all of them
-        base = base.select("id", V.sign_bits("vector", 64).alias("vector"))
-        q = q.select("qid", V.sign_bits("qv", 64).alias("qv"))
-    monkeypatch.setattr(KN, "PRUNE_MIN_SPLITS", 10 ** 9)
-    plain = [tuple(r) for r in top_k(base, q, k=10, metric=metric, id_col="id", vec_col="vector")
-             .orderBy("qid", "rank").collect()]
-    monkeypatch.setattr(KN, "PRUNE_MIN_SPLITS", 8)
-    monkeypatch.setattr(KN, "PRUNE_SUBSET_ROWS", 200)
-    pruned = [tuple(r) for r in top_k(base, q, k=10, metric=metric, id_col="id", vec_col="vector")
-              .orderBy("qid", "rank").collect()]
-    assert plain == pruned and len(plain) == 40
-
-
-def test_export_bound_keeps_first_rows_exact(spark, monkeypatch):
-    import vexa.operators.knn as KN
-    monkeypatch.setattr(KN, "EXPORT_SUBSET_ROWS", 40)
+    base = [(i, [float(x) for x in rng.normal(size=16).astype(np.float32)]) for i in range(500)]
+    qs = [(q, [float(x) for x in rng.normal(size=16)]) for q in range(n_queries)]
+    got = top_k(_base(spark, base).repartition(250), _q(spark, qs), k=10, metric=metric, id_col="id", vec_col="vector")
+    res = {}
+    for r in got.orderBy("qid", "rank").collect():
+        res.setdefault(r.qid, []).append(r.id)
+    assert res == brute(base, qs, 10, metric)
+
+
+def test_l2_far_from_the_origin(spark):
+    rng = np.random.default_rng(12)
+    base = [(i, (10_000 + rng.normal(scale=0.001, size=64)).tolist()) for i in range(3000)]
+    qs = [(q, (10_000 + rng.normal(scale=0.001, size=64)).tolist()) for q in range(3)]
+    df = spark.createDataFrame(base, "id long, vector array<double>").repartition(7)
+    got = top_k(df, _q(spark, qs), k=10, id_col="id", vec_col="vector").orderBy("qid", "rank").collect()
+    want = brute(base, qs, 10, "L2")
+    assert {q: [r.id for r in got if r.qid == q] for q, _ in qs} == want
+    b = dict(base)
+    for r in got:
+        assert r.score == pytest.approx(((np.array(b[r.id]) - np.array(qs[r.qid][1])) ** 2).sum(), rel=1e-6)
+
+
+def test_queries_of_different_lengths_are_an_error(spark):
+    with pytest.raises(ValueError):
+        top_k(_base(spark, [(1, [1.0, 1.0])]), _q(spark, [(1, [0.0, 0.0]), (2, [0.0])]), id_col="id", vec_col="vector")
+
+
+def test_export_puts_rows_without_score_last(spark):
+    scored = spark.createDataFrame([(0, 5.0), (1, 1.0), (2, None), (3, 2.0)], "id long, score double")
+    for limit in (2, 3, 10):
+        got = [r.id for r in export_batches(scored, "score", "id", 2, limit=limit).orderBy("rn").collect()]
+        assert got == [1, 3, 0, 2][:limit]
+
+
+def test_limited_export_keeps_first_rows(spark):
     scored = spark.range(0, 3000, 1, 6).select(F.col("id"), ((F.col("id") * 7919) % 1000).cast("double").alias("score"))
     got = [(r.rn, r.id, r.batch_no) for r in export_batches(scored, "score", "id", 25, limit=100).orderBy("rn").collect()]
     want = sorted(((s, i) for i, s in ((i, float((i * 7919) % 1000)) for i in range(3000))))[:100]

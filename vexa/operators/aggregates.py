@@ -27,8 +27,10 @@ def list_length_stats(df: DataFrame, list_col: str, name: str | None = None) ->
 
 def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float,
                      out: str = "p") -> DataFrame:
-    v = df.select(*group_cols, F.col(value_col).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    numbered = global_row_number(v, [F.col(c).asc() for c in group_cols] + [F.col("_v").asc()], "_rn")
+    # _t splits a value that fills a group over many ranges
+    v = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"), F.monotonically_increasing_id().alias("_t"))
+         .where(F.col("_v").isNotNull()))
+    numbered = global_row_number(v, [F.col(c).asc() for c in group_cols] + [F.col("_v").asc(), F.col("_t").asc()], "_rn")
     stats = numbered.groupBy(*group_cols).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_n"))
     pos = F.lit(float(p)) * (F.col("_n") - 1)
     stats = stats.select(*group_cols, "_start", pos.alias("_pos"),

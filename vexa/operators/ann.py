@@ -42,27 +42,14 @@ class IvfIndex:
         return spark.read.parquet(self.path)
 
 
-MAX_TRAIN_ROWS = 200_000
-
-
-def _train_fraction(df: DataFrame, sample_fraction: float | None, max_train_rows: int) -> float | None:
-    """Sample fraction that caps the KMeans training set (training only:
-    every row is still assigned and indexed)."""
-    if sample_fraction:
-        return sample_fraction
-    n = df.count()
-    return max_train_rows / n if n > max_train_rows else None
-
-
 def ivf_build(spark: SparkSession, df: DataFrame, id_col: str, vec_col: str, nlist: int, seed: int = 42,
-              sample_fraction: float | None = None, path: str | None = None,
-              max_train_rows: int = MAX_TRAIN_ROWS) -> IvfIndex:
+              sample_fraction: float | None = None, path: str | None = None) -> IvfIndex:
+    """Trains on all rows unless the caller passes ``sample_fraction``; every row is indexed."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     feats = df.withColumn("features", array_to_vector(F.col(vec_col)))
     train = feats.select("features")
-    sample_fraction = _train_fraction(df, sample_fraction, max_train_rows)
     if sample_fraction and sample_fraction < 1.0:
         train = train.sample(fraction=sample_fraction, seed=seed)
     model = KMeans(k=nlist, seed=seed, featuresCol="features", maxIter=20).fit(train)
@@ -76,20 +63,40 @@ def ivf_build(spark: SparkSession, df: DataFrame, id_col: str, vec_col: str, nli
 
 
 def ivf_assign(index: IvfIndex, new_rows: DataFrame) -> DataFrame:
-    """Nearest cell for rows that arrive after the build (no rebuild, O82)."""
-    probes = top_k(index.centroids, new_rows.select(F.col(index.id_col).alias("qid"),
-                                                     F.col(index.vec_col).alias("qv")),
-                   k=1, metric="L2", id_col="cell", vec_col="centroid")
-    cells = probes.select(F.col("qid").alias(index.id_col), "cell")
-    return new_rows.join(cells, index.id_col)
+    """Nearest cell for rows that arrive after the build (no rebuild, O82).
+
+    The centroids (nlist x dim, fixed at build time) are broadcast and each Arrow
+    batch takes its nearest; rows never pass through the driver.  A row without a vector of
+    the index's length gets the cell -1, which no search probes."""
+    import pyarrow as pa
+
+    cells = index.centroids.orderBy("cell").collect()  # nlist rows
+    shared = new_rows.sparkSession.sparkContext.broadcast(
+        (np.array([r.cell for r in cells], np.int32), np.array([r.centroid for r in cells], np.float64)))
+    names, vec_col = new_rows.columns, index.vec_col
+
+    def run(batches):
+        ids, C = shared.value
+        for b in batches:
+            v = b.column(b.schema.get_field_index(vec_col))
+            ok = np.asarray(v.value_lengths().fill_null(-1)) == C.shape[1] if b.num_rows else np.zeros(0, bool)
+            cell = np.full(b.num_rows, -1, np.int32)
+            if ok.any():
+                X = v.filter(pa.array(ok)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, C.shape[1])
+                near = np.einsum("ij,ij->i", C, C)[None, :] - 2.0 * (X @ C.T)
+                cell[ok] = np.where(np.isnan(X).any(axis=1), -1, ids[near.argmin(axis=1)])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cell)], [*names, "cell"])
+
+    return new_rows.mapInArrow(run, T.StructType([*new_rows.schema.fields, T.StructField("cell", T.IntegerType())]))
 
 
 def ivf_search(spark: SparkSession, index: IvfIndex, queries: DataFrame, *, k: int = 10, nprobe: int = 8,
-               metric: str = "L2", where=None) -> DataFrame:
+               metric: str = "L2", where=None, table: DataFrame | None = None) -> DataFrame:
+    """``table`` overrides the indexed rows, e.g. with those of later batches added."""
     probes = top_k(index.centroids, queries, k=nprobe, metric="L2", id_col="cell", vec_col="centroid")
     probes = probes.select("qid", "cell")
     cells = sorted({int(r[0]) for r in probes.select("cell").distinct().collect()})  # <= nlist values
-    base = index.table(spark).where(F.col("cell").isin(*cells))
+    base = (index.table(spark) if table is None else table).where(F.col("cell").isin(*cells))
     if where is not None:
         base = base.where(where)
     return top_k(base, queries, k=k, metric=metric, id_col=index.id_col, vec_col=index.vec_col,
@@ -114,16 +121,17 @@ def ivf_search_settings(spark: SparkSession, index: IvfIndex, queries: DataFrame
     setting = F.explode(F.array(*[F.lit(i) for i in range(S)])).alias("s")
     limit = F.element_at(F.array(*[F.lit(n) for n in nprobes]), F.col("s") + 1)
     px = (probes.select("qid", "cell", "rank", setting).where(F.col("rank") <= limit)
-          .select((F.col("qid").cast("long") * S + F.col("s")).alias("qid"), "cell"))
-    qx = queries.select("qid", "qv", setting).select((F.col("qid").cast("long") * S + F.col("s")).alias("qid"), "qv")
+          .select(F.concat(F.col("qid").cast("string"), F.lit("#"), F.col("s").cast("string")).alias("qid"), "cell"))
+    qx = queries.select("qid", "qv", setting).select(F.concat(F.col("qid").cast("string"), F.lit("#"), F.col("s").cast("string")).alias("qid"), "qv")
     cells = sorted({int(r[0]) for r in probes.select("cell").distinct().collect()})  # <= nlist values
     base = index.table(spark).where(F.col("cell").isin(*cells))
     if where is not None:
         base = base.where(where)
     hits = top_k(base, qx, k=k, metric=metric, id_col=index.id_col, vec_col=index.vec_col,
                  cell_col="cell", probes=px, n_cells=index.nlist)
-    np_of = F.element_at(F.array(*[F.lit(n) for n in nprobes]), (F.col("qid") % S).cast("int") + 1)
-    return hits.select(F.floor(F.col("qid") / S).alias("qid"), np_of.alias("nprobe"), index.id_col, "score", "rank")
+    np_of = F.element_at(F.array(*[F.lit(n) for n in nprobes]), F.substring_index("qid", "#", -1).cast("int") + 1)
+    qid = F.regexp_replace("qid", "#[0-9]+$", "").cast(queries.schema["qid"].dataType)
+    return hits.select(qid.alias("qid"), np_of.alias("nprobe"), index.id_col, "score", "rank")
 
 
 def lsh_search(df: DataFrame, queries: DataFrame, id_col: str, vec_col: str, *, k: int = 10,
@@ -186,16 +194,17 @@ class PqCodebook:
 
 
 def pq_train(spark: SparkSession, df: DataFrame, vec_col: str, m: int, ksub: int = 16, seed: int = 42,
-             sample_fraction: float | None = None, max_train_rows: int = MAX_TRAIN_ROWS) -> PqCodebook:
-    """One MLlib KMeans per sub-space (Jegou et al. 2011), trained on at
-    most about ``max_train_rows`` sampled vectors."""
+             sample_fraction: float | None = None) -> PqCodebook:
+    """One MLlib KMeans per sub-space (Jegou et al. 2011), trained on all
+    vectors unless the caller passes ``sample_fraction``."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
 
     dim = int(df.select(F.max(F.size(vec_col))).first()[0])
+    if dim % m:
+        raise ValueError(f"{m} sub-spaces do not divide {dim} dimensions")
     dsub = dim // m
     src = df.select(vec_col)
-    sample_fraction = _train_fraction(df, sample_fraction, max_train_rows)
     if sample_fraction and sample_fraction < 1.0:
         src = src.sample(fraction=sample_fraction, seed=seed)
     src = src.where(F.size(vec_col) == dim)
@@ -292,11 +301,13 @@ def _pq_pass(codes: DataFrame, base: DataFrame, queries: DataFrame, book: PqCode
             return
         c = keys.shape[1]
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qid_arr, c), type=to_arrow_type(qid_type)),
-                                          pa.array(ids.reshape(-1),
-                                          type=to_arrow_type(id_type))], names=["qid", id_col])
+                                          pa.array(ids.reshape(-1), type=to_arrow_type(id_type)),
+                                          pa.array(keys.reshape(-1))], names=["qid", id_col, "adc"])
 
-    schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField(id_col, id_type)])
-    cand = codes.mapInArrow(adc, schema).distinct()
+    schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField(id_col, id_type),
+                           T.StructField("adc", T.DoubleType())])
+    # the best ``rerank`` codes of each query over all tasks
+    cand = rank_within(codes.mapInArrow(adc, schema), ["qid"], [F.col("adc").asc(), F.col(id_col).asc()], rerank).select("qid", id_col)
     ids = broadcast_if_small(cand.select(id_col).distinct())  # queries x rerank x tasks, checked
     vecs = base.select(id_col, vec_col).join(ids, id_col, "left_semi")
     from vexa.functions.vectors import l2_sq

@@ -34,12 +34,6 @@ MAX_QUERIES_PER_PASS = 2048
 MAX_QUERY_BYTES = 64 << 20
 # Bound for the (queries x rows) score block held in memory by one task.
 BLOCK_CELLS = 4_000_000
-# Rows of the subset that bounds a limited export (``export_batches``).
-EXPORT_SUBSET_ROWS = 50_000
-# Inputs with at least this many splits get a per-query score bound first
-# (see ``_bounds``); rows of the bounding subset.
-PRUNE_MIN_SPLITS = 64
-PRUNE_SUBSET_ROWS = 20_000
 
 
 def _select(keys: np.ndarray, ids_of, k: int) -> np.ndarray:
@@ -52,7 +46,7 @@ def _select(keys: np.ndarray, ids_of, k: int) -> np.ndarray:
     t = sel.max(axis=1)
     n_all = (keys == t[:, None]).sum(axis=1)
     n_sel = (sel == t[:, None]).sum(axis=1)
-    for r in np.nonzero(n_all > n_sel)[0]:
+    for r in np.nonzero((n_all > n_sel) & np.isfinite(t))[0]:
         lt = np.nonzero(keys[r] < t[r])[0]
         eq = np.nonzero(keys[r] == t[r])[0]
         need = k - len(lt)
@@ -61,19 +55,50 @@ def _select(keys: np.ndarray, ids_of, k: int) -> np.ndarray:
     return part
 
 
-def _dense_keys(metric: str, Q: np.ndarray, qn: np.ndarray, B: np.ndarray) -> np.ndarray:
-    """Sort keys (lower is better) of every query against every row of B."""
+def _dense_keys(metric: str, Q: np.ndarray, qn: np.ndarray, B: np.ndarray,
+                st_keys: np.ndarray, k: int, allowed: np.ndarray | None) -> np.ndarray:
+    """Sort keys (lower is better) of the rows of B that can reach a query's top k; infinite elsewhere.
+
+    One BLAS product estimates all keys.  Every row whose estimate is within
+    the rounding bound of the k-th best is then scored again row by row, so the
+    keys do not depend on the shape of the batch and no true hit is lost to
+    cancellation.  For L2 both sides come shifted towards the queries' mean."""
+    eps = np.finfo(np.float64).eps
+    dim = Q.shape[1]
+    bn = np.einsum("ij,ij->i", B, B)
     G = Q @ B.T
+    top = np.sqrt(bn.max(initial=0.0))
     if metric == "L2":
-        bn = np.einsum("ij,ij->i", B, B)
-        return np.maximum(qn[:, None] + bn[None, :] - 2.0 * G, 0.0)
-    if metric == "IP":
-        return -G
-    bnorm = np.sqrt(np.einsum("ij,ij->i", B, B))
-    den = np.sqrt(qn)[:, None] * bnorm[None, :]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        cos = np.where(den == 0, 0.0, G / np.where(den == 0, 1.0, den))
-    return -cos
+        K = qn[:, None] + bn[None, :] - 2.0 * G
+        slack = 8 * eps * (dim + 4) * (qn + top * top)
+    elif metric == "IP":
+        K = -G
+        slack = 8 * eps * (dim + 4) * np.sqrt(qn) * top
+    else:
+        den = np.sqrt(qn)[:, None] * np.sqrt(bn)[None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            K = -np.where(den == 0, 0.0, G / np.where(den == 0, 1.0, den))
+        slack = np.full(len(Q), 8 * eps * (dim + 4))
+    K[np.isnan(K)] = np.inf
+    if allowed is not None:
+        K[~allowed] = np.inf
+    both = np.hstack([st_keys, K])
+    kth = np.partition(both, k - 1, axis=1)[:, k - 1] if both.shape[1] >= k else np.full(len(Q), np.inf)
+    i, j = np.nonzero(np.isfinite(K) & (K <= (kth + 2 * slack)[:, None]))
+    out = np.full(K.shape, np.inf)
+    step = max(1, BLOCK_CELLS // dim)
+    for lo in range(0, len(i), step):
+        a, b = i[lo:lo + step], j[lo:lo + step]
+        if metric == "L2":
+            d = Q[a] - B[b]
+            out[a, b] = np.einsum("ij,ij->i", d, d)
+            continue
+        dot = np.einsum("ij,ij->i", Q[a], B[b])
+        if metric == "COSINE":
+            n = np.sqrt(qn[a]) * np.sqrt(bn[b])
+            dot = np.where(n == 0, 0.0, dot / np.where(n == 0, 1.0, n))
+        out[a, b] = -dot
+    return out
 
 
 def _bit_keys(metric: str, Q: np.ndarray, B: np.ndarray) -> np.ndarray:
@@ -91,8 +116,11 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
     binary = metric in BINARY
 
     def run(batches):
-        qids, Q, probe, thr = bq.value
+        qids, Q, probe = bq.value
         m = len(qids)
+        if metric == "L2":
+            shift = Q.mean(axis=0)
+            Q = Q - shift
         qn = np.einsum("ij,ij->i", Q, Q) if not binary else None
         width = Q.shape[1]
         st_keys = np.empty((m, 0), dtype=np.float64)
@@ -112,14 +140,14 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
             for lo in range(0, n, step):
                 ids = ids_all[lo:lo + step]
                 B = B_all[lo:lo + step]
-                K = _bit_keys(metric, Q, B) if binary else _dense_keys(metric, Q, qn, B)
-                K = np.where(np.isnan(K), np.inf, K)
-                if thr is not None:
-                    # rows worse than the query's bound cannot reach its top-k
-                    K = np.where(K <= thr[:, None], K, np.inf)
-                if probe is not None:
-                    # a query only sees rows of the cells it probes
-                    K = np.where(probe[:, cells_all[lo:lo + step]], K, np.inf)
+                # a query only sees rows of the cells it probes
+                allowed = probe[:, cells_all[lo:lo + step]] if probe is not None else None
+                if binary:
+                    K = _bit_keys(metric, Q, B)
+                    if allowed is not None:
+                        K = np.where(allowed, K, np.inf)
+                else:
+                    K = _dense_keys(metric, Q, qn, B - shift if metric == "L2" else B, st_keys, k, allowed)
                 if st_ids is None:
                     st_ids = np.empty((m, 0), dtype=ids.dtype)
                 sc = st_keys.shape[1]
@@ -156,28 +184,6 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
     return run
 
 
-def _bounds(base: DataFrame, cols: list[str], bq_plain, k: int, metric: str, id_col: str, vec_col: str,
-            qid_dt, id_dt, qids: np.ndarray, cell_col: str | None) -> np.ndarray | None:
-    """Per-query sort-key bound: the k-th best key over a bounded subset of
-    the base (``limit``, so only a few splits are read).  The subset's k-th
-    best is never better than the full table's, so every true top-k row is
-    within the bound and dropping the rest keeps the result exact, while the
-    candidate shuffle shrinks from queries x k x splits to about the rows
-    that beat the bound."""
-    out_schema = T.StructType([T.StructField("qid", qid_dt), T.StructField(id_col, id_dt),
-                               T.StructField("score", T.DoubleType())])
-    fn = _partition_topk(bq_plain, k, metric, id_col, vec_col, _arrow_type(qid_dt), _arrow_type(id_dt), cell_col)
-    sub = base.select(*cols).limit(PRUNE_SUBSET_ROWS).repartition(1).mapInArrow(fn, out_schema)
-    agg = F.max("score") if ASCENDING[metric] else F.min("score")
-    got = {r[0]: (r[1], r[2]) for r in sub.groupBy("qid").agg(agg.alias("b"), F.count(F.lit(1)).alias("n")).collect()}
-    thr = np.full(len(qids), np.inf)
-    for i, q in enumerate(qids.tolist()):
-        if q in got and got[q][1] >= k:
-            b = got[q][0]
-            thr[i] = b if ASCENDING[metric] else -b
-    return thr
-
-
 def _arrow_type(dt: T.DataType):
     from pyspark.sql.pandas.types import to_arrow_type
     return to_arrow_type(dt)
@@ -212,8 +218,8 @@ def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2
 
     ``base`` needs ``id_col`` and ``vec_col`` (array<float|double>, or
     array<long> packed bits for HAMMING / JACCARD).  Rows whose vector is
-    null or of another length than the queries are skipped (rejected at
-    write time by ``sources.schema``).
+    null, of another length than the queries or not a number (NaN) are never
+    hits; queries of different lengths in one search are an error.
 
     With ``probes(qid, cell)`` (IVF search) a query scores only rows whose
     ``cell_col`` it probes; the probe table is bounded by queries x nprobe.
@@ -232,7 +238,8 @@ def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2
         if not rows:
             continue
         d = len(rows[0][1])
-        rows = [r for r in rows if len(r[1]) == d]
+        if any(len(r[1]) != d for r in rows):
+            raise ValueError("queries of one search must have one dimension")
         qids = np.array([r[0] for r in rows])
         if metric in BINARY:
             Q = np.array([r[1] for r in rows], dtype=np.int64).view(np.uint64).reshape(len(rows), d)
@@ -246,12 +253,7 @@ def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2
                 if qid in pos:
                     probe[pos[qid], int(cell)] = True
         cols = [id_col, vec_col] + ([cell_col] if probe is not None else [])
-        thr = None
-        if base.rdd.getNumPartitions() >= PRUNE_MIN_SPLITS:
-            plain = sc.broadcast((qids, Q, probe, None))
-            thr = _bounds(base.where(F.size(F.col(vec_col)) == d), cols, plain, k, metric, id_col, vec_col,
-                          qid_dt, id_dt, qids, cell_col)
-        bq = sc.broadcast((qids, Q, probe, thr))
+        bq = sc.broadcast((qids, Q, probe))
         fn = _partition_topk(bq, k, metric, id_col, vec_col, _arrow_type(qid_dt), _arrow_type(id_dt), cell_col)
         cand = (base.select(*cols)
                 .where(F.size(F.col(vec_col)) == d)
@@ -268,13 +270,6 @@ def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2
             .where(F.col("rank") <= k))
 
 
-def top_k_single(base: DataFrame, score_col, *, k: int = 10, ascending: bool = True,
-                 id_col: str = "id") -> DataFrame:
-    """Top-k of one scored relation (``TakeOrderedAndProject``), ties by id."""
-    order = score_col.asc() if ascending else score_col.desc()
-    return base.orderBy(order, F.col(id_col).asc()).limit(k)
-
-
 def centroid_queries(df: DataFrame, group_col: str, vec_col: str,
                      qid_col: str = "qid", qvec_col: str = "qv") -> DataFrame:
     """Mean vector per group, as a query set ``(qid, qv array<double>)``.
@@ -316,22 +311,13 @@ def fetch_fields(hits: DataFrame, payloads: list[tuple[DataFrame, str, str]]) ->
 def export_batches(scored: DataFrame, score_col: str, id_col: str, batch_size: int,
                    limit: int | None = None, ascending: bool = True) -> DataFrame:
     """Every row in (score, id) order with a global position ``rn`` and
-    ``batch_no = (rn - 1) div batch_size``; rows past ``limit`` dropped.
+    ``batch_no = (rn - 1) div batch_size``; rows past ``limit`` dropped.  Rows
+    without a score come last.
 
     Numbering goes through ``global_row_number`` (range partitions plus
     offsets), never through one global window."""
     from vexa.operators.ordering import batch_number, global_row_number
-    order = [F.col(score_col).asc() if ascending else F.col(score_col).desc(), F.col(id_col).asc()]
-    if limit is not None:
-        # The limit-th best score of any subset is no better than the table's,
-        # so every row of the true first ``limit`` passes this bound: only
-        # those rows (plus ties) are range-sorted, not the whole table.
-        sub = scored.limit(max(limit, EXPORT_SUBSET_ROWS)).orderBy(*order).limit(limit)
-        got = sub.agg(F.count(F.lit(1)).alias("n"),
-                      (F.max if ascending else F.min)(score_col).alias("b")).first()
-        if got["n"] == limit and got["b"] is not None:
-            keep = F.col(score_col) <= got["b"] if ascending else F.col(score_col) >= got["b"]
-            scored = scored.where(keep)
+    order = [F.col(score_col).asc_nulls_last() if ascending else F.col(score_col).desc_nulls_last(), F.col(id_col).asc()]
     n = global_row_number(scored, order, "rn")
     if limit is not None:
         n = n.where(F.col("rn") <= limit)

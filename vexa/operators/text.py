@@ -58,7 +58,7 @@ def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", te
                 .where(F.col("term").isNotNull())
                 .groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")))
     n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (postings.repartitionByRange(n_part, "term").sortWithinPartitions("term", "doc_id")
+    (postings.repartitionByRange(n_part, "term", "doc_id").sortWithinPartitions("term", "doc_id")
      .write.parquet(f"{path}/postings"))
     p = spark.read.parquet(f"{path}/postings")
     n_docs = docs.count()  # every document, also those without tokens

@@ -99,7 +99,10 @@ WHERE floor(epoch(ts))::BIGINT >= 1704240000 AND floor(epoch(ts))::BIGINT < 1704
 def epoch_time_filter(spark, sf):
     e = load(spark, sf, "events").withColumn("epoch_s", P.epoch_seconds("ts"))
     # one day, 2024-01-03 00:00 to 2024-01-04 00:00 UTC, in epoch seconds
-    return e.where(P.half_open("epoch_s", 1704240000, 1704326400)).select("event_id", "epoch_s")
+    # as time stamps of the column's own type, so that the scan gets the bounds
+    kind = dict(e.dtypes)["ts"]
+    low, high = (F.timestamp_seconds(F.lit(s)).cast(kind) for s in (1704240000, 1704326400))
+    return e.where((F.col("ts") >= low) & (F.col("ts") < high)).select("event_id", "epoch_s")
 
 
 TEXT_QUERY = "thon thor"

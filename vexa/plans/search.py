@@ -210,7 +210,7 @@ def vector_head(spark, sf):
 
 # --- O10 search iterator: every row by distance, in numbered batches ---------
 EXPORT_BATCH = 100
-EXPORT_LIMIT = 10_000
+EXPORT_LIMIT = 300
 
 
 @register("export_batches", f"""

@@ -181,18 +181,17 @@ def create_or_replace_table(spark, sf):
 # --- partitions -------------------------------------------------------------
 def _customer_table(spark, sf):
     name = f"vexa_cust_{uuid.uuid4().hex[:8]}"
-    path = scratch_path(spark, name)
     c = load(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    (c.hint("rebalance", "c_mktsegment").write.option("path", path).partitionBy("c_mktsegment")
+    (c.hint("rebalance", "c_mktsegment").write.partitionBy("c_mktsegment")
      .saveAsTable(name))
-    return name, path
+    return name  # a managed table: dropping a partition removes its files
 
 
 @register("partition_insert", """
 SELECT c_mktsegment, count(*) AS num_rows FROM customer GROUP BY 1
 UNION ALL SELECT 'SUPPLIER', count(*) FROM supplier""")
 def partition_insert(spark, sf):
-    name, path = _customer_table(spark, sf)
+    name = _customer_table(spark, sf)
     s = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"),
                                           F.lit("SUPPLIER").alias("c_mktsegment"))
     s.write.insertInto(name)
@@ -202,7 +201,7 @@ def partition_insert(spark, sf):
 @register("partition_drop", """
 SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'""")
 def partition_drop(spark, sf):
-    name, _ = _customer_table(spark, sf)
+    name = _customer_table(spark, sf)
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (c_mktsegment = 'BUILDING')")
     return spark.table(name).select("c_custkey", "c_mktsegment")
 
@@ -210,7 +209,7 @@ def partition_drop(spark, sf):
 @register("partition_list", """
 SELECT c_mktsegment, count(*) AS num_rows FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1""")
 def partition_list(spark, sf):
-    name, _ = _customer_table(spark, sf)
+    name = _customer_table(spark, sf)
     spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (c_mktsegment = 'BUILDING')")
     shown = spark.sql(f"SHOW PARTITIONS {name}").select(
         F.regexp_extract("partition", r"^c_mktsegment=(.*)$", 1).alias("c_mktsegment"))

@@ -93,7 +93,7 @@ def _hybrid(spark, sf):
         F.col("doc_id").alias("qid"), F.col("text").alias("qtext"), F.col("embedding").alias("qv"))
     dense = top_k(corpus.select("doc_id", "embedding"), hq, k=HYBRID_LIMIT, metric="IP",
                   id_col="doc_id", vec_col="embedding")
-    idx = build_index(spark, corpus.select("doc_id", "text"))
+    idx = build_index(spark, docs.select("doc_id", "text"))  # also documents without a vector
     sparse = bm25_topk(idx, query_terms(hq, "qid", "qtext"), HYBRID_LIMIT)
     return dense, sparse
 
@@ -101,7 +101,7 @@ def _hybrid(spark, sf):
 def _hybrid_sql_lists():
     dense = (f"SELECT qid, doc_id, d, row_number() OVER (PARTITION BY qid ORDER BY d DESC, doc_id) AS rk FROM ("
              f"SELECT hq.qid, c.doc_id, {S.ip('c.embedding', 'hq.qv')} AS d FROM {CORPUS_SQL} c, {HQ_SQL} hq)")
-    return f"""WITH {bm25_sql(CORPUS_SQL, HQ_SQL)},
+    return f"""WITH {bm25_sql("documents", HQ_SQL)},
 dn AS (SELECT * FROM ({dense}) WHERE rk <= {HYBRID_LIMIT}),
 sp AS (SELECT * FROM bm WHERE rk <= {HYBRID_LIMIT})"""
 

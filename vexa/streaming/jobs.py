@@ -60,11 +60,13 @@ def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def stream_into_table(spark: SparkSession, parts: list[DataFrame], name: str,
-                      dedupe: tuple[list[str], str, str] | None = None) -> DataFrame:
-    """Land ``parts`` as files, stream them into a batch-keyed table, return it."""
+                      dedupe: tuple[list[str], str, str] | None = None,
+                      transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Land ``parts`` as files, stream them into a batch-keyed table, return it.
+    ``transform`` is applied to each micro-batch before it is written."""
     landing, sink = scratch_path(spark, f"landing-{name}"), scratch_path(spark, f"sink-{name}")
     land_files(parts, landing)
-    run_available_now(spark, landing, parts[0].schema, batch_sink(sink), name, dedupe=dedupe)
+    run_available_now(spark, landing, parts[0].schema, lambda df, b: batch_sink(sink)(transform(df), b), name, dedupe=dedupe)
     return spark.read.parquet(sink)
 
 
