@@ -119,6 +119,8 @@ W_DENSE, W_SPARSE = 0.8, 0.3
 
 
 def _mm(rel: str, w: float) -> str:
+    # scores that tie up to rounding (copies of a text) must normalise alike
+    rel = f"(SELECT qid, doc_id, round(d, 9) AS d FROM {rel})"
     return (f"SELECT qid, doc_id, {w}e0 * CASE WHEN max(d) OVER (PARTITION BY qid) = min(d) OVER (PARTITION BY qid) "
             f"THEN 1.0e0 ELSE (d - min(d) OVER (PARTITION BY qid)) / (max(d) OVER (PARTITION BY qid) - "
             f"min(d) OVER (PARTITION BY qid)) END AS s FROM {rel}")
@@ -130,6 +132,7 @@ f AS (SELECT qid, doc_id, sum(s) AS d FROM ({_mm('dn', W_DENSE)} UNION ALL {_mm(
 {S.topk('SELECT * FROM f', HYBRID_LIMIT, 'DESC', 'doc_id')}""")
 def hybrid_weighted(spark, sf):
     dense, sparse = _hybrid(spark, sf)
+    dense, sparse = rounded(dense, places=9), rounded(sparse, places=9)
     return rounded(H.weighted([(dense, W_DENSE, True), (sparse, W_SPARSE, True)], "doc_id", HYBRID_LIMIT))
 
 
