@@ -8,13 +8,13 @@ from vexa.sources.versioned import VersionedTable
 
 
 def test_price_upsert_then_delete(spark):
-    # fixture: id 10001 price 999 -> upsert 1099 -> delete -> none
-    base = spark.createDataFrame([(10001, 999)], "id long, price long")
-    up = D.upsert(base, spark.createDataFrame([(10001, 1099)], "id long, price long"), ["id"])
-    assert [tuple(r) for r in up.collect()] == [(10001, 1099)]
-    gone = D.delete_where(up, F.col("id") == 10001)
+    # insert, upsert, delete, delete again
+    base = spark.createDataFrame([(731, 45)], "id long, price long")
+    up = D.upsert(base, spark.createDataFrame([(731, 52)], "id long, price long"), ["id"])
+    assert [tuple(r) for r in up.collect()] == [(731, 52)]
+    gone = D.delete_where(up, F.col("id") == 731)
     assert gone.count() == 0
-    assert D.delete_where(gone, F.col("id") == 10001).count() == 0  # idempotent
+    assert D.delete_where(gone, F.col("id") == 731).count() == 0  # idempotent
 
 
 def test_upsert_latest_wins_within_batch(spark):
@@ -26,11 +26,11 @@ def test_upsert_latest_wins_within_batch(spark):
 
 def test_atomic_batch_rejected_leaves_nothing(spark):
     t = VersionedTable(spark, scratch_path(spark, "atomic-test"))
-    good = spark.createDataFrame([(9999, [0.1] * 64)], "id long, vector array<float>")
+    good = spark.createDataFrame([(640, [0.3] * 64)], "id long, vector array<float>")
     assert t.publish_if(good, D.validate_batch(good, F.size("vector") == 64))
-    bad = spark.createDataFrame([(10001, [0.9] * 64), (10002, [0.9] * 63)], "id long, vector array<float>")
+    bad = spark.createDataFrame([(641, [0.6] * 64), (642, [0.6] * 63)], "id long, vector array<float>")
     assert t.publish_if(bad, D.validate_batch(bad, F.size("vector") == 64)) is None
-    assert [r.id for r in t.read().collect()] == [9999]
+    assert [r.id for r in t.read().collect()] == [640]
     assert len(t.versions()) == 1
 
 
@@ -43,11 +43,11 @@ def test_insert_sizes_total_104(spark):
 
 
 def test_ttl_and_enum_filter(spark):
-    rows = [(1001, True, "apple", 100, dt.datetime(2024, 1, 1, 0, 0, 0)),
-            (1002, False, "banana", 200, dt.datetime(2024, 1, 1, 0, 0, 1)),
-            (1003, True, "cherry", 300, dt.datetime(2024, 1, 1, 0, 0, 2))]
+    rows = [(1001, True, "maple", 100, dt.datetime(2024, 1, 1, 0, 0, 0)),
+            (1002, False, "birch", 200, dt.datetime(2024, 1, 1, 0, 0, 1)),
+            (1003, True, "cedar", 300, dt.datetime(2024, 1, 1, 0, 0, 2))]
     df = spark.createDataFrame(rows, "id long, b boolean, s string, i int, ts timestamp")
-    assert df.where(F.col("s").isin("apple", "cherry")).count() == 2
+    assert df.where(F.col("s").isin("maple", "cedar")).count() == 2
     assert D.ttl_filter(df, "ts", 5, dt.datetime(2024, 1, 1, 0, 0, 3)).count() == 3
     assert D.ttl_filter(df, "ts", 5, dt.datetime(2024, 1, 1, 0, 0, 30)).count() == 0
 
