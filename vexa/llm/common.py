@@ -46,7 +46,8 @@ def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Where ``id_col`` is unique and never null, ``_uid`` is the id itself.
     Otherwise the rows are ordered by (id, nulls last; text) and numbered in
     that order, and written once, so that a repeated row is a later document of
-    its own.  The check reads only the id column.
+    its own.  The check reads only the id column.  A ``_uid`` that ``docs`` has already is
+    replaced.
     """
     per_id = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
     clash = per_id.filter(F.col(id_col).isNull() | (F.col("n") > 1)).limit(1).count()

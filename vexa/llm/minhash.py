@@ -15,8 +15,8 @@
    shingle sets.  A unit returns a spanning forest of its verified links, not the links.
 4. Connected components of the links.
 
-A pair of Jaccard similarity 0.85 agrees on fewer than 28 of 48 coordinates
-with probability 1e-6.
+``matches`` follows from the similarity: a pair at the threshold agrees on fewer than that many
+of 48 coordinates with probability 2e-6 at most (28 at similarity 0.85, 24 at 0.80).
 
 Null, empty or blank texts have no shingles and link with nothing.  A text of
 fewer words than a shingle is one shingle.  Repeated rows are copies; see
@@ -26,6 +26,7 @@ fewer words than a shingle is one shingle.  Repeated rows are copies; see
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -249,10 +250,23 @@ def verified_links(docs: DataFrame, reps: DataFrame, prefix: DataFrame, words: i
             .mapInArrow(run, "a long, b long"))
 
 
+def least_matches(coords: int, ratio: tuple[int, int], miss: float = 2e-6) -> int:
+    """Largest number of equal coordinates that a pair of similarity ``ratio`` falls short of with
+    probability ``miss`` at most."""
+    p, short = ratio[0] / ratio[1], 0.0
+    for m in range(coords):
+        short += comb(coords, m) * p**m * (1 - p)**(coords - m)
+        if short > miss:
+            return max(m, 1)
+    return coords
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, ratio: tuple[int, int] = (85, 100), coords: int = 48,
-                    matches: int = 28, block_bytes: int = 1 << 20) -> DataFrame:
+                    matches: int | None = None, block_bytes: int = 1 << 20) -> DataFrame:
     """One row per row of ``docs`` (which has ``_uid``, see ``common.identified``):
-    (_uid, n_shingles, component, kept)."""
+    (_uid, n_shingles, component, kept).  Texts whose sets have a Jaccard similarity of at least
+    ``ratio`` (numerator, denominator) are linked."""
+    matches = least_matches(coords, ratio) if matches is None else matches
     sigs = C.save(signatures(docs, words, coords), "signatures")
     classes = sigs.filter("n > 0").groupBy("n", "s1", "s2").agg(F.min("_uid").alias("rep"))
     owner = C.save(sigs.select("_uid", "n", "s1", "s2").join(classes, ["n", "s1", "s2"], "left")

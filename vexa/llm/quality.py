@@ -245,7 +245,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", max_rows: int = 1500, max_byt
 
 
 def score(docs: DataFrame, models: tuple[WeakLabels, Scorer], text_col: str = "text") -> DataFrame:
-    """All rows and columns of ``docs`` plus _posterior (of the labellers) and _quality (the score)."""
+    """All rows and columns of ``docs`` plus _posterior (of the labellers) and _quality (the score);
+    columns of these names that ``docs`` has already are replaced."""
+    docs = docs.drop("_posterior", "_quality")
     shared = docs.sparkSession.sparkContext.broadcast(models)  # bounded by the number of buckets
     names = docs.columns
 
