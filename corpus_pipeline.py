@@ -6,12 +6,14 @@ contaminated by the benchmark, pack the rest into sequences.  All but the last r
 columns of ``documents``; each stage's result is written as Parquet and read again.
 
 Nulls in any column pass through; a null or blank text has no words and is rejected by the
-first stage.  Repeated rows are near duplicates of each other.  Clashing column names cannot
-occur: helper columns start with ``_`` and are dropped.  An empty table gives an empty result.
+first stage.  Repeated rows are near duplicates of each other.  Extra columns of any name pass
+through: a stage sees them under neutral names.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,18 +24,34 @@ from vexa.llm.queries import word_count
 #: A document stays where its quality score reaches this.
 KEEP_SCORE = 0.5
 
+#: Documents whose sets of five-word shingles are as similar as this (numerator, denominator) are near duplicates.
+NEAR = (80, 100)
+
+
+def keeping_columns(stage):
+    """Let a stage work on ``doc_id``, ``text`` and ``n_chars`` with the other columns renamed, so that none
+    clashes with a helper column, and give its result the columns of ``docs`` again."""
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        plain = docs.toDF(*(c if c in ("doc_id", "text", "n_chars") else f"other{i}" for i, c in enumerate(docs.columns)))
+        return stage(spark, plain, sf_dir).toDF(*docs.columns)
+    return run
+
 
+@keeping_columns
 def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = quality.score(docs, quality.train(docs.select("doc_id", "text")))
     return scored.filter(F.col("_quality") >= KEEP_SCORE).select(*docs.columns)
 
 
+@keeping_columns
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = C.identified(docs)
-    kept = minhash.near_duplicates(keyed.select(C.UID, "text")).filter("kept").select(C.UID)
+    kept = minhash.near_duplicates(keyed.select(C.UID, "text"), ratio=NEAR).filter("kept").select(C.UID)
     return keyed.join(kept, C.UID, "left_semi").select(*docs.columns)
 
 
+@keeping_columns
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts lose their repeated passages; ``n_chars`` is that of the shorter text.  A null text stays null."""
     keyed = C.identified(docs)
@@ -44,6 +62,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return shorter.select(*docs.columns)
 
 
+@keeping_columns
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     keyed = C.identified(docs)
     found = posindex.contamination(keyed.select(C.UID, "text"), C.load(spark, sf_dir, "benchmark"))
