@@ -53,10 +53,10 @@ def near_rows():
     return rows
 
 
-def brute_near(texts):
+def brute_near(texts, percent=85):
     sets = [shingles(t) for t in texts]
     pairs = [(i, j) for i in range(len(sets)) for j in range(i) if sets[i] and sets[j]
-             and 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+             and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])]
     return sets, roots(len(texts), pairs)
 
 
@@ -71,6 +71,18 @@ def test_near_duplicates_equal_brute_force(spark, block_bytes):
         assert (got[i].n_shingles, got[i].component, got[i].kept) == (len(sets[i]), root[i], root[i] == i)
 
 
+def test_near_duplicates_at_the_similarity_of_the_pipeline(spark):
+    from corpus_pipeline import NEAR, drop_near_duplicates
+
+    texts = near_rows()
+    docs = spark.createDataFrame([(i, t, None, "s", None) for i, t in enumerate(texts)], DOCS)
+    _, root = brute_near(texts, 100 * NEAR[0] // NEAR[1])
+    assert root != brute_near(texts)[1]
+    kept = {r.doc_id for r in drop_near_duplicates(spark, docs, SF).collect()}
+    assert kept == {i for i in range(len(texts)) if root[i] == i}
+    assert (minhash.least_matches(48, (85, 100)), minhash.least_matches(48, NEAR)) == (28, 24)
+
+
 def test_op7_on_documents(spark):
     rows = queries.QUERIES["op7_minhash_dedup"](spark, SF).collect()
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())

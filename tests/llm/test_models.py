@@ -275,3 +275,17 @@ def test_pipeline_stages_take_odd_rows(spark):
         for name, stage in P.STAGES:
             out = stage(spark, docs, SF)
             assert out.count() >= (1 if data else 0), name
+
+
+def test_pipeline_stages_keep_columns_of_clashing_names(spark):
+    import corpus_pipeline as P
+
+    clean = "a quiet river runs past the old mill and on to the sea where it ends in the evening light"
+    extra = ["_uid", "_quality", "kept", "n", "id", "_cut", "component", "other3", "items", "size"]
+    rows = [(i, t, len(t), *range(i, i + len(extra))) for i, t in enumerate([clean, clean, clean.replace("river", "stream of water") + " glow"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"`{c}` long" for c in extra))
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.dtypes == docs.dtypes, name
+        for r in out.collect():
+            assert tuple(r)[3:] == rows[r.doc_id][3:], name
