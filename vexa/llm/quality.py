@@ -195,26 +195,33 @@ def _levels(feat: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def fit_scorer(texts: list[bytes], q: np.ndarray, buckets: int = 1 << 14, steps: int = 200, rate: float = 0.5,
-               decay: float = 1e-4) -> Scorer:
-    """Logistic regression on shares of hashed n-grams, and on levels, against posterior labels, by Adam."""
+               decay: float = 1e-4, at_once: int = 128) -> Scorer:
+    """Logistic regression on shares of hashed n-grams, and on levels, against posterior labels, by Adam.
+    Each step adds up the gradient over portions of ``at_once`` texts."""
     if not len(q):
         return Scorer(np.zeros(buckets), 0.0, False)
-    parts = []
-    for i, t in enumerate(texts):
+    cols, vals = [], []
+    for t in texts:
         data = np.frombuffer(t, np.uint8)
-        h = np.concatenate(list(_grams(data, buckets)))
-        b, n = np.unique(h, return_counts=True)
-        parts.append((np.full(len(b), i), b, n / (n.sum() + SHORT)))
+        b, n = np.unique(np.concatenate(list(_grams(data, buckets))), return_counts=True)
         level = _levels(features(data, np.array([0, len(data)]))[0], buckets)[0]
-        parts.append((np.full(len(level), i), level, np.full(len(level), LEVEL)))
-    row, col, val = (np.concatenate(p) for p in zip(*parts))
+        cols.append(np.concatenate([b, level]).astype(np.int32))
+        vals.append(np.concatenate([n / (n.sum() + SHORT), np.full(len(level), LEVEL)]).astype(np.float32))
+    at = np.concatenate([[0], np.cumsum([len(c) for c in cols])])
+    col, val = np.concatenate(cols), np.concatenate(vals)
+    del cols, vals  # the driver's memory is small
     w, bias, m, v = np.zeros(buckets), 0.0, np.zeros(buckets + 1), np.zeros(buckets + 1)
     share = max(min(q.mean(), 1 - 1e-6), 1e-6)
     balance = (q * 0.5 / share + (1 - q) * 0.5 / (1 - share)) / len(q)
     for step in range(1, steps + 1):
-        z = np.bincount(row, w[col] * val, len(q)) + bias
-        err = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - q) * balance
-        g = np.append(np.bincount(col, err[row] * val, buckets) + decay * w / len(q), err.sum())
+        g = np.append(decay * w / len(q), 0.0)
+        for lo in range(0, len(q), at_once):
+            hi = min(lo + at_once, len(q))
+            c, x = col[at[lo]:at[hi]], val[at[lo]:at[hi]]
+            z = np.add.reduceat(w[c] * x, at[lo:hi] - at[lo]) + bias
+            err = (1 / (1 + np.exp(-np.clip(z, -500, 500))) - q[lo:hi]) * balance[lo:hi]
+            g[:-1] += np.bincount(c, np.repeat(err, np.diff(at[lo:hi + 1])) * x, buckets)
+            g[-1] += err.sum()
         m = 0.9 * m + 0.1 * g
         v = 0.99 * v + 0.01 * g * g
         move = rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-10)
@@ -236,12 +243,8 @@ def train(docs: DataFrame, id_col: str = "doc_id", max_rows: int = 1500, max_byt
         found = docs.sparkSession.createDataFrame([(int(p),) for p in pattern[side]], "pattern long")
         ids = table.filter(f"size <= {max_bytes}").join(F.broadcast(found), "pattern").select(F.col("id").alias(id_col))
         texts += [t.encode() for t in C.sample_texts(docs.filter(F.octet_length("text").between(1, max_bytes)), ids, id_col, max_rows)]
-    own = np.zeros(0)
-    if texts:
-        data = np.frombuffer(b"".join(texts), np.uint8)
-        offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-        own = model.posterior(votes(*features(data, offs)))
-    return model, fit_scorer(texts, own, buckets)
+    own = [model.posterior(votes(*features(np.frombuffer(t, np.uint8), np.array([0, len(t)])))) for t in texts]
+    return model, fit_scorer(texts, np.concatenate(own) if own else np.zeros(0), buckets)
 
 
 def score(docs: DataFrame, models: tuple[WeakLabels, Scorer], text_col: str = "text") -> DataFrame:
