@@ -51,3 +51,22 @@ def test_stream_replay_deduplicated_within_watermark(spark):
     table = J.stream_into_table(spark, parts, "dedupe-test", dedupe=(["event_id"], "ts", "40 days"))
     assert table.count() == e.count()
     assert table.select("event_id").distinct().count() == e.count()
+
+
+def test_import_checks_every_file(spark):
+    from pyspark.sql import types as T
+
+    from vexa.session import scratch_path
+    from vexa.sources import io as IO
+
+    declared = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    paths = []
+    for kind in ("long", "string"):
+        path = scratch_path(spark, f"mixed-{kind}")
+        spark.range(5).selectExpr("id AS a", f"CAST(id AS {kind}) AS b").coalesce(1).write.parquet(path)
+        paths += IO.list_files(spark, path)
+    for files, ok in ((paths, False), (paths[::-1], False), (paths[:1], True)):
+        target = scratch_path(spark, "mixed-target")
+        assert IO.bulk_import(spark, files, target, declared) is ok
+        if ok:
+            assert spark.read.parquet(target).count() == 5

@@ -7,6 +7,7 @@ code works on local disk, HDFS or an object store.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,10 +63,18 @@ def schema_matches(actual: T.StructType, declared: T.StructType) -> bool:
 
 def bulk_import(spark: SparkSession, files: list[str], target: str, declared: T.StructType) -> bool:
     """Append prepared files to ``target`` when their schema is the declared
-    one; the whole set is accepted or rejected (O04, O05)."""
+    one; the whole set is accepted or rejected (O04, O05).
+
+    The footers of all files are read by a Spark job (``mergeSchema``): a file with another type or with a
+    column of its own rejects the set.  A column that a file lacks is read as null."""
     if not files:
         return True
-    src = spark.read.parquet(*files)
+    try:
+        src = spark.read.option("mergeSchema", "true").parquet(*files)
+    except Py4JJavaError as e:  # the merge fails with a plain SparkException
+        if "CANNOT_MERGE" not in str(e.java_exception):
+            raise
+        return False
     if not schema_matches(src.schema, declared):
         return False
     src.select(*[f.name for f in declared.fields]).write.mode("append").parquet(target)
