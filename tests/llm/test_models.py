@@ -150,6 +150,48 @@ def test_quality_votes_estimates_and_scores(spark):
     assert quality.score(empty, quality.train(empty)).count() == 0
 
 
+def quality_texts():
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("aeioutnrsl"), rng.integers(2, 9))) for _ in range(800)]
+    clean = [" ".join(rng.choice(words, 2500)) + "." for _ in range(12)]
+    junk = [" ".join("%s###!! BUY!! $$$" % w for w in rng.choice(words, 40)) for _ in range(12)]
+    assert min(map(len, clean)) > 8192
+    return clean, junk
+
+
+def kept_texts(spark, texts, ids=None):
+    docs = spark.createDataFrame([(None if ids is None else ids[i], t) for i, t in enumerate(texts)], "doc_id long, text string")
+    return {r.text for r in quality.score(docs, quality.train(docs)).collect() if r._quality >= 0.5}
+
+
+def test_quality_of_long_texts_only(spark):
+    clean, junk = quality_texts()
+    long_junk = [t * 10 for t in junk]
+    assert min(map(len, long_junk)) > 8192
+    assert kept_texts(spark, clean + long_junk, range(24)) == set(clean)
+    assert kept_texts(spark, clean, range(12)) == set(clean)
+
+
+def test_quality_of_short_junk_and_long_clean_texts(spark):
+    clean, junk = quality_texts()
+    assert kept_texts(spark, clean + junk, range(24)) == set(clean)
+
+
+def test_quality_without_ids(spark):
+    clean, junk = quality_texts()
+    assert kept_texts(spark, clean + junk) == set(clean)
+    clean = [t[:400] for t in clean]
+    assert kept_texts(spark, clean + junk) == set(clean)
+
+
+def test_quality_sample_is_bounded_by_numbers(spark):
+    clean, junk = quality_texts()
+    docs = spark.createDataFrame(list(enumerate(clean + junk)), "doc_id long, text string")
+    models = quality.train(docs, max_numbers=1)
+    got = quality.score(docs, models).collect()
+    assert models[1].known and {r.text for r in got if r._quality >= 0.5} == set(clean)
+
+
 def test_em_recovers_accuracies():
     rng = np.random.default_rng(5)
     n, k = 20000, len(quality.LABELLERS)

@@ -3,12 +3,12 @@
 Nine heuristic labellers vote good, bad or nothing on each text.  Expectation
 maximisation estimates how each of them votes on good and on bad texts from the counts
 of vote patterns over all documents (at most 3**9 numbers, whatever the corpus), and gives every
-pattern a posterior.  The posteriors label a bounded sample of texts, on which a linear scorer
+pattern a posterior.  The posteriors label a bounded sample of whole texts of any length, on which a linear scorer
 over hashed byte n-grams and hashed levels of the labellers' measures is trained; its score decides.  No human label is used.
+Where all texts are likely good, or all likely bad, no scorer can be trained and the posterior is the score.
 
 A text without words gets no vote, has score 0 and is rejected.  Repeated rows score
-alike.  Without any text nothing is learned and every score is 0.  Other columns
-pass through untouched.
+alike, and a row without an id counts like any other.  Other columns pass through untouched.
 """
 
 from __future__ import annotations
@@ -146,18 +146,21 @@ def estimate(pattern: np.ndarray, count: np.ndarray, rounds: int = 50) -> WeakLa
     return model
 
 
+def _keyed(docs: DataFrame, id_col: str) -> DataFrame:
+    """(key, text): the key is a hash of id and text, so a row without an id has one, and copies share theirs."""
+    return docs.select(F.xxhash64(id_col, "text").alias("key"), "text")
+
+
 def vote_table(docs: DataFrame, id_col: str) -> DataFrame:
-    """(id, size, pattern) of every text with words, written once."""
+    """(key, pattern) of every text with words, written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offs in C.text_blocks(batches):
             feat, words = features(data, offs)
             some = pa.array(words > 0)
             yield pa.RecordBatch.from_arrays(
-                [c.filter(some) for c in (rows.column(0), pa.array(np.diff(offs)), pa.array(patterns(votes(feat, words))))],
-                ["id", "size", "pattern"])
+                [c.filter(some) for c in (rows.column(0), pa.array(patterns(votes(feat, words))))], ["key", "pattern"])
 
-    kind = dict(docs.dtypes)[id_col]
-    return C.save(docs.select(id_col, "text").mapInArrow(run, f"id {kind}, size long, pattern long"), "votes")
+    return C.save(_keyed(docs, id_col).mapInArrow(run, "key long, pattern long"), "votes")
 
 
 @dataclass
@@ -194,22 +197,27 @@ def _levels(feat: np.ndarray, buckets: int) -> np.ndarray:
     return (C.mix(out + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
 
 
-def fit_scorer(texts: list[bytes], q: np.ndarray, buckets: int = 1 << 14, steps: int = 200, rate: float = 0.5,
-               decay: float = 1e-4, at_once: int = 128) -> Scorer:
-    """Logistic regression on shares of hashed n-grams, and on levels, against posterior labels, by Adam.
+def shares(text: bytes, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, value) of the n-gram shares and levels of a whole text: at most ``buckets`` and nine numbers."""
+    data = np.frombuffer(text, np.uint8)
+    count = np.zeros(buckets, np.int64)
+    for g in _grams(data, buckets):
+        count += np.bincount(g, minlength=buckets)
+    b = np.flatnonzero(count)
+    level = _levels(features(data, np.array([0, len(data)]))[0], buckets)[0]
+    return (np.concatenate([b, level]).astype(np.int32),
+            np.concatenate([count[b] / (count.sum() + SHORT), np.full(len(level), LEVEL)]).astype(np.float32))
+
+
+def fit_scorer(cols: list[np.ndarray], vals: list[np.ndarray], q: np.ndarray, buckets: int = 1 << 14, steps: int = 200,
+               rate: float = 0.5, decay: float = 1e-4, at_once: int = 128) -> Scorer:
+    """Logistic regression on the ``shares`` of texts against posterior labels, by Adam.
     Each step adds up the gradient over portions of ``at_once`` texts."""
-    if not len(q):
+    if not len(q) or (q >= 0.5).all() or (q < 0.5).all():
         return Scorer(np.zeros(buckets), 0.0, False)
-    cols, vals = [], []
-    for t in texts:
-        data = np.frombuffer(t, np.uint8)
-        b, n = np.unique(np.concatenate(list(_grams(data, buckets))), return_counts=True)
-        level = _levels(features(data, np.array([0, len(data)]))[0], buckets)[0]
-        cols.append(np.concatenate([b, level]).astype(np.int32))
-        vals.append(np.concatenate([n / (n.sum() + SHORT), np.full(len(level), LEVEL)]).astype(np.float32))
     at = np.concatenate([[0], np.cumsum([len(c) for c in cols])])
     col, val = np.concatenate(cols), np.concatenate(vals)
-    del cols, vals  # the driver's memory is small
+    cols.clear(), vals.clear()  # the driver's memory is small
     w, bias, m, v = np.zeros(buckets), 0.0, np.zeros(buckets + 1), np.zeros(buckets + 1)
     share = max(min(q.mean(), 1 - 1e-6), 1e-6)
     balance = (q * 0.5 / share + (1 - q) * 0.5 / (1 - share)) / len(q)
@@ -229,22 +237,61 @@ def fit_scorer(texts: list[bytes], q: np.ndarray, buckets: int = 1 << 14, steps:
     return Scorer(w, float(bias), True)
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", max_rows: int = 1500, max_bytes: int = 8192,
+def sampled_shares(docs: DataFrame, chosen: DataFrame, id_col: str, buckets: int) -> DataFrame:
+    """(key, pattern, cols, vals, n) of the whole texts of the ``chosen`` (key, pattern), written once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for rows, data, offs in C.text_blocks(batches):
+            for i, (key, pattern) in enumerate(zip(rows.column(0).to_pylist(), rows.column(2).to_pylist())):
+                if key in seen:
+                    continue
+                seen.add(key)  # at most the chosen ones
+                c, v = shares(data[offs[i]:offs[i + 1]].tobytes(), buckets)
+                yield pa.RecordBatch.from_pylist([{"key": key, "pattern": pattern, "cols": c.tobytes(), "vals": v.tobytes(), "n": len(c)}])
+
+    found = _keyed(docs, id_col).join(F.broadcast(chosen), "key").select("key", "text", "pattern")
+    one = found.mapInArrow(run, "key long, pattern long, cols binary, vals binary, n long").groupBy("key").agg(
+        F.min(F.struct("pattern", "cols", "vals", "n")).alias("s"))
+    return C.save(one.select("key", "s.*"), "shares")
+
+
+def train(docs: DataFrame, id_col: str = "doc_id", max_rows: int = 1500, max_numbers: int = 1 << 22,
           buckets: int = 1 << 14) -> tuple[WeakLabels, Scorer]:
-    """Weak labels from all documents; the scorer from at most ``max_rows`` texts of either likely
-    class, of at most ``max_bytes`` each."""
+    """Weak labels from all documents; the scorer from at most ``max_rows`` whole texts of either likely
+    class, of any length, the first by hash whose shares are together at most ``max_numbers``
+    numbers (at least one text)."""
     table = vote_table(docs, id_col)
     rows = table.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect()  # at most 3**9
     pattern, count = np.array([r.pattern for r in rows], np.int64), np.array([r.n for r in rows], np.float64)
     model = estimate(pattern, count)
-    q = model.posterior((pattern[:, None] // 3 ** np.arange(len(LABELLERS))) % 3)
-    texts: list[bytes] = []
+    every = (pattern[:, None] // 3 ** np.arange(len(LABELLERS))) % 3
+    q = model.posterior(every)
+    if not len(q) or (q >= 0.5).all() or (q < 0.5).all():
+        return model, fit_scorer([], [], np.zeros(0), buckets)
+    chosen = None
     for side in (q >= 0.5, q < 0.5):
-        found = docs.sparkSession.createDataFrame([(int(p),) for p in pattern[side]], "pattern long")
-        ids = table.filter(f"size <= {max_bytes}").join(F.broadcast(found), "pattern").select(F.col("id").alias(id_col))
-        texts += [t.encode() for t in C.sample_texts(docs.filter(F.octet_length("text").between(1, max_bytes)), ids, id_col, max_rows)]
-    own = [model.posterior(votes(*features(np.frombuffer(t, np.uint8), np.array([0, len(t)])))) for t in texts]
-    return model, fit_scorer(texts, np.concatenate(own) if own else np.zeros(0), buckets)
+        likely = docs.sparkSession.createDataFrame([(int(p),) for p in pattern[side]], "pattern long")
+        first = table.join(F.broadcast(likely), "pattern").select("key", "pattern").distinct().orderBy("key").limit(max_rows)
+        chosen = first if chosen is None else chosen.unionByName(first)
+    sample = sampled_shares(docs, chosen, id_col, buckets)
+    post = dict(zip(pattern.tolist(), q.tolist()))
+    keys: dict[bool, list[int]] = {}
+    total = {True: 0, False: 0}
+    for r in sample.select("key", "pattern", "n").orderBy("key").collect():  # at most 2 * max_rows
+        good = post[r.pattern] >= 0.5
+        total[good] += r.n
+        if not keys.setdefault(good, []) or total[good] <= max_numbers:
+            keys[good].append(r.key)
+    last = {good: max(k) for good, k in keys.items()}
+    cols, vals, own = [], [], []
+    for good, top in last.items():
+        likely = docs.sparkSession.createDataFrame([(p,) for p, v in post.items() if (v >= 0.5) == good], "pattern long")
+        part = sample.filter(F.col("key") <= top).join(F.broadcast(likely), "pattern").orderBy("key")
+        for r in part.select("pattern", "cols", "vals").collect():  # at most max_numbers
+            cols.append(np.frombuffer(r.cols, np.int32))
+            vals.append(np.frombuffer(r.vals, np.float32))
+            own.append(post[r.pattern])
+    return model, fit_scorer(cols, vals, np.array(own), buckets)
 
 
 def score(docs: DataFrame, models: tuple[WeakLabels, Scorer], text_col: str = "text") -> DataFrame:
@@ -259,7 +306,7 @@ def score(docs: DataFrame, models: tuple[WeakLabels, Scorer], text_col: str = "t
         for rows, data, offs in C.text_blocks(batches, text_col):
             feat, words = features(data, offs)
             q = np.where(words > 0, weak.posterior(votes(feat, words)), 0.0)
-            p = np.where(words > 0, scorer.scores(data, offs, feat), 0.0) if scorer.known else np.zeros(len(words))
+            p = np.where(words > 0, scorer.scores(data, offs, feat), 0.0) if scorer.known else q
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(q), pa.array(p)], [*names, "_posterior", "_quality"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_posterior", T.DoubleType()),
