@@ -98,3 +98,44 @@ def test_new_vectors_get_their_nearest_cell_without_the_driver(spark):
             assert r.cell == -1
         else:
             assert r.cell == min(centers, key=lambda c: ((centers[c] - np.array(r.embedding)) ** 2).sum())
+
+
+@pytest.fixture
+def twentieths(spark, monkeypatch):
+    """Every 20th vector as the query set of the registered searches, and the exact neighbours."""
+    from vexa.plans import ann as P
+    emb = load(spark, SF, "embeddings")
+    q = emb.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    monkeypatch.setattr(P, "_queries", lambda spark, sf: q)
+    return top_k(emb, q, k=P.K, id_col="vec_id", vec_col="embedding").cache()
+
+
+@pytest.mark.parametrize("name, floor", [("pq_encode_search", 1.0), ("lsh_search", 0.9), ("ivf_search", 0.9)])
+def test_recall_of_the_registered_settings(spark, twentieths, name, floor):
+    from vexa.plans import QUERIES
+    found = QUERIES[name](spark, SF)
+    rec = E.mean_recall(E.recall_per_query(found, twentieths, "vec_id", 10)).first()["recall"]
+    print(name, rec)
+    assert rec >= floor
+
+
+def test_pq_loses_no_neighbour_whatever_the_first_candidates(spark):
+    emb = load(spark, SF, "embeddings")
+    q = emb.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv"))
+    want = [tuple(r) for r in top_k(emb, q, k=10, id_col="vec_id", vec_col="embedding").orderBy("qid", "rank").collect()]
+    book = A.pq_train(spark, emb, "embedding", 8, 2, seed=42)
+    codes = A.pq_encode(emb, "vec_id", "embedding", book)
+    for rerank in (1, 10):
+        found = A.pq_search(codes, emb, q, book, id_col="vec_id", vec_col="embedding", k=10, rerank=rerank)
+        got = [tuple(r) for r in found.orderBy("qid", "rank").collect()]
+        assert [r[:2] + r[3:] for r in got] == [r[:2] + r[3:] for r in want]
+
+
+def test_registered_lsh_keeps_distant_neighbours(spark, monkeypatch):
+    from vexa.plans import QUERIES
+    from vexa.plans import ann as P
+    far = load(spark, SF, "embeddings").withColumn("embedding", F.transform("embedding", lambda x: x * 5))
+    monkeypatch.setattr(P, "_emb", lambda spark, sf: far)
+    rows = QUERIES["lsh_search"](spark, SF).collect()
+    assert max(r.score for r in rows) > 4.0
+    assert all(sum(r.qid == q for r in rows) == P.K for q in {r.qid for r in rows})

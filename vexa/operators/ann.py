@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vexa.operators.common import broadcast_if_small, rank_within
-from vexa.operators.knn import top_k
+from vexa.operators.knn import BLOCK_CELLS, top_k
 from vexa.session import scratch_path
 
 
@@ -135,8 +135,10 @@ def ivf_search_settings(spark: SparkSession, index: IvfIndex, queries: DataFrame
 
 
 def lsh_search(df: DataFrame, queries: DataFrame, id_col: str, vec_col: str, *, k: int = 10,
-               bucket_length: float = 0.5, num_tables: int = 8, threshold: float = 2.0, seed: int = 42) -> DataFrame:
-    """Candidates from bucket collisions (approxSimilarityJoin), exact L2 ranks them."""
+               bucket_length: float = 0.5, num_tables: int = 8, threshold: float = float("inf"), seed: int = 42) -> DataFrame:
+    """Candidates from bucket collisions (approxSimilarityJoin), exact L2 ranks them.
+
+    ``threshold`` is an absolute distance beyond which a candidate is dropped; there is none by default."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
@@ -220,7 +222,8 @@ def pq_train(spark: SparkSession, df: DataFrame, vec_col: str, m: int, ksub: int
 
 
 def pq_encode(df: DataFrame, id_col: str, vec_col: str, book: PqCodebook) -> DataFrame:
-    """``(id, codes array<int>)``: nearest sub-centroid per sub-space, per Arrow batch."""
+    """``(id, codes array<int>, errs array<double>)``: nearest sub-centroid per sub-space and the
+    distance to it, per Arrow batch."""
     bc = df.sparkSession.sparkContext.broadcast(book.centers)
     m, dsub = book.m, book.dsub
     id_type = df.schema[id_col].dataType
@@ -233,26 +236,31 @@ def pq_encode(df: DataFrame, id_col: str, vec_col: str, book: PqCodebook) -> Dat
             if n == 0:
                 continue
             X = b.column(vec_col).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1)
-            codes = np.empty((n, m), dtype=np.int32)
+            codes, errs = np.empty((n, m), dtype=np.int32), np.empty((n, m))
             for j in range(m):
                 S = X[:, j * dsub:(j + 1) * dsub]
                 d = (S * S).sum(1)[:, None] + (C[j] * C[j]).sum(1)[None, :] - 2 * S @ C[j].T
                 codes[:, j] = d.argmin(1)
+                errs[:, j] = np.sqrt(((S - C[j][codes[:, j]]) ** 2).sum(1))
             off = np.arange(0, (n + 1) * m, m, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
-                [b.column(id_col), pa.ListArray.from_arrays(pa.array(off), pa.array(codes.reshape(-1)))],
-                names=[id_col, "codes"])
+                [b.column(id_col), *(pa.ListArray.from_arrays(pa.array(off), pa.array(x.reshape(-1))) for x in (codes, errs))],
+                names=[id_col, "codes", "errs"])
 
-    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("codes", T.ArrayType(T.IntegerType()))])
+    schema = T.StructType([T.StructField(id_col, id_type), T.StructField("codes", T.ArrayType(T.IntegerType())),
+                           T.StructField("errs", T.ArrayType(T.DoubleType()))])
     d = df.select(id_col, vec_col).where(F.size(vec_col) == m * dsub)
     return d.mapInArrow(enc, schema)
 
 
 def pq_search(codes: DataFrame, base: DataFrame, queries: DataFrame, book: PqCodebook, *, id_col: str,
               vec_col: str, k: int = 10, rerank: int = 50) -> DataFrame:
-    """Asymmetric-distance top-``rerank`` per query over the codes, then exact
-    L2 re-rank of those candidates (fetched by a semi-join with the base).
-    The query set is split into bounded passes like ``top_k``'s."""
+    """Asymmetric-distance top-``rerank`` per query over the codes, then the exact L2 scores of those
+    candidates (fetched by a semi-join with the base).  The k-th best of these scores bounds the
+    search: in sub-space j a row is at least |d_j - e_j| away, with d_j the query's distance to the row's
+    sub-centroid and e_j the row's own, so every row whose sum of squares reaches the bound of
+    some query is scored too and no true neighbour is lost at any size of the table; ``rerank`` only decides
+    how tight the bound is.  The query set is split into bounded passes like ``top_k``'s."""
     from vexa.operators.knn import query_passes
     out = None
     for qpass in query_passes(queries.select("qid", "qv"), "qid", book.m * book.dsub):
@@ -307,10 +315,43 @@ def _pq_pass(codes: DataFrame, base: DataFrame, queries: DataFrame, book: PqCode
     schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField(id_col, id_type),
                            T.StructField("adc", T.DoubleType())])
     # the best ``rerank`` codes of each query over all tasks
-    cand = rank_within(codes.mapInArrow(adc, schema), ["qid"], [F.col("adc").asc(), F.col(id_col).asc()], rerank).select("qid", id_col)
+    near = codes.select(id_col, "codes").mapInArrow(adc, schema)
+    cand = rank_within(near, ["qid"], [F.col("adc").asc(), F.col(id_col).asc()], rerank).select("qid", id_col).distinct()
     ids = broadcast_if_small(cand.select(id_col).distinct())  # queries x rerank x tasks, checked
-    vecs = base.select(id_col, vec_col).join(ids, id_col, "left_semi")
+    vecs = base.select(id_col, vec_col).where(F.size(vec_col) == m * dsub).join(ids, id_col, "left_semi")
     from vexa.functions.vectors import l2_sq
     qv = F.broadcast(queries.select("qid", "qv"))  # the query batch collected above (bounded)
-    scored = cand.join(qv, "qid").join(vecs, id_col).select("qid", id_col, l2_sq(vec_col, "qv").alias("score"))
-    return rank_within(scored, ["qid"], [F.col("score").asc(), F.col(id_col).asc()], k)
+    scored = (cand.join(qv, "qid").join(vecs, id_col).select("qid", id_col, l2_sq(vec_col, "qv").alias("score"))
+              .where(~F.isnan("score")))
+    best = rank_within(scored, ["qid"], [F.col("score").asc(), F.col(id_col).asc()], k)
+    kth = {r.qid: r.score for r in best.where(F.col("rank") == k).select("qid", "score").collect()}  # one row per query
+    bound = np.array([kth.get(q, np.inf) for q in qids.tolist()])  # fewer than k candidates: no bound
+    reach = pq_reach(codes, id_col, np.sqrt(lut), bound)
+    return top_k(base.join(reach.distinct(), id_col, "left_semi"), queries, k=k, id_col=id_col, vec_col=vec_col)
+
+
+def pq_reach(codes: DataFrame, id_col: str, dist: np.ndarray, bound: np.ndarray) -> DataFrame:
+    """Ids of the rows whose lower bound on the squared distance is within ``bound`` for some query;
+    ``dist`` holds the distances [query, sub-space, sub-centroid]."""
+    bc = codes.sparkSession.sparkContext.broadcast((dist, bound))
+
+    def run(batches):
+        import pyarrow as pa
+        D, top = bc.value
+        nq, m, _ = D.shape
+        step = max(1, BLOCK_CELLS // max(nq, 1))
+        for b in batches:
+            C = b.column("codes").flatten().to_numpy(zero_copy_only=False).reshape(-1, m)
+            E = b.column("errs").flatten().to_numpy(zero_copy_only=False).reshape(-1, m)
+            keep = np.zeros(b.num_rows, bool)
+            for lo in range(0, b.num_rows, step):
+                c, e = C[lo:lo + step], E[lo:lo + step]
+                low, size = np.zeros((nq, len(c))), np.zeros((nq, len(c)))
+                for j in range(m):
+                    d = D[:, j, :][:, c[:, j]]
+                    low += (d - e[:, j]) ** 2
+                    size += d * d + e[:, j] ** 2
+                keep[lo:lo + step] = (low - 1e-9 * size <= top[:, None] * (1 + 1e-9)).any(axis=0)  # with room for rounding
+            yield pa.RecordBatch.from_arrays([b.column(id_col).filter(pa.array(keep))], names=[id_col])
+
+    return codes.select(id_col, "codes", "errs").mapInArrow(run, T.StructType([codes.schema[id_col]]))

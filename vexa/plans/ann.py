@@ -20,6 +20,8 @@ from vexa.plans.registry import load, register
 K = 10
 NLIST = 16
 NPROBES = (1, 4, 8, 16)
+NPROBE = 8
+LSH = {"bucket_length": 0.25, "num_tables": 8, "threshold": float("inf")}
 FILTERS = {"none": None, "label >= 2": "label >= 2", "label >= 5": "label >= 5", "label >= 8": "label >= 8"}
 
 
@@ -48,13 +50,12 @@ def ivf_build(spark, sf):
 @register("ivf_search")
 def ivf_search(spark, sf):
     idx = _index(spark, sf)
-    return A.ivf_search(spark, idx, _queries(spark, sf), k=K, nprobe=8).withColumn("score", F.round("score", 6))
+    return A.ivf_search(spark, idx, _queries(spark, sf), k=K, nprobe=NPROBE).withColumn("score", F.round("score", 6))
 
 
 @register("lsh_search")
 def lsh_search(spark, sf):
-    return A.lsh_search(_emb(spark, sf), _queries(spark, sf), "vec_id", "embedding", k=K,
-                        bucket_length=0.25, num_tables=8, threshold=2.0)
+    return A.lsh_search(_emb(spark, sf), _queries(spark, sf), "vec_id", "embedding", k=K, **LSH)
 
 
 @register("quantize_fp16")
