@@ -331,3 +331,17 @@ def test_pipeline_stages_keep_columns_of_clashing_names(spark):
         assert out.dtypes == docs.dtypes, name
         for r in out.collect():
             assert tuple(r)[3:] == rows[r.doc_id][3:], name
+
+
+def test_toxicity_learns_from_long_texts(spark):
+    texts, y = toxic_corpus(3, 80)
+    long = [(t + " ") * (1 + 9000 // len(t)) for t in texts]
+    docs = spark.createDataFrame(list(enumerate(t if v == 0 else u for t, u, v in zip(texts, long, y))), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(v)) for i, v in enumerate(y)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert model.known
+    assert ((toxic_scores(model, texts) >= 0.3) == y).mean() >= 0.95
+    assert toxicity.train(docs, labels, max_rows=40, max_bytes=1, steps=2).known
+    raw = [t.encode() for t in texts[:20]]
+    whole, lists = (toxicity.fit(r, y[:20], steps=3) for r in (raw, [toxicity.distinct_words(np.frombuffer(t, np.uint8)) for t in raw]))
+    assert np.allclose(whole.weight, lists.weight) and np.isclose(whole.bias, lists.bias)

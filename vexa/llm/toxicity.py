@@ -7,8 +7,8 @@ log-odds of the label.  A text pools the log-odds of its words with a soft maxim
 few bad words stand out in a text of any length.
 
 Embeddings and softmax are trained jointly in NumPy, on the text labels only, by Adam
-over a bounded sample: at most ``max_rows`` labelled texts per class, of at most ``max_bytes``
-each.  A random half of the features of every word is left out in each step, so a word must be
+over a bounded sample: at most ``max_rows`` whole labelled texts per class, of any length, with a bound on
+the bytes of their distinct words together.  A random half of the features of every word is left out in each step, so a word must be
 recognisable by parts of it and an unseen misspelling is scored by the n-grams
 that it shares.
 
@@ -156,15 +156,57 @@ def fit(texts: list[bytes], labels: np.ndarray, buckets: int = 1 << 18, dim: int
     return Model(weight, float(bias[1] - bias[0]), buckets, True)
 
 
+def distinct_words(data: np.ndarray) -> bytes:
+    """The distinct words of one text; ``fit`` learns the same from them as from the text."""
+    text, start, end, _ = _layout(data, np.array([0, len(data)]))
+    _, spot = np.unique(C.RollingHash(text).ranges(start, end), return_index=True)
+    return b" ".join(text[start[i]:end[i]].tobytes() for i in spot)
+
+
+def word_lists(docs: DataFrame, marked: DataFrame, id_col: str, max_rows: int) -> DataFrame:
+    """(id, y, words, size) of the ``max_rows`` labelled texts of either class that come first by hash of
+    the id, whatever their length, written once."""
+    chosen = None
+    for y in (0, 1):
+        first = marked.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(max_rows)
+        chosen = first if chosen is None else chosen.unionByName(first)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, data, offs in C.text_blocks(batches):
+            words = [distinct_words(data[a:b]) for a, b in zip(offs[:-1], offs[1:])]
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(words, pa.binary())], ["id", "y", "words"])
+
+    kind = dict(docs.dtypes)[id_col]
+    found = docs.select(F.col(id_col).alias("id"), "text").join(F.broadcast(chosen), "id").select("id", "y", "text")
+    lists = found.mapInArrow(run, f"id {kind}, y int, words binary").groupBy("id").agg(
+        F.min("y").alias("y"), F.min("words").alias("words"))
+    return C.save(lists.withColumn("size", F.octet_length("words")), "words")
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "toxic",
           max_rows: int = 1000, max_bytes: int = 8192, **kw) -> Model:
-    """Fit on a bounded sample of the labelled rows of ``docs``, the same for every run."""
+    """Fit on a bounded sample of the labelled rows of ``docs``, the same for every run: whole texts of any
+    length, whose distinct words are together at most ``max_rows`` * ``max_bytes`` bytes per class (at
+    least one text)."""
     marks = labels.groupBy(id_col).agg(F.max(label_col).alias("y")).filter("y is not null")
-    fits = docs.select(id_col, F.octet_length("text").alias("size")).filter(F.col("size").between(1, max_bytes)).select(id_col)
-    marked = fits.join(marks, id_col)
-    rows = [(t.encode(), y) for y in (0, 1)
-            for t in C.sample_texts(docs.filter(F.octet_length("text").between(1, max_bytes)), marked.filter(F.col("y") == y), id_col, max_rows)]
-    return fit([t for t, _ in rows], np.array([y for _, y in rows], np.int64), **kw)
+    some = docs.select(id_col, F.octet_length("text").alias("size")).filter("size > 0").select(id_col).distinct()
+    marked = some.join(marks, id_col).select(F.col(id_col).alias("id"), F.col("y").cast("int").alias("y"))
+    lists = word_lists(docs.filter(F.octet_length("text") > 0), marked, id_col, max_rows)
+    sizes = lists.select("id", "y", "size").orderBy(F.xxhash64("id"), "id").collect()  # at most 2 * max_rows
+    ids = []
+    for y in (0, 1):
+        own, room = [r for r in sizes if r.y == y], max_rows * max_bytes
+        taken = []
+        for r in own:
+            if r.size <= room:
+                taken.append(r.id)
+                room -= r.size
+        ids += taken or [r.id for r in sorted(own, key=lambda r: r.size)[:1]]
+    if not ids:
+        return fit([], np.zeros(0, np.int64), **kw)
+    wanted = docs.sparkSession.createDataFrame([(i,) for i in ids], f"id {dict(docs.dtypes)[id_col]}")
+    rows = lists.join(F.broadcast(wanted), "id").orderBy("y", "id").collect()
+    return fit([bytes(r.words) for r in rows], np.array([r.y for r in rows], np.int64), **kw)
 
 
 def score(docs: DataFrame, model: Model, id_cols: list[str], text_col: str = "text") -> DataFrame:
