@@ -345,3 +345,12 @@ def test_toxicity_learns_from_long_texts(spark):
     raw = [t.encode() for t in texts[:20]]
     whole, lists = (toxicity.fit(r, y[:20], steps=3) for r in (raw, [toxicity.distinct_words(np.frombuffer(t, np.uint8)) for t in raw]))
     assert np.allclose(whole.weight, lists.weight) and np.isclose(whole.bias, lists.bias)
+
+
+def test_packing_spreads_rows_without_or_with_one_id(spark):
+    for hot in (None, 7):
+        rows = [(hot, 100)] * 2000 + [(i, 100) for i in range(10, 1010)]
+        got = packing.best_fit(spark.createDataFrame(rows, "doc_id long, n long"), "doc_id", "n", shard_pieces=100).collect()
+        assert len(got) == len(rows)
+        shard = np.unique([r.bin >> 32 for r in got], return_counts=True)[1]
+        assert len(shard) == 30 and shard.max() < 200

@@ -9,7 +9,7 @@ opened being the least costly per token among those allowed, and the
 cheapest result after downsizing is kept.  Finally each bin is downsized to the smallest permitted
 capacity that holds its contents.
 
-Pieces are dealt to shards by a hash of their identity, about ``shard_pieces`` each (a
+Pieces are dealt to shards by a hash of their identity (with a number of the row where ids repeat or are null), about ``shard_pieces`` each (a
 documented parameter: bins are never shared between shards, so the loss is at most the last
 open bins of each shard).  Every shard is packed in one task whose memory is bounded by it; a hot
 source or a frequent length is spread like any other row.
@@ -80,14 +80,23 @@ def pack(size: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, overhead: i
     return where, offset, final[where] if len(where) else where
 
 
+def _numbered(lengths: DataFrame, id_col: str) -> DataFrame:
+    """``lengths`` plus ``_row``, which tells rows of one id apart: 0 where ids are unique and not null, else a
+    number of the row, written once."""
+    per_id = lengths.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+    if not per_id.filter(F.col(id_col).isNull() | (F.col("n") > 1)).limit(1).count():
+        return lengths.withColumn("_row", F.lit(0).cast("long"))
+    return C.save(lengths.withColumn("_row", F.monotonically_increasing_id()), "lengths")
+
+
 def _pieces(lengths: DataFrame, id_col: str, length_col: str, longest: int, shards: int) -> DataFrame:
     n = F.greatest(F.coalesce(F.col(length_col), F.lit(0)).cast("long"), F.lit(0).cast("long"))
-    return (lengths.select(F.col(id_col).alias("id"), n.alias("n"))
+    return (_numbered(lengths, id_col).select(F.col(id_col).alias("id"), n.alias("n"), "_row")
             .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(
                 F.ceil(F.col("n") / longest) - 1, F.lit(0).cast("long")))))
-            .select("id", "piece", (F.col("piece") * longest).alias("start"),
+            .select("id", "_row", "piece", (F.col("piece") * longest).alias("start"),
                     F.least(F.col("n") - F.col("piece") * longest, F.lit(longest)).cast("long").alias("size"))
-            .withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.lit(shards))))
+            .withColumn("shard", F.pmod(F.xxhash64("id", "_row", "piece"), F.lit(shards))))
 
 
 def best_fit(lengths: DataFrame, id_col: str, length_col: str, capacities: tuple[int, ...] = CAPACITIES,
@@ -100,6 +109,7 @@ def best_fit(lengths: DataFrame, id_col: str, length_col: str, capacities: tuple
     n = F.greatest(F.coalesce(F.col(length_col), F.lit(0)).cast("double"), F.lit(1.0))
     total = lengths.agg(F.sum(F.ceil(n / longest))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_pieces))
+    lengths = lengths.select(id_col, length_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in C.by_group(batches, ["shard"]):
@@ -112,6 +122,6 @@ def best_fit(lengths: DataFrame, id_col: str, length_col: str, capacities: tuple
 
     pieces = _pieces(lengths, id_col, length_col, longest, shards)
     rows = pieces.repartition(min(shards, C.shuffle_partitions(lengths.sparkSession)), "shard").sortWithinPartitions(
-        "shard", F.desc("size"), F.asc_nulls_last("id"), "piece")
+        "shard", F.desc("size"), F.asc_nulls_last("id"), "_row", "piece")
     return (rows.mapInArrow(run, f"id {kinds[id_col]}, piece long, start long, size long, bin long, capacity long, offset long")
             .withColumnRenamed("id", id_col))
