@@ -279,3 +279,10 @@ def test_vectors_equal_brute_force(spark, block_rows):
     assert len(got) == len(rows)
     assert [got[i].n_links for i in range(len(rows))] == count
     assert [got[i].component for i in range(len(rows))] == root
+
+
+def test_copies_of_a_benchmark_item_are_collected_once(spark):
+    items = spark.createDataFrame([("a", "one two three " * 20)] * 500 + [("b", "four"), (None, None)], "item_id string, text string")
+    chunks = posindex._chunked_items(items, "item_id", 1000)
+    assert len(chunks) == 1
+    assert sorted(tuple(r) for c in chunks for r in c.collect()) == [("a", "one two three " * 20), ("b", "four"), ("null", "")]

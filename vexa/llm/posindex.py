@@ -200,6 +200,7 @@ def _merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _chunked_items(items: DataFrame, id_col: str, chunk_bytes: int) -> list[DataFrame]:
     named = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("name"),
                          F.coalesce("text", F.lit("")).alias("text"))
+    named = C.save(named.distinct(), "items")  # copies of an item would all fall into one chunk
     size = named.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
     n = max(1, -(-size // chunk_bytes))
     return [named.filter(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == i) for i in range(n)]
