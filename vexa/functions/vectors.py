@@ -79,20 +79,15 @@ def sign_bits(v, dim: int) -> Column:
     v = _c(v)
     words = (dim + 63) // 64
 
-    # bit i of a word as a signed long (bit 63 is the sign bit)
-    powers = F.array(*[F.lit((1 << i) if i < 63 else -(1 << 63)).cast("long") for i in range(64)])
-
     def word(w):
-        return F.aggregate(
-            F.sequence(F.lit(0), F.lit(63)),
-            F.lit(0).cast("long"),
-            lambda acc, i: F.when(
-                (w * 64 + i < dim) & (F.try_element_at(v, w * 64 + i + 1) > 0),
-                acc.bitwiseOR(F.element_at(powers, i + 1)),
-            ).otherwise(acc),
-        )
-
-    return F.transform(F.sequence(F.lit(0), F.lit(words - 1)), word)
+        # one term per bit, unrolled: the sum of distinct powers stays inside generated code, a lambda per element would not
+        bits = [F.when(F.get(v, F.lit(w * 64 + i)) > 0, F.lit((1 << i) if i < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long"))
+                for i in range(min(64, dim - w * 64))]
+        while len(bits) > 1:
+            bits = [bits[i].bitwiseOR(bits[i + 1]) if i + 1 < len(bits) else bits[i] for i in range(0, len(bits), 2)]
+        return bits[0]
+
+    return F.array(*[word(w) for w in range(words)])
 
 
 def hamming(a, b) -> Column:

@@ -1,21 +1,18 @@
 """Summaries: list-length statistics, exact percentiles, throughput.
 
 ``exact_percentile`` gives the linear-interpolation percentile (numpy's
-default, DuckDB ``quantile_cont``) without buffering a group in one task:
-rows are numbered in (group, value) order by range partitions plus offsets,
-so a group holding a third of all rows is spread over many tasks; only the
-two order statistics per group are then fetched by a join with a small
-target table.  ``percentile_approx`` remains the cheaper choice when an
+default, DuckDB ``quantile_cont``) by counting in ever narrower ranges: no group is
+sorted or gathered, so one that holds a third of all rows costs its tasks' partial counts.
+``percentile_approx`` remains the cheaper choice when an
 approximation is acceptable.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vexa.operators.common import broadcast_if_small
-from vexa.operators.ordering import global_row_number
+from vexa.session import scratch_path
 
 
 def list_length_stats(df: DataFrame, list_col: str, name: str | None = None) -> DataFrame:
@@ -25,23 +22,72 @@ def list_length_stats(df: DataFrame, list_col: str, name: str | None = None) ->
         F.stddev_pop(n).alias("std_len")).select(F.lit(name or list_col).alias("column_name"), "*")
 
 
-def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float,
-                     out: str = "p") -> DataFrame:
-    # _t splits a value that fills a group over many ranges
-    v = (df.select(*group_cols, F.col(value_col).cast("double").alias("_v"), F.monotonically_increasing_id().alias("_t"))
-         .where(F.col("_v").isNotNull()))
-    numbered = global_row_number(v, [F.col(c).asc() for c in group_cols] + [F.col("_v").asc(), F.col("_t").asc()], "_rn")
-    stats = numbered.groupBy(*group_cols).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_n"))
+#: Ranges that a round of the percentile search counts per group.
+BUCKETS = 1 << 16
+
+
+def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float, out: str = "p") -> DataFrame:
+    """Linear-interpolation percentile per group by distributed selection; null for a group without values.  NaN counts as
+    the largest value.
+
+    Nothing is sorted.  A round counts, for each group, the values in ``BUCKETS`` ranges between the bounds found so far, with the least
+    and largest value of each range, and keeps the range that holds the wanted rank; the partial counts of a task are
+    all that is shuffled.  The bounds are values of the table, and the two ends of a range never fall into one bucket, so
+    every round narrows it, and a range with one distinct value is the answer, however often that value occurs."""
+    v = df.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(group_cols)], F.col(value_col).cast("double").alias("_v"))
+    keys = [f"_g{i}" for i in range(len(group_cols))]
+    finite = ~F.isnan("_v") & (F.abs("_v") != float("inf"))
+    stats = v.groupBy(*keys).agg(
+        F.count("_v").alias("_n"), F.min(F.when(finite, F.col("_v"))).alias("_lo"), F.max(F.when(finite, F.col("_v"))).alias("_hi"),
+        F.count(F.when(F.col("_v") == float("-inf"), 1)).alias("_low"), F.count(F.when(finite, 1)).alias("_mid"),
+        F.count(F.when(F.col("_v") == float("inf"), 1)).alias("_high"))
     pos = F.lit(float(p)) * (F.col("_n") - 1)
-    stats = stats.select(*group_cols, "_start", pos.alias("_pos"),
-                         (F.col("_start") + F.floor(pos)).alias("_lo"),
-                         (F.col("_start") + F.ceil(pos)).alias("_hi"))
-    stats = broadcast_if_small(stats)
-    lo = numbered.select(F.col("_rn").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = numbered.select(F.col("_rn").alias("_hi"), F.col("_v").alias("_vhi"))
-    j = stats.join(lo, "_lo").join(hi, "_hi")
-    frac = F.col("_pos") - F.floor(F.col("_pos"))
-    return j.select(*group_cols, (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac).alias(out))
+    ends = stats.withColumn("_pos", pos).withColumn("_end", F.explode(F.array(F.lit(0), F.lit(1))))
+    rank = F.when(F.col("_end") == 0, F.floor("_pos")).otherwise(F.ceil("_pos")).cast("long")
+    ends = ends.withColumn("_rank", rank)
+    inside = F.col("_rank") - F.col("_low")
+    known = (F.when(F.col("_n") == 0, F.lit(None).cast("double")).when(inside < 0, F.lit(float("-inf")))
+             .when(inside < F.col("_mid"), F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")))
+             .when(inside < F.col("_mid") + F.col("_high"), F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
+    state = _kept(ends.select(*keys, "_pos", "_end", inside.alias("_rank"), "_lo", "_hi", known.alias("_value"),
+                              (known.isNull() & (F.col("_n") > 0)).alias("_open")))
+    done = state.filter(~F.col("_open"))
+    state = state.filter("_open")
+    while state.limit(1).count():
+        state = _kept(_narrowed(v, state, keys))
+        done = done.unionByName(state.filter(~F.col("_open")))
+        state = state.filter("_open")
+    low, high = F.max(F.when(F.col("_end") == 0, F.col("_value"))), F.max(F.when(F.col("_end") == 1, F.col("_value")))
+    both = done.groupBy(*keys).agg(F.max("_pos").alias("_pos"), low.alias("_a"), high.alias("_b"))
+    frac = F.col("_pos") - F.floor("_pos")
+    value = F.when((F.col("_a") == F.col("_b")) | (frac == 0), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * frac)
+    return both.select(*[F.col(k).alias(c) for k, c in zip(keys, group_cols)], value.alias(out))
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    """A small table written once: two rows per group; its size on disk lets the planner broadcast it or not."""
+    path = scratch_path(df.sparkSession, "percentile")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _narrowed(v: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
+    """One round: the range of each open end that holds its rank."""
+    same = [F.col(f"v.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    within = (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))
+    cond = within
+    for c in same:
+        cond = cond & c
+    j = v.alias("v").join(state.alias("s"), cond).select(*[f"s.{k}" for k in keys], "_pos", "_end", "_rank", "_lo", "_hi", "_v")
+    share = F.try_divide(F.col("_v") * 0.5 - F.col("_lo") * 0.5, F.col("_hi") * 0.5 - F.col("_lo") * 0.5)
+    bucket = (F.when(F.col("_v") == F.col("_lo"), 0).when(F.col("_v") == F.col("_hi"), BUCKETS - 1)
+              .otherwise(F.least(F.floor(share * (BUCKETS - 2)), F.lit(BUCKETS - 2))).cast("int"))
+    group = [*keys, "_pos", "_end", "_rank"]
+    counts = j.groupBy(*group, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    upto = F.sum("_c").over(Window.partitionBy(*group).orderBy("_bucket"))  # at most BUCKETS rows
+    hit = counts.withColumn("_upto", upto).filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c")))
+    return hit.select(*keys, "_pos", "_end", (F.col("_rank") - F.col("_upto") + F.col("_c")).alias("_rank"), "_lo", "_hi",
+                      F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("_value"), (F.col("_lo") < F.col("_hi")).alias("_open"))
 
 
 def throughput(df: DataFrame, group_col: str, ts_col: str, window: str = "1 hour",

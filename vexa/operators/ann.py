@@ -1,18 +1,13 @@
 """Approximate search structures built as Spark jobs.
 
-IVF: MLlib KMeans (on an optional sample) gives ``nlist`` centroids; every
-vector is assigned to its nearest centroid by ``KMeansModel.transform``
-(centroids broadcast by MLlib, JVM-side) and the table is written
-partitioned by ``cell``.  Search probes the ``nprobe`` nearest cells per
-query (exact top-k over the small centroid table), reads only the probed
-cell directories (partition pruning on a static IN list bounded by nlist),
-and scores rows against only the queries that probe their cell.
+IVF: see ``ivf``; here are its plain entry points and the assignment of rows that arrive after the build.
 
-LSH: MLlib ``BucketedRandomProjectionLSH``; candidates come from bucket
-collisions, exact distances rank them.
+LSH: see ``lsh``.
 
 fp16: little-endian half floats in a BinaryType column, encoded and decoded
 per Arrow batch (one NumPy cast per batch, no per-row Python loop).
+
+Flat PQ codes (``pq_train``, ``pq_encode``, ``pq_search``) need no cells; ``ivf.exact_search`` works on codes of residuals.
 """
 
 from __future__ import annotations
@@ -20,46 +15,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vexa.operators import ivf
 from vexa.operators.common import broadcast_if_small, rank_within
+from vexa.operators.ivf import IvfIndex
 from vexa.operators.knn import BLOCK_CELLS, top_k
-from vexa.session import scratch_path
-
-
-@dataclass
-class IvfIndex:
-    path: str
-    centroids: DataFrame   # cell int, centroid array<double>
-    nlist: int
-    id_col: str
-    vec_col: str
-
-    def table(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path)
 
 
 def ivf_build(spark: SparkSession, df: DataFrame, id_col: str, vec_col: str, nlist: int, seed: int = 42,
-              sample_fraction: float | None = None, path: str | None = None) -> IvfIndex:
-    """Trains on all rows unless the caller passes ``sample_fraction``; every row is indexed."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-
-    feats = df.withColumn("features", array_to_vector(F.col(vec_col)))
-    train = feats.select("features")
-    if sample_fraction and sample_fraction < 1.0:
-        train = train.sample(fraction=sample_fraction, seed=seed)
-    model = KMeans(k=nlist, seed=seed, featuresCol="features", maxIter=20).fit(train)
-    path = path or scratch_path(spark, "ivf")
-    assigned = model.transform(feats).withColumnRenamed("prediction", "cell").drop("features")
-    assigned.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/data")
-    centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]  # nlist x dim
-    cdf = spark.createDataFrame(centers, "cell int, centroid array<double>")
-    cdf.write.parquet(f"{path}/centroids")
-    return IvfIndex(f"{path}/data", spark.read.parquet(f"{path}/centroids"), nlist, id_col, vec_col)
+              path: str | None = None) -> IvfIndex:
+    """An index of ``nlist`` cells; see ``ivf.build``."""
+    return ivf.build(spark, df, id_col, vec_col, nlist, seed=seed, path=path)
 
 
 def ivf_assign(index: IvfIndex, new_rows: DataFrame) -> DataFrame:
@@ -68,8 +39,6 @@ def ivf_assign(index: IvfIndex, new_rows: DataFrame) -> DataFrame:
     The centroids (nlist x dim, fixed at build time) are broadcast and each Arrow
     batch takes its nearest; rows never pass through the driver.  A row without a vector of
     the index's length gets the cell -1, which no search probes."""
-    import pyarrow as pa
-
     cells = index.centroids.orderBy("cell").collect()  # nlist rows
     shared = new_rows.sparkSession.sparkContext.broadcast(
         (np.array([r.cell for r in cells], np.int32), np.array([r.centroid for r in cells], np.float64)))
@@ -90,48 +59,10 @@ def ivf_assign(index: IvfIndex, new_rows: DataFrame) -> DataFrame:
     return new_rows.mapInArrow(run, T.StructType([*new_rows.schema.fields, T.StructField("cell", T.IntegerType())]))
 
 
-def ivf_search(spark: SparkSession, index: IvfIndex, queries: DataFrame, *, k: int = 10, nprobe: int = 8,
+def ivf_search(spark: SparkSession, index: IvfIndex, queries: DataFrame, *, k: int = 10, nprobe: int | None = None,
                metric: str = "L2", where=None, table: DataFrame | None = None) -> DataFrame:
     """``table`` overrides the indexed rows, e.g. with those of later batches added."""
-    probes = top_k(index.centroids, queries, k=nprobe, metric="L2", id_col="cell", vec_col="centroid")
-    probes = probes.select("qid", "cell")
-    cells = sorted({int(r[0]) for r in probes.select("cell").distinct().collect()})  # <= nlist values
-    base = (index.table(spark) if table is None else table).where(F.col("cell").isin(*cells))
-    if where is not None:
-        base = base.where(where)
-    return top_k(base, queries, k=k, metric=metric, id_col=index.id_col, vec_col=index.vec_col,
-                 cell_col="cell", probes=probes, n_cells=index.nlist)
-
-
-def ivf_probes(index: IvfIndex, queries: DataFrame, nprobe: int) -> DataFrame:
-    """``(qid, cell, rank)`` of the nprobe nearest centroids per query, kept as a
-    local relation (bounded: queries x nprobe) so several searches share it."""
-    from vexa.operators.knn import local_queries
-    p = top_k(index.centroids, queries, k=nprobe, metric="L2", id_col="cell", vec_col="centroid")
-    return local_queries(p.select("qid", "cell", "rank"), max_rows=1 << 20)
-
-
-def ivf_search_settings(spark: SparkSession, index: IvfIndex, queries: DataFrame, nprobes: list[int], *,
-                        k: int = 10, metric: str = "L2", where=None, probes: DataFrame | None = None) -> DataFrame:
-    """Every nprobe setting in one scan: the (bounded) query set is repeated
-    once per setting with its own probe mask, so a grid of S settings costs
-    one pass over the probed cells instead of S.  Output has ``nprobe``."""
-    S = len(nprobes)
-    probes = probes if probes is not None else ivf_probes(index, queries, max(nprobes))
-    setting = F.explode(F.array(*[F.lit(i) for i in range(S)])).alias("s")
-    limit = F.element_at(F.array(*[F.lit(n) for n in nprobes]), F.col("s") + 1)
-    px = (probes.select("qid", "cell", "rank", setting).where(F.col("rank") <= limit)
-          .select(F.concat(F.col("qid").cast("string"), F.lit("#"), F.col("s").cast("string")).alias("qid"), "cell"))
-    qx = queries.select("qid", "qv", setting).select(F.concat(F.col("qid").cast("string"), F.lit("#"), F.col("s").cast("string")).alias("qid"), "qv")
-    cells = sorted({int(r[0]) for r in probes.select("cell").distinct().collect()})  # <= nlist values
-    base = index.table(spark).where(F.col("cell").isin(*cells))
-    if where is not None:
-        base = base.where(where)
-    hits = top_k(base, qx, k=k, metric=metric, id_col=index.id_col, vec_col=index.vec_col,
-                 cell_col="cell", probes=px, n_cells=index.nlist)
-    np_of = F.element_at(F.array(*[F.lit(n) for n in nprobes]), F.substring_index("qid", "#", -1).cast("int") + 1)
-    qid = F.regexp_replace("qid", "#[0-9]+$", "").cast(queries.schema["qid"].dataType)
-    return hits.select(qid.alias("qid"), np_of.alias("nprobe"), index.id_col, "score", "rank")
+    return ivf.search(spark, index, queries, k=k, nprobe=nprobe, metric=metric, where=where, table=table)
 
 
 def lsh_search(df: DataFrame, queries: DataFrame, id_col: str, vec_col: str, *, k: int = 10,
@@ -153,37 +84,26 @@ def lsh_search(df: DataFrame, queries: DataFrame, id_col: str, vec_col: str, *,
 
 
 # --- half floats ---------------------------------------------------------------
-@F.pandas_udf(T.BinaryType())
-def fp16_encode(v: pd.Series) -> pd.Series:
-    """array<float> -> little-endian float16 bytes (2 bytes per component).
-
-    One NumPy cast for the whole Arrow batch when the lengths agree."""
-    ok = v.notna()
-    lens = v[ok].map(len)
-    out = pd.Series([None] * len(v), index=v.index, dtype=object)
-    if ok.any() and lens.nunique() == 1:
-        m = np.stack(v[ok].to_numpy()).astype(np.float32).astype("<f2")
-        out[ok] = [r.tobytes() for r in m]
-        return out
-    out[ok] = v[ok].map(lambda a: np.asarray(a, dtype=np.float32).astype("<f2").tobytes())
-    return out
-
-
-@F.pandas_udf(T.ArrayType(T.FloatType()))
-def fp16_decode(b: pd.Series) -> pd.Series:
-    """Little-endian float16 bytes -> array<float>; one NumPy decode per Arrow
-    batch when all rows have the same length."""
-    ok = b.notna()
-    out = pd.Series([None] * len(b), index=b.index, dtype=object)
-    if not ok.any():
-        return out
-    lens = b[ok].map(len)
-    if lens.nunique() == 1:
-        m = np.frombuffer(b"".join(b[ok].tolist()), dtype="<f2").astype(np.float32).reshape(int(ok.sum()), -1)
-        rows = iter(m)
-        return pd.Series([next(rows) if f else None for f in ok.tolist()], index=b.index, dtype=object)
-    out[ok] = b[ok].map(lambda x: np.frombuffer(x, dtype="<f2").astype(np.float32))
-    return out
+@F.arrow_udf(T.BinaryType())
+def fp16_encode(v: pa.Array) -> pa.Array:
+    """array<float> -> little-endian float16 bytes (2 bytes per component); null elements become NaN.
+
+    One NumPy cast for the whole Arrow batch, whatever the lengths."""
+    flat = v.flatten().to_numpy(zero_copy_only=False).astype(np.float32).astype("<f2")
+    ends = np.concatenate([[0], np.cumsum(v.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))])
+    null = v.is_null().to_numpy(zero_copy_only=False)
+    valid = pa.py_buffer(np.packbits(~null, bitorder="little")) if null.any() else None
+    return pa.Array.from_buffers(pa.binary(), len(v), [valid, pa.py_buffer((2 * ends).astype(np.int32)), pa.py_buffer(flat)])
+
+
+@F.arrow_udf(T.ArrayType(T.FloatType()))
+def fp16_decode(b: pa.Array) -> pa.Array:
+    """Little-endian float16 bytes -> array<float>; one NumPy cast per Arrow batch."""
+    lens = pc.binary_length(b).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) // 2
+    ends = np.concatenate([[0], np.cumsum(lens)])
+    flat = np.frombuffer(b"".join(x for x in b.to_pylist() if x), "<f2").astype(np.float32)
+    mask = b.is_null()
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat), mask=mask if mask.true_count else None)
 
 
 # --- product quantization ----------------------------------------------------------

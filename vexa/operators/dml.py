@@ -103,6 +103,34 @@ def consistency_cutoff(level: str, latest: Column, lag_seconds: int = 0, own_wri
     raise ValueError(level)
 
 
+def last_commits(log: DataFrame, writer_col: str, commit_col: str) -> DataFrame:
+    """(writer, last_commit): one row per writer of a change log."""
+    return log.groupBy(F.col(writer_col).alias("writer")).agg(F.max(commit_col).alias("last_commit"))
+
+
+#: Sessions that one call reads for.
+MAX_SESSIONS = 4096
+
+
+def session_snapshots(log: DataFrame, own: DataFrame, keys: list[str], commit_col: str, writer_col: str, latest: Column, lag_seconds: int,
+                      *tie: str) -> DataFrame:
+    """Table state that each session of ``own`` (see ``last_commits``; at most ``MAX_SESSIONS``) reads: commits up to its own last
+    write, or to the bounded cutoff if that is later.  Adds ``session``; ``writer_col`` goes.
+
+    Only the latest row of a key up to a cutoff counts, so the log is first cut to the latest row per key between two
+    cutoffs; each of these is then handed to the sessions that may see it, however long the log is."""
+    cut = consistency_cutoff("session", latest, lag_seconds, F.col("last_commit"))
+    asked = own.select(F.col("writer").alias("session"), cut.alias("cut")).orderBy("cut", "session").limit(MAX_SESSIONS + 1).collect()
+    if len(asked) > MAX_SESSIONS:
+        raise ValueError(f"more than {MAX_SESSIONS} sessions in one call")
+    edges = F.array(*[F.lit(r.cut) for r in asked]).cast("array<timestamp>")
+    sessions = F.array(*[F.lit(r.session) for r in asked])
+    before = F.size(F.filter(edges, lambda c: c < F.col(commit_col)))  # sessions that do not see the row
+    last = latest_per_key(log.withColumn("_before", before).filter(F.col("_before") < len(asked)), ["_before", *keys], commit_col, *tie)
+    seen = last.withColumn("session", F.explode(F.slice(sessions, F.col("_before") + 1, F.lit(len(asked)))))
+    return latest_per_key(seen, ["session", *keys], commit_col, *tie).drop("_before", writer_col)
+
+
 def validate_batch(batch: DataFrame, valid: Column) -> bool:
     """True when every row of the batch passes (one aggregate job)."""
     r = batch.agg(F.coalesce(F.bool_and(F.coalesce(valid, F.lit(False))), F.lit(True)).alias("ok")).first()

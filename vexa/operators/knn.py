@@ -131,15 +131,13 @@ def _partition_topk(bq, k: int, metric: str, id_col: str, vec_col: str, qid_type
                 continue
             ids_all = batch.column(id_col).to_numpy(zero_copy_only=False)
             flat = batch.column(vec_col).flatten().to_numpy(zero_copy_only=False)
-            if binary:
-                B_all = flat.astype(np.int64).view(np.uint64).reshape(n, width)
-            else:
-                B_all = flat.astype(np.float64).reshape(n, width)
             cells_all = batch.column(cell_col).to_numpy(zero_copy_only=False) if probe is not None else None
-            step = max(1, BLOCK_CELLS // max(1, m * (width if binary else 1)))
+            # neither the scores nor the widened vectors of a block exceed BLOCK_CELLS numbers
+            step = max(1, BLOCK_CELLS // max(1, width, m * (width if binary else 1)))
             for lo in range(0, n, step):
                 ids = ids_all[lo:lo + step]
-                B = B_all[lo:lo + step]
+                part = flat[lo * width:(lo + step) * width]
+                B = (part.astype(np.int64).view(np.uint64) if binary else part.astype(np.float64)).reshape(-1, width)
                 # a query only sees rows of the cells it probes
                 allowed = probe[:, cells_all[lo:lo + step]] if probe is not None else None
                 if binary:

@@ -7,21 +7,22 @@ result sets do have oracles.
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import functions as F
 
 from vexa.functions import vectors as V
 from vexa.operators import ann as A
 from vexa.operators import evaluate as E
+from vexa.operators import ivf as IVF
+from vexa.operators import lsh as LSH
 from vexa.operators.knn import centroid_queries, local_queries, top_k
+from vexa.plans import indexes as IX
+from vexa.plans import search as _search  # noqa: F401 - registers knn_l2, whose oracle is used below
 from vexa.plans import sql_snippets as S
-from vexa.plans.registry import load, register
+from vexa.plans.registry import ORACLES, load, register
 
 K = 10
-NLIST = 16
 NPROBES = (1, 4, 8, 16)
-NPROBE = 8
-LSH = {"bucket_length": 0.25, "num_tables": 8, "threshold": float("inf")}
+PQ_SUB_SPACES = 32
 FILTERS = {"none": None, "label >= 2": "label >= 2", "label >= 5": "label >= 5", "label >= 8": "label >= 8"}
 
 
@@ -37,35 +38,62 @@ def _cond(expr):
     return None if expr is None else F.expr(expr)
 
 
-def _index(spark, sf):
-    return A.ivf_build(spark, _emb(spark, sf), "vec_id", "embedding", NLIST, seed=42)
+def _index(spark, sf, sub_spaces=0):
+    """The index that the queries below share: square root of the rows as cells, probes as measured."""
+    return IX.shared(spark, sf, ["embeddings"], ("ivf", sub_spaces), lambda: IVF.build(
+        spark, _emb(spark, sf), "vec_id", "embedding", sub_spaces=sub_spaces, k=K, seed=42))
 
 
-@register("ivf_build")
+@register("ivf_build", """
+SELECT count(*) AS num_rows, true AS every_row_once, true AS in_nearest_cell FROM embeddings""")
 def ivf_build(spark, sf):
+    """Rows of the index, each in one cell, whose centre is the nearest to it."""
     idx = _index(spark, sf)
-    return idx.table(spark).groupBy("cell").agg(F.count(F.lit(1)).alias("num_rows"))
+    nearest = top_k(idx.cells(spark), idx.table(spark).select(F.col("vec_id").alias("qid"), F.col("embedding").alias("qv")),
+                    k=1, id_col="cell", vec_col="centroid").select(F.col("qid").alias("vec_id"), "score")
+    rows = idx.table(spark).join(nearest, "vec_id", "left")
+    return rows.agg(F.count(F.lit(1)).alias("num_rows"), (F.count_distinct("vec_id") == F.count(F.lit(1))).alias("every_row_once"),
+                    F.bool_and(F.abs(F.sqrt("score") - F.col("_dist")) <= 1e-6).alias("in_nearest_cell"))
 
 
 @register("ivf_search")
 def ivf_search(spark, sf):
-    idx = _index(spark, sf)
-    return A.ivf_search(spark, idx, _queries(spark, sf), k=K, nprobe=NPROBE).withColumn("score", F.round("score", 6))
+    return IVF.search(spark, _index(spark, sf), _queries(spark, sf), k=K).withColumn("score", F.round("score", 6))
 
 
 @register("lsh_search")
 def lsh_search(spark, sf):
-    return A.lsh_search(_emb(spark, sf), _queries(spark, sf), "vec_id", "embedding", k=K, **LSH)
+    emb = _emb(spark, sf)
+    tables = IX.shared(spark, sf, ["embeddings"], ("lsh",), lambda: LSH.learn(emb, "vec_id", "embedding", k=K))
+    return LSH.search(emb, _queries(spark, sf), tables, id_col="vec_id", vec_col="embedding", k=K)
+
+
+def _bits(spark, sf):
+    return _emb(spark, sf).select("vec_id", V.sign_bits("embedding", 64).alias("bits"))
+
+
+@register("minhash_search")
+def minhash_search(spark, sf):
+    """Jaccard neighbours of the sign bits."""
+    rows = _bits(spark, sf)
+    tables = IX.shared(spark, sf, ["embeddings"], ("minhash",), lambda: LSH.learn_minhash(rows, "vec_id", "bits", k=K))
+    q = _queries(spark, sf).select("qid", V.sign_bits("qv", 64).alias("qv"))
+    return LSH.minhash_search(rows, q, tables, id_col="vec_id", vec_col="bits", k=K)
 
 
-@register("quantize_fp16")
+# a half float keeps 11 significant bits, and steps of 2**-24 below 2**-14
+@register("quantize_fp16", """
+SELECT vec_id, 2 * len(embedding) AS fp16_bytes, 4 * len(embedding) AS fp32_bytes,
+  round(list_max(list_transform(embedding, lambda x: abs(x::DOUBLE - CASE WHEN x = 0 THEN 0 ELSE
+    round_even(x::DOUBLE / pow(2, greatest(floor(log2(abs(x::DOUBLE))), -14) - 10), 0) * pow(2, greatest(floor(log2(abs(x::DOUBLE))), -14) - 10) END)
+    / greatest(abs(x::DOUBLE), 1e-4))), 9) AS max_rel_error FROM embeddings""")
 def quantize_fp16(spark, sf):
     e = _emb(spark, sf).withColumn("h", A.fp16_encode("embedding"))
     d = e.withColumn("back", A.fp16_decode("h"))
     err = F.aggregate(F.zip_with("embedding", "back", lambda a, b: F.abs(a - b) / F.greatest(F.abs(a), F.lit(1e-4))),
                       F.lit(0.0).cast("double"), lambda acc, x: F.greatest(acc, x.cast("double")))
     return d.select("vec_id", F.length("h").alias("fp16_bytes"), (F.size("embedding") * 4).alias("fp32_bytes"),
-                    err.alias("max_rel_error"))
+                    F.round(err, 9).alias("max_rel_error"))
 
 
 def _gt_sql():
@@ -102,31 +130,22 @@ def recall_at_k(spark, sf):
 
 
 def _grid(spark, sf):
-    """recall@k over filters x nprobe; one search pass per filter covers all
-    nprobe settings, one recall job per filter."""
-    emb, q = _emb(spark, sf), _queries(spark, sf)
-    idx = _index(spark, sf)
-    n_q = q.count()
-    probes = A.ivf_probes(idx, q, max(NPROBES))  # filter-independent, shared by the grid
-    out = None
-    for name, expr in FILTERS.items():
-        cond = _cond(expr)
-        truth = top_k(emb if cond is None else emb.where(cond), q, k=K, id_col="vec_id", vec_col="embedding")
-        found = A.ivf_search_settings(spark, idx, q, list(NPROBES), k=K, where=cond, probes=probes)
-        t = truth.select("qid", "vec_id")
-        n_truth = t.groupBy("qid").agg(F.count(F.lit(1)).alias("n_truth"))
-        hits = found.join(t, ["qid", "vec_id"]).groupBy("qid", "nprobe").agg(F.count(F.lit(1)).alias("hits"))
-        per = (n_truth.select("qid", "n_truth", F.explode(F.array(*[F.lit(n) for n in NPROBES])).alias("nprobe"))
-               .join(hits, ["qid", "nprobe"], "left").fillna(0, ["hits"]))
-        den = F.least(F.lit(K), F.col("n_truth"))
-        rec = per.groupBy("nprobe").agg(F.round(F.avg(F.when(den == 0, 1.0).otherwise(F.col("hits") / den)), 4)
-                                        .alias("recall"))
-        rows = rec.collect()  # one row per setting
-        part = spark.createDataFrame([(name, int(r.nprobe), float(r.recall), n_q)
-                                      for r in rows],
-                                     "filter_name string, nprobe int, recall double, n_queries long")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """recall@k over filters x nprobe: one scan of the index for the whole grid and one for its truth."""
+    q, idx = _queries(spark, sf), _index(spark, sf)
+    filters = {n: _cond(x) for n, x in FILTERS.items()}
+    found = IVF.search_settings(spark, idx, q, sorted({min(p, idx.nlist) for p in NPROBES}), filters, k=K)
+    truth = IVF.search_settings(spark, idx, q, [idx.nlist], filters, k=K).select("filter_name", "qid", "vec_id")
+    n_truth = truth.groupBy("filter_name", "qid").agg(F.count(F.lit(1)).alias("n_truth"))
+    settings = F.explode(F.array(*[F.lit(n) for n in NPROBES])).alias("nprobe")
+    hits = (found.withColumnRenamed("nprobe", "probed").join(truth, ["filter_name", "qid", "vec_id"])
+            .groupBy("filter_name", "qid", "probed").agg(F.count(F.lit(1)).alias("hits")))
+    asked = n_truth.select("filter_name", "qid", "n_truth", settings).withColumn("probed", F.least("nprobe", F.lit(idx.nlist)))
+    per = asked.join(hits, ["filter_name", "qid", "probed"], "left").fillna(0, ["hits"])
+    den = F.least(F.lit(K), F.col("n_truth"))
+    # a query without a true neighbour under a filter has nothing to miss
+    empty = F.lit(q.count()) - F.count(F.lit(1))
+    return per.groupBy("filter_name", "nprobe").agg(
+        F.round((F.sum(F.col("hits") / den) + empty) / (F.count(F.lit(1)) + empty), 4).alias("recall"), F.lit(q.count()).alias("n_queries"))
 
 
 @register("search_grid")
@@ -141,13 +160,8 @@ def report_all(spark, sf):
     return _grid(spark, sf)
 
 
-PQ_M, PQ_KSUB, PQ_RERANK = 8, 16, 50
-
-
-@register("pq_encode_search")
+@register("pq_encode_search", ORACLES["knn_l2"])
 def pq_encode_search(spark, sf):
-    emb = _emb(spark, sf)
-    book = A.pq_train(spark, emb, "embedding", PQ_M, PQ_KSUB, seed=42)
-    codes = A.pq_encode(emb, "vec_id", "embedding", book)
-    return A.pq_search(codes, emb, _queries(spark, sf), book, id_col="vec_id", vec_col="embedding", k=K,
-                       rerank=PQ_RERANK).withColumn("score", F.round("score", 6))
+    """Exact neighbours over codes of one byte for each two dimensions."""
+    idx = _index(spark, sf, sub_spaces=PQ_SUB_SPACES)
+    return IVF.exact_search(spark, idx, _queries(spark, sf), k=K).withColumn("score", F.round("score", 6))

@@ -8,13 +8,15 @@ import datetime as dt
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vexa.operators import dml as D
 from vexa.operators.common import broadcast_if_small
 from vexa.operators.ordering import batch_number
 from vexa.plans.registry import load, register
 from vexa.session import scratch_path
-from vexa.sources.versioned import VersionedTable
+from vexa.sources import schema as SC
+from vexa.sources.versioned import SchemaViolation, VersionedTable
 
 
 def _orders(spark, sf):
@@ -75,14 +77,19 @@ UNION ALL SELECT 'corrupt', false, count(*) FROM embeddings""")
 def insert_atomic(spark, sf):
     emb = load(spark, sf, "embeddings")
     dim = 64
-    table = VersionedTable(spark, scratch_path(spark, "atomic"))
+    declared = T.StructType([SC.field("vec_id", T.LongType(), pk=True), SC.field("embedding", T.ArrayType(T.FloatType()), dim=dim),
+                             SC.field("label", T.IntegerType())])
+    table = VersionedTable(spark, scratch_path(spark, "atomic"), declared)
     # corrupt batch: the vectors of label 3 lose their last component
     corrupt = emb.withColumn("embedding", F.when(F.col("label") == 3, F.slice("embedding", 1, dim - 1))
                              .otherwise(F.col("embedding")))
     out = []
     for name, batch in (("clean", emb), ("corrupt", corrupt)):
-        ok = D.validate_batch(batch, F.size("embedding") == dim)
-        table.publish_if(batch, ok)
+        try:
+            table.publish(batch)
+            ok = True
+        except SchemaViolation:
+            ok = False
         visible = table.read().count()
         out.append((name, ok, visible))
     return spark.createDataFrame(out, "batch string, accepted boolean, visible_rows long")
@@ -217,3 +224,33 @@ def snapshot_read(spark, sf):
                            F.round("price", 2).alias("price"))
         out = snap if out is None else out.unionByName(snap)
     return out
+
+
+# --- O48 sessions: each reads at least its own last write -------------------------
+def _writer(ts, event_id, latest):
+    """Three writers: one still writes, one stopped a day before the end and one five days before."""
+    return (F.when(ts > latest - F.expr("INTERVAL 1 DAY"), 2).when((ts > latest - F.expr("INTERVAL 5 DAY")) & (event_id % 3 == 0), 1)
+            .otherwise((event_id % 3).cast("int")))
+
+
+@register("snapshot_read_session", f"""
+WITH lim AS (SELECT max(ts) AS latest FROM events),
+log AS (SELECT user_id AS k, value, ts, event_id, CASE WHEN ts > latest - INTERVAL 1 DAY THEN 2
+          WHEN ts > latest - INTERVAL 5 DAY AND event_id % 3 = 0 THEN 1 ELSE event_id % 3 END AS writer FROM events, lim),
+cuts AS (SELECT 'session' AS level, writer AS session, greatest(max(ts), any_value(latest) - INTERVAL {LAG_DAYS} DAY) AS cut
+         FROM log, lim GROUP BY writer
+         UNION ALL SELECT 'eventually', NULL, latest - INTERVAL {LAG_DAYS} DAY FROM lim),
+r AS (SELECT level, session, k, value, row_number() OVER (PARTITION BY level, session, k ORDER BY ts DESC, event_id DESC) AS rn
+      FROM log JOIN cuts ON log.ts <= cuts.cut)
+SELECT level, session::INTEGER AS session, k AS user_id, round(value, 2) AS value FROM r WHERE rn = 1""")
+def snapshot_read_session(spark, sf):
+    """What each of three writers reads, and a reader without a session."""
+    e = load(spark, sf, "events").select(F.col("user_id").alias("k"), "value", F.col("ts").cast("timestamp").alias("commit_ts"), "event_id")
+    latest = F.lit(e.agg(F.max("commit_ts")).first()[0])
+    log = e.withColumn("writer", _writer(F.col("commit_ts"), F.col("event_id"), latest))
+    own = D.last_commits(log, "writer", "commit_ts")
+    session = D.session_snapshots(log, own, ["k"], "commit_ts", "writer", latest, LAG_DAYS * 86400, "event_id")
+    eventually = D.snapshot(log, ["k"], "commit_ts", D.consistency_cutoff("eventually", latest, LAG_DAYS * 86400), "event_id")
+    out = (session.withColumn("level", F.lit("session"))
+           .unionByName(eventually.withColumn("level", F.lit("eventually")).withColumn("session", F.lit(None).cast("int")).drop("writer")))
+    return out.select("level", "session", F.col("k").alias("user_id"), F.round("value", 2).alias("value"))

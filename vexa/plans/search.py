@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vexa.functions import vectors as V
+from vexa.operators import docscore as DS
 from vexa.operators.common import vector_dim
-from vexa.operators.knn import centroid_queries, export_batches, fetch_fields, local_queries, rounded, top_k
-from vexa.operators.sparse import sparse_ip_topk, text_postings
+from vexa.operators.export import KeysetExport, exported
+from vexa.operators.knn import centroid_queries, fetch_fields, local_queries, rounded, top_k
+from vexa.operators.sparse import drop_smallest
 from vexa.plans import sql_snippets as S
 from vexa.plans.registry import load, register
 from vexa.session import scratch_path
@@ -126,10 +128,9 @@ s AS (SELECT qid, doc_id, sum(w * qw) AS d FROM d JOIN qk USING (term) GROUP BY
 
 @register("sparse_ip_topk", SPARSE_SQL)
 def sparse_ip(spark, sf):
-    qs = text_postings(load(spark, sf, "benchmark"), "item_id", "text").withColumnRenamed("item_id", "qid")
-    # document terms outside every query cannot contribute: cut them before aggregating
-    docs = text_postings(load(spark, sf, "documents"), "doc_id", "text", only_terms=qs)
-    return rounded(sparse_ip_topk(docs, qs, k=K, drop_ratio=0.2, id_col="doc_id"))
+    from vexa.plans.text import doc_index
+    q = drop_smallest(DS.query_vectors(load(spark, sf, "benchmark"), "item_id", "text"), 0.2)
+    return rounded(DS.inner_products(spark, doc_index(spark, sf).docs(spark), q, K))
 
 
 # --- O61 search inside named partitions and across all of them --------------
@@ -200,6 +201,26 @@ def vector_dims(spark, sf):
     return out
 
 
+# --- the same at 1024 dimensions: each vector repeated with other scales
+def _wide_sql():
+    def wide(v):
+        return f"flatten(list_transform(range(0, 16), lambda r: list_transform({v}, lambda x: x::DOUBLE * (1 + r % 3))))"
+    cand = f"SELECT qw.qid, b.vec_id, {S.l2('b.v', 'qw.v')} AS d FROM b, qw"
+    return (f"WITH {S.CENTROIDS},\nqw AS (SELECT qid, {wide('qv')} AS v FROM q),\nb AS (SELECT vec_id, {wide('embedding')} AS v FROM embeddings)\n"
+            f"{S.topk(cand, K, 'ASC', 'vec_id')}")
+
+
+def widened(v, times: int = 16):
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(times - 1)),
+                                 lambda r: F.transform(v, lambda x: x.cast("double") * (1 + r % 3))))
+
+
+@register("vector_dims_wide", _wide_sql())
+def vector_dims_wide(spark, sf):
+    emb, q = _emb(spark, sf), _centroids(spark, sf)
+    return _knn(emb.select("vec_id", widened(F.col("embedding")).alias("embedding")), q.select("qid", widened(F.col("qv")).alias("qv")))
+
+
 # --- O22 first five components ----------------------------------------------
 @register("vector_head", """
 SELECT vec_id, list_transform(embedding[1:5], lambda x: round(x::DOUBLE, 6)) AS head FROM embeddings""")
@@ -225,4 +246,6 @@ def export_batches_q(spark, sf):
     emb = _emb(spark, sf)
     g = centroid_queries(emb.withColumn("_all", F.lit(0)), "_all", "embedding").first()
     scored = emb.select("vec_id", V.l2_sq("embedding", V.literal_vector(g["qv"])).alias("score"))
-    return export_batches(scored, "score", "vec_id", EXPORT_BATCH, EXPORT_LIMIT)
+    path = scratch_path(spark, "export")
+    KeysetExport(scored, "score", "vec_id", EXPORT_BATCH).write(path, EXPORT_LIMIT)
+    return exported(spark, path).select(F.col("batch_no").cast("long").alias("batch_no"), "rn", "vec_id", F.round("score", 6).alias("score"))

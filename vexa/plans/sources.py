@@ -13,7 +13,9 @@ from vexa.functions import vectors as V
 from vexa.plans import search as SQ
 from vexa.plans.registry import QUERIES, load, register
 from vexa.session import scratch_path
+from vexa.sources import footers as FT
 from vexa.sources import io as IO
+from vexa.sources import manifest as MF
 from vexa.sources import schema as SC
 from vexa.sources.tables import write_partitioned
 
@@ -58,33 +60,50 @@ def bulk_import_append(spark, sf):
     IO.write_sized(IO.conform(load(spark, sf, "lineitem"), LINEITEM_DECL), prepared, 10_000)
     target = scratch_path(spark, "imported")
     IO.bulk_import(spark, IO.list_files(spark, prepared), target, LINEITEM_DECL)
-    return spark.read.parquet(target).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("num_rows"))
-
-
-PART_DECL = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_name", T.StringType()),
-                          T.StructField("p_size", T.IntegerType())])
+    IO.bulk_import(spark, IO.list_files(spark, prepared), target, LINEITEM_DECL)  # given again, the files add nothing
+    return IO.read_imported(spark, target).groupBy("l_returnflag").agg(F.count(F.lit(1)).alias("num_rows"))
 
 
 @register("import_without_rewrite", """
-SELECT 'conforming' AS file_set, true AS accepted, count(*) AS imported_rows FROM part
-UNION ALL SELECT 'mismatched', false, 0""")
+SELECT 'first' AS file_set, true AS accepted, count(*) AS imported_rows, count(*) AS visible_rows FROM lineitem
+UNION ALL SELECT 'again', true, 0, count(*) FROM lineitem
+UNION ALL SELECT 'mixed', false, 0, count(*) FROM lineitem""")
 def import_without_rewrite(spark, sf):
-    part = load(spark, sf, "part").select("p_partkey", "p_name", "p_size")
-    good, bad = scratch_path(spark, "files-good"), scratch_path(spark, "files-bad")
-    part.repartition(4).write.parquet(good)
-    part.withColumn("p_size", F.col("p_size").cast("string")).repartition(4).write.parquet(bad)
-    out = []
-    for name, src in (("conforming", good), ("mismatched", bad)):
-        target = scratch_path(spark, "import-target")
-        ok = IO.bulk_import(spark, IO.list_files(spark, src), target, PART_DECL)
-        n = spark.read.parquet(target).count() if ok else 0
-        out.append((name, ok, n))
-    return spark.createDataFrame(out, "file_set string, accepted boolean, imported_rows long")
-
-
-@register("parquet_profile")
+    """The files of ``lineitem`` where they lie; given again; and together with files of another table."""
+    path = f"{sf.rstrip('/')}/lineitem.parquet"
+    table = MF.ManifestTable(spark, scratch_path(spark, "import-manifest"), load(spark, sf, "lineitem").schema)
+    good = FT.data_files(spark, path)
+    mixed = good.unionByName(FT.data_files(spark, f"{sf.rstrip('/')}/orders.parquet"))
+    out = None
+    for name, files in (("first", good), ("again", good), ("mixed", mixed)):
+        r = table.import_files(files)
+        row = table.read().agg(F.lit(name).alias("file_set"), F.lit(r.accepted).alias("accepted"),
+                               F.lit(r.added_rows).cast("long").alias("imported_rows"), F.count(F.lit(1)).alias("visible_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _profile_sql():
+    kinds = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+             "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
+             "l_shipdate": "timestamp_ntz"}
+    return "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS num_rows, (count(*) - count({c}))::BIGINT AS num_nulls, "
+        f"min({c})::VARCHAR AS min_value, max({c})::VARCHAR AS max_value FROM lineitem" for c, t in kinds.items())
+
+
+@register("parquet_profile", _profile_sql())
 def parquet_profile(spark, sf):
-    return IO.parquet_profile(spark, f"{sf.rstrip('/')}/lineitem.parquet")
+    """From the footers alone; the oracle reads the rows."""
+    found = FT.footers(FT.data_files(spark, f"{sf.rstrip('/')}/lineitem.parquet"))
+    return FT.column_profile(found, load(spark, sf, "lineitem").schema).select(
+        "column_name", "data_type", "num_rows", "num_nulls", "min_value", "max_value")
+
+
+@register("parquet_row_groups")
+def parquet_row_groups(spark, sf):
+    """Rows, bytes and extremes of every row group and column of ``documents``; compared with a footer reader in the tests."""
+    return FT.row_groups(FT.footers(FT.data_files(spark, f"{sf.rstrip('/')}/documents.parquet")))
 
 
 @register("sink_json_results", SQ.ORACLES_KNN_L2)
@@ -118,6 +137,33 @@ def generate_rows(spark, sf):
                     F.transform("vector", lambda x: F.round(x, 9)).alias("vector"))
 
 
+GEN_FIELDS = [("seq", "sequence", 100, 2), ("skey", "string_key", 12), ("bucket", "long", 1000), ("score", "uniform", -1, 1),
+              ("gauss", "normal", 10, 2), ("direction", "normal_vector", 4)]
+
+
+def _gen_sql():
+    def uni(*parts):
+        return f"(('0x' || substr(md5('{GEN_SEED}-' || " + " || '-' || ".join(parts) + "), 1, 8))::BIGINT / 4294967296.0e0)"
+
+    def gauss(*parts):
+        u, v = uni(*parts, "'u'"), uni(*parts, "'v'")
+        return f"(sqrt(-2.0e0 * ln(1.0e0 - {u})) * cos(2 * pi() * {v}))"
+
+    k = "o_orderkey"
+    return f"""
+SELECT {k}, 100 + 2 * {k} AS seq, substr(md5('{GEN_SEED}-skey-' || {k}), 1, 12) AS skey,
+  ('0x' || substr(md5('{GEN_SEED}-bucket-' || {k}), 1, 15))::BIGINT % 1000 AS bucket,
+  round(-1.0e0 + 2.0e0 * {uni("'score'", k)}, 6) AS score, round(10.0e0 + 2.0e0 * {gauss("'gauss'", k)}, 6) AS gauss,
+  list_transform(range(1, 5), lambda i: round({gauss("'direction'", k, "i")}, 6)) AS direction FROM orders"""
+
+
+@register("generate_typed_rows", _gen_sql())
+def generate_typed_rows(spark, sf):
+    g = IO.generate_table(load(spark, sf, "orders"), "o_orderkey", GEN_FIELDS, GEN_SEED)
+    return g.select("o_orderkey", "seq", "skey", "bucket", F.round("score", 6).alias("score"), F.round("gauss", 6).alias("gauss"),
+                    F.transform("direction", lambda x: F.round(x, 6)).alias("direction"))
+
+
 # target schema of the size estimate: INT64 pk, DOUBLE random, FLOAT_VECTOR(64)
 EST_WIDTH = IO.row_width([("INT64", 0), ("DOUBLE", 0), ("FLOAT_VECTOR", 64)])
 

@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from vexa.functions.text import text_match, tokenize
 from vexa.operators import hybrid as H
-from vexa.operators.common import broadcast_if_small
-from vexa.operators.knn import centroid_queries, fetch_fields, rounded, top_k
-from vexa.operators.text import bm25_topk, build_index, query_terms
+from vexa.operators import docscore as DS
+from vexa.operators.common import broadcast_query_side
+from vexa.operators.knn import centroid_queries, fetch_fields, local_queries, rounded, top_k
+from vexa.operators.text import build_index
+from vexa.plans import indexes as IX
 from vexa.plans import sql_snippets as S
 from vexa.plans.filters import TEXT_QUERY
 from vexa.plans.registry import load, register
@@ -58,13 +60,16 @@ def postings_build(spark, sf):
     return idx.postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total_tf"))
 
 
+def doc_index(spark, sf):
+    """The term vectors of ``documents``, written once for all queries that score them."""
+    return IX.shared(spark, sf, ["documents"], ("doc-index",), lambda: DS.build(spark, load(spark, sf, "documents")))
+
+
 @register("bm25_topk", f"""
 WITH {bm25_sql('documents', '(SELECT item_id AS qid, text AS qtext FROM benchmark)')}
 SELECT qid, doc_id, round(d, 6) AS score, rk AS rank FROM bm WHERE rk <= {K}""")
 def bm25_q(spark, sf):
-    idx = build_index(spark, load(spark, sf, "documents"))
-    qt = query_terms(load(spark, sf, "benchmark"), "item_id", "text")
-    return rounded(bm25_topk(idx, qt, K))
+    return rounded(DS.bm25(spark, doc_index(spark, sf), DS.query_vectors(load(spark, sf, "benchmark"), "item_id", "text"), K))
 
 
 @register("fulltext_plus_vector", f"""
@@ -87,14 +92,13 @@ HQ_SQL = (f"(SELECT doc_id AS qid, text AS qtext, embedding AS qv FROM {CORPUS_S
 def _hybrid(spark, sf):
     docs = load(spark, sf, "documents")
     emb = load(spark, sf, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
-    corpus = docs.join(emb, "doc_id").select("doc_id", "text", "lang", "embedding")
-    firsts = corpus.groupBy("lang").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
-    hq = corpus.join(broadcast_if_small(firsts), "doc_id", "left_semi").select(
-        F.col("doc_id").alias("qid"), F.col("text").alias("qtext"), F.col("embedding").alias("qv"))
-    dense = top_k(corpus.select("doc_id", "embedding"), hq, k=HYBRID_LIMIT, metric="IP",
-                  id_col="doc_id", vec_col="embedding")
-    idx = build_index(spark, docs.select("doc_id", "text"))  # also documents without a vector
-    sparse = bm25_topk(idx, query_terms(hq, "qid", "qtext"), HYBRID_LIMIT)
+    corpus = docs.join(emb, "doc_id").select("doc_id", "lang")
+    firsts = corpus.groupBy("lang").agg(F.min("doc_id").alias("doc_id")).select("doc_id")  # one row per language
+    texts = docs.join(broadcast_query_side(firsts), "doc_id").select("doc_id", "text")
+    hq = local_queries(texts.join(emb, "doc_id").select(F.col("doc_id").alias("qid"), F.col("text").alias("qtext"), F.col("embedding").alias("qv")))
+    dense = top_k(emb.join(docs.select("doc_id"), "doc_id", "left_semi"), hq, k=HYBRID_LIMIT, metric="IP", id_col="doc_id", vec_col="embedding")
+    # also documents without a vector
+    sparse = DS.bm25(spark, doc_index(spark, sf), DS.query_vectors(hq, "qid", "qtext"), HYBRID_LIMIT)
     return dense, sparse
 
 

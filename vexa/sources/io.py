@@ -7,7 +7,9 @@ code works on local disk, HDFS or an object store.
 
 from __future__ import annotations
 
-from py4j.protocol import Py4JJavaError
+import hashlib
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,47 +58,40 @@ def list_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> list
                   if s.isFile() and s.getPath().getName().endswith(suffix))
 
 
-def schema_matches(actual: T.StructType, declared: T.StructType) -> bool:
-    a = {f.name: f.dataType for f in actual.fields}
-    return len(a) == len(declared.fields) and all(a.get(f.name) == f.dataType for f in declared.fields)
-
-
 def bulk_import(spark: SparkSession, files: list[str], target: str, declared: T.StructType) -> bool:
-    """Append prepared files to ``target`` when their schema is the declared
-    one; the whole set is accepted or rejected (O04, O05).
-
-    The footers of all files are read by a Spark job (``mergeSchema``): a file with another type or with a
-    column of its own rejects the set.  A column that a file lacks is read as null."""
+    """Copy prepared files into ``target`` when every one has exactly the declared columns and types; the whole
+    set is accepted or rejected (O04).
+
+    The footers are checked first (``manifest``).  A ledger below ``target`` names the files imported so far: a file
+    that is given again adds nothing.  Each import writes a slice of its own, named after its new files, and the ledger last, so that an
+    import that broke off and is repeated replaces its slice."""
+    from vexa.sources.footers import listed
+    from vexa.sources.manifest import ManifestTable
     if not files:
         return True
-    try:
-        src = spark.read.option("mergeSchema", "true").parquet(*files)
-    except Py4JJavaError as e:  # the merge fails with a plain SparkException
-        if "CANNOT_MERGE" not in str(e.java_exception):
-            raise
-        return False
-    if not schema_matches(src.schema, declared):
+    ledger = ManifestTable(spark, f"{target}/_imports", declared)
+    new, reasons = ledger.plan(listed(spark, files))
+    if reasons.limit(1).count():
         return False
-    src.select(*[f.name for f in declared.fields]).write.mode("append").parquet(target)
+    paths = [r.path for r in new.select("path").orderBy("path").collect()]
+    if paths:
+        slice_id = hashlib.md5("\n".join(paths).encode()).hexdigest()[:16]
+        rows = spark.read.schema(declared).parquet(*paths)
+        rows.write.mode("overwrite").parquet(f"{target}/import_id={slice_id}")
+        ledger.add(new)
     return True
 
 
+def read_imported(spark: SparkSession, target: str) -> DataFrame:
+    """The rows of a table filled by ``bulk_import``."""
+    return spark.read.parquet(target).drop("import_id")
+
+
 def per_file_counts(df: DataFrame) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(
         F.count(F.lit(1)).alias("num_rows"), F.max("_metadata.file_size").alias("file_bytes"))
 
 
-def parquet_profile(spark: SparkSession, path: str) -> DataFrame:
-    """Columns and types with row and file counts of a Parquet location."""
-    df = spark.read.parquet(path)
-    stats = per_file_counts(df).agg(F.sum("num_rows").alias("num_rows"), F.count(F.lit(1)).alias("num_files"),
-                                    F.sum("file_bytes").alias("total_bytes")).first()
-    rows = [(f.name, f.dataType.simpleString(), int(stats["num_rows"] or 0), int(stats["num_files"] or 0),
-             int(stats["total_bytes"] or 0)) for f in df.schema.fields]
-    return spark.createDataFrame(rows, "column_name string, data_type string, num_rows long, num_files long, "
-                                       "total_bytes long")
-
-
 def write_key_text(df: DataFrame, path: str, key: str, seg: str) -> None:
     """One key per line, one folder per segment."""
     df.select(F.col(key).cast("string").alias("value"), seg).write.mode("overwrite").partitionBy(seg).text(path)
@@ -121,6 +116,47 @@ def generate_rows(keys: DataFrame, key_col: str, seed: int, dim: int) -> DataFra
     return keys.select(F.col(key_col).alias("pk"), uniform(s, F.col(key_col)).alias("random"), vec.alias("vector"))
 
 
+def hashed_long(seed: Column, *parts: Column) -> Column:
+    """60 bits of the md5 of ``seed-part-...`` as a non-negative long."""
+    h = F.md5(F.concat_ws("-", seed.cast("string"), *[p.cast("string") for p in parts]))
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
+
+
+def normal(seed: Column, *parts: Column) -> Column:
+    """Standard normal double by Box-Muller from two uniforms; the first is taken from (0, 1]."""
+    u = F.lit(1.0) - uniform(seed, *parts, F.lit("u"))
+    return F.sqrt(F.lit(-2.0) * F.log(u)) * F.cos(F.lit(2 * math.pi) * uniform(seed, *parts, F.lit("v")))
+
+
+def generate_table(keys: DataFrame, key_col: str, fields: list[tuple], seed: int) -> DataFrame:
+    """Synthetic rows, one per key, with a column for each of ``fields`` (name, kind, parameters...):
+
+    ``sequence`` start, step: start + step * key; ``string_key`` length (up to 32): hexadecimal digits, different for different keys as
+    far as the length allows; ``long`` below; ``uniform`` low, high; ``normal`` mean, deviation; ``uniform_vector`` and ``normal_vector``
+    dim: of unit scale.  Each value is a function of (seed, column, key) alone: the rows do not depend on partitions or on
+    other columns."""
+    k = F.col(key_col)
+
+    def value(name: str, kind: str, *args):
+        s, c = F.lit(seed), F.lit(name)
+        if kind == "sequence":
+            return F.lit(args[0]) + F.lit(args[1]) * k
+        if kind == "string_key":
+            return F.substring(F.md5(F.concat_ws("-", s.cast("string"), c, k.cast("string"))), 1, args[0])
+        if kind == "long":
+            return F.pmod(hashed_long(s, c, k), F.lit(args[0]).cast("long"))
+        if kind == "uniform":
+            return F.lit(float(args[0])) + F.lit(float(args[1]) - float(args[0])) * uniform(s, c, k)
+        if kind == "normal":
+            return F.lit(float(args[0])) + F.lit(float(args[1])) * normal(s, c, k)
+        if kind in ("uniform_vector", "normal_vector"):
+            draw = uniform if kind == "uniform_vector" else normal
+            return F.transform(F.sequence(F.lit(1), F.lit(args[0])), lambda i: draw(s, c, k, i))
+        raise ValueError(f"no generator for {kind}")
+
+    return keys.select(k, *[value(*f).alias(f[0]) for f in fields])
+
+
 def row_width(fields: list[tuple[str, int]]) -> int:
     """Bytes per row: INT64 / DOUBLE 8, VARCHAR max_length, FLOAT_VECTOR 4 x dim."""
     w = 0

@@ -31,10 +31,14 @@ def validate(df: DataFrame, declared: T.StructType, dynamic: bool = False) -> Da
         checks.append((F.lit(True), "missing field " + ",".join(missing)))
     if extra and not dynamic:
         checks.append((F.lit(True), "undeclared field " + ",".join(extra)))
+    types = {f.name: f.dataType for f in df.schema.fields}
     for f in declared.fields:
         if f.name not in names:
             continue
-        c = F.col(f.name)
+        c = F.col(f"`{f.name}`")
+        if types[f.name].simpleString() != f.dataType.simpleString():
+            checks.append((F.lit(True), f"field {f.name} is {types[f.name].simpleString()}"))
+            continue
         md = f.metadata or {}
         if md.get("pk"):
             checks.append((c.isNull(), f"null key {f.name}"))

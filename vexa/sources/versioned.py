@@ -20,13 +20,21 @@ the session, so the folder can be on any shared store.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 COMMITS = "_commits"
 
 
+class SchemaViolation(ValueError):
+    """Rows to be published break the table's declared schema."""
+
+
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
+    """With ``declared`` every published version is held against the schema (``schema.validate``, strict)."""
+
+    def __init__(self, spark: SparkSession, root: str, declared: T.StructType | None = None):
+        self.spark, self.declared = spark, declared
         self.root = root.rstrip("/")
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
@@ -70,9 +78,20 @@ class VersionedTable:
         if max_records_per_file:
             w = w.option("maxRecordsPerFile", max_records_per_file)
         w.parquet(f"{self.root}/{nxt}")
+        self._hold_to_schema(nxt)
         self._commit(nxt)
         return nxt
 
+    def _hold_to_schema(self, version: str) -> None:
+        """The rows as written are checked, so they are computed once; a version that fails stays without its marker."""
+        if self.declared is None:
+            return
+        from vexa.sources.schema import validate
+        bad = (validate(self.spark.read.parquet(f"{self.root}/{version}"), self.declared).filter(~F.col("valid"))
+               .groupBy("reason").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "reason").first())
+        if bad is not None:
+            raise SchemaViolation(f"{bad.n} rows: {bad.reason}")
+
     def publish_if(self, df: DataFrame, ok: bool) -> str | None:
         """Atomic batch: publish only when the batch validated."""
         return self.publish(df) if ok else None

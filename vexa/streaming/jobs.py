@@ -33,8 +33,8 @@ def land_files(parts: list[DataFrame], landing: str) -> None:
 
 def run_available_now(spark: SparkSession, landing: str, schema, on_batch: Callable[[DataFrame, int], None],
                       name: str, files_per_trigger: int = 4,
-                      dedupe: tuple[list[str], str, str] | None = None) -> None:
-    """``dedupe = (keys, event_time_col, delay)`` drops repeated keys with
+                      dedupe: tuple[list[str], str, str] | None = None, checkpoint: str | None = None) -> None:
+    """A run that is given the ``checkpoint`` of an earlier one goes on where that ended.  ``dedupe = (keys, event_time_col, delay)`` drops repeated keys with
     ``dropDuplicatesWithinWatermark``: the watermark bounds the dedupe state.
     The delay must cover how far apart in event time a row and its replay can
     arrive; rows behind the watermark would count as late."""
@@ -47,7 +47,7 @@ def run_available_now(spark: SparkSession, landing: str, schema, on_batch: Calla
                   .withWatermark("_event_time", delay).dropDuplicatesWithinWatermark(keys)
                   .drop("_event_time"))
     q = (stream.writeStream.foreachBatch(on_batch)
-         .option("checkpointLocation", scratch_path(spark, f"ckpt-{name}"))
+         .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{name}"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -59,6 +59,25 @@ def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def run_arrivals(spark: SparkSession, parts: list[DataFrame], on_batch: Callable[[DataFrame, int], None], name: str,
+                 files_per_trigger: int = 4) -> list[int]:
+    """Land ``parts`` one after the other, each consumed before the next arrives, by one continued stream; returns the last batch
+    of each arrival (that of the one before where a part is empty; -1 before the first)."""
+    landing, checkpoint = scratch_path(spark, f"landing-{name}"), scratch_path(spark, f"ckpt-{name}")
+    seen = [-1]
+
+    def counted(df: DataFrame, batch_id: int) -> None:
+        on_batch(df, batch_id)
+        seen.append(batch_id)
+
+    last = []
+    for part in parts:
+        land_files([part], landing)
+        run_available_now(spark, landing, part.schema, counted, name, files_per_trigger, checkpoint=checkpoint)
+        last.append(max(seen))
+    return last
+
+
 def stream_into_table(spark: SparkSession, parts: list[DataFrame], name: str,
                       dedupe: tuple[list[str], str, str] | None = None,
                       transform: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
