@@ -9,8 +9,10 @@ record, header and full payload, after checking each payload against its digest.
 ``export`` writes standard ``.warc`` text files (a revisit has no block there) and ``import_files`` reads
 such files, so archives can be exchanged with other tools.
 
-Payloads are UTF-8 bytes (null: empty).  Rows of one payload with a null id count after all ids; repeated
-ids are separate records, and the first of them by url is the response.  Other columns are ignored.  A digest
+Payloads are UTF-8 bytes (null: empty).  Rows of one payload with a null id count after all ids, and a revisit that refers to one of
+them has a null ``refers_to``; repeated ids are separate records, the first of them by url is the response, and of
+repeated rows one.  Line ends in a url, also Unicode's own, become blanks.  A payload may be as long as a row may be.  An empty
+table gives an empty archive.  Other columns are ignored.  A digest
 that stands for two payloads, or a stored payload that does not match its digest, is an error.
 """
 
@@ -23,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vexa.llm.common import save
 from vexa.session import scratch_path
 
 CRLF = "\r\n"
@@ -30,46 +33,68 @@ DATE = "1970-01-01T00:00:00Z"  # pages carry no date; a constant keeps archives
 
 
 def _clean(col):
-    """A header value: no line ends."""
-    return F.regexp_replace(F.coalesce(col.cast("string"), F.lit("")), r"[\r\n]+", " ")
+    """A header value: no line ends, also not those that only Unicode knows."""
+    return F.regexp_replace(F.coalesce(col.cast("string"), F.lit("")), "[\\r\\n\\u000B\\u000C\\u0085\\u2028\\u2029]+", " ")
 
 
-def records(pages: DataFrame, id_col: str, url_col: str, payload_col: str, min_bytes: int) -> DataFrame:
-    """(id, digest, type, refers_to, header, payload) of every row."""
-    base = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"),
+def _base(pages: DataFrame, id_col: str, url_col: str, payload_col: str) -> DataFrame:
+    """(id, url, payload, digest, size, check): ``check`` is a second hash, to verify that equal digests are equal bytes."""
+    base = pages.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"),
                         F.encode(F.coalesce(payload_col, F.lit("")), "UTF-8").alias("payload"))
-    base = base.withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload").cast("long"))
-    # one row per payload: the smallest id, and a second hash to verify that equal digests are equal bytes
-    check = F.xxhash64("payload")
-    firsts = base.groupBy("digest").agg(
-        F.min(F.struct(F.coalesce("id", F.lit(2**63 - 1)).alias("id"), F.coalesce("url", F.lit("")).alias("url"))).alias("f"),
-        F.min("size").alias("low"), F.max("size").alias("high"), F.min(check).alias("c1"), F.max(check).alias("c2"))
-    firsts = firsts.withColumn("f", F.when((F.col("low") == F.col("high")) & (F.col("c1") == F.col("c2")), F.col("f"))
-                               .otherwise(F.raise_error(F.concat(F.lit("two payloads share the digest "), "digest"))))
-    same = (F.coalesce("id", F.lit(2**63 - 1)) == F.col("f.id")) & (F.coalesce("url", F.lit("")) == F.col("f.url"))
-    typed = (base.join(firsts.select("digest", "f"), "digest")
-             .withColumn("type", F.when((F.col("size") < min_bytes) | same, "response").otherwise("revisit"))
-             .withColumn("refers_to", F.when(F.col("type") == "revisit", F.col("f.id"))))
+    return base.select("*", F.sha2("payload", 256).alias("digest"), F.octet_length("payload").cast("long").alias("size"),
+                       F.xxhash64("payload").alias("check"))
+
+
+#: Records of one payload above which its first record is broadcast instead of joined: such payloads are few.
+HOT_RECORDS = 1 << 16
+
+
+def _records(base: DataFrame, min_bytes: int) -> DataFrame:
+    """(id, url, digest, size, type, refers_to) of every row, without any payload.
+
+    Rows of one payload, id and url differ in nothing, so they are counted and given out again: of the first of all by (id,
+    nulls last; url) one row is the response."""
+    order = F.struct(F.col("id").isNull().alias("null"), "id", "url")
+    groups = base.groupBy("digest", "id", "url").agg(
+        F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("size").alias("high"), F.min("check").alias("c1"),
+        F.max("check").alias("c2"))
+    groups = save(groups, "warc-groups")
+    firsts = groups.groupBy("digest").agg(F.min(order).alias("f"), F.sum("n").alias("records"), F.min("low").alias("low"),
+                                          F.max("high").alias("high"), F.min("c1").alias("c1"), F.max("c2").alias("c2"))
+    one = (F.col("low") == F.col("high")) & (F.col("c1") == F.col("c2"))
+    checked = F.when(one, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("two payloads share the digest "), "digest")))
+    firsts = save(firsts.select("digest", "records", checked.alias("f")), "warc-firsts")
+    hot = firsts.filter(F.col("records") > HOT_RECORDS).select("digest", F.col("f").alias("hot"))  # at most rows / HOT_RECORDS
+    rows = groups.select("digest", "id", "url", "n", F.col("low").alias("size")).join(F.broadcast(hot), "digest", "left")
+    cold = rows.filter("hot IS NULL").drop("hot").join(firsts.filter(F.col("records") <= HOT_RECORDS).select("digest", "f"), "digest")
+    every = cold.unionByName(rows.filter("hot IS NOT NULL").withColumnRenamed("hot", "f"))
+    every = every.withColumn("at", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))))
+    first = F.col("id").eqNullSafe(F.col("f.id")) & (F.col("url") == F.col("f.url")) & (F.col("at") == 1)
+    kind = F.when((F.col("size") < min_bytes) | first, "response").otherwise("revisit")
+    return every.withColumn("type", kind).select("id", "url", "digest", "size", "type", F.when(F.col("type") == "revisit", F.col("f.id")).alias("refers_to"))
+
+
+def _header():
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("")), F.lit(">"))
+    revisit = F.col("type") == "revisit"
     lines = [F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), "type"), F.concat(F.lit("WARC-Record-ID: "), name(F.col("id"))),
              F.concat(F.lit("WARC-Target-URI: "), _clean(F.col("url"))), F.lit(f"WARC-Date: {DATE}"),
              F.concat(F.lit("WARC-Payload-Digest: sha256:"), "digest"),
-             F.when(F.col("type") == "revisit", F.concat(F.lit("WARC-Refers-To: "), name(F.col("refers_to")))),
-             F.when(F.col("type") == "revisit",
-                    F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
+             F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), name(F.col("refers_to")))),
+             F.when(revisit, F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
              F.lit("Content-Type: text/html; charset=utf-8"),
-             F.concat(F.lit("Content-Length: "), F.when(F.col("type") == "revisit", F.lit(0)).otherwise(F.col("size")).cast("string"))]
-    return typed.withColumn("header", F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF))).select(
-        "id", "digest", "size", "type", "refers_to", "header", "payload")
+             F.concat(F.lit("Content-Length: "), F.when(revisit, F.lit(0)).otherwise(F.col("size")).cast("string"))]
+    return F.concat(F.concat_ws(CRLF, *lines), F.lit(CRLF + CRLF))
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
           min_bytes: int = 100) -> str:
-    """Write the archive under ``path``: ``headers`` and ``payloads``."""
-    recs = records(pages, id_col, url_col, payload_col, min_bytes)
-    recs.select("header", "digest").write.option("compression", "zstd").parquet(f"{path}/headers")
-    # one copy of each payload: only responses carry bytes into the aggregation
-    (recs.filter("type = 'response'").groupBy("digest").agg(F.first("payload").alias("payload"))
+    """Write the archive under ``path``: ``headers`` and ``payloads``.
+
+    Which row is a response is settled on digests alone; a task then sends one copy of each payload that it holds."""
+    base = _base(pages, id_col, url_col, payload_col)
+    _records(base, min_bytes).select(_header().alias("header"), "digest").write.option("compression", "zstd").parquet(f"{path}/headers")
+    (base.groupBy("digest").agg(F.first("payload").alias("payload"))
      .write.option("compression", "zstd").parquet(f"{path}/payloads"))
     return path
 
@@ -87,7 +112,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 def field(name: str, header: str = "header"):
     """The value of a header line, or null."""
-    value = F.regexp_extract(header, f"(?m)^{re.escape(name)}: ([^\\r\\n]*)", 1)
+    value = F.regexp_extract(header, f"(?:^|\\r\\n){re.escape(name)}: ([^\\r\\n]*)", 1)
     return F.when(value != "", value)
 
 
