@@ -3,18 +3,16 @@
 Texts of known length are cut into pieces of at most the largest permitted sequence
 length and packed into sequences ("bins") of several permitted lengths.  A bin of
 capacity c costs c + ``overhead``.  Pieces are placed longest first, each into the open bin that it fills
-best; where none has room, a bin is opened.  Which size to open is decided for all sizes
-jointly: every policy "open at least capacity c" is tried over the whole shard, the sizes
-opened being the least costly per token among those allowed, and the
-cheapest result after downsizing is kept.  Finally each bin is downsized to the smallest permitted
-capacity that holds its contents.
+best (among bins of equal room the one opened last).  Where none has room, a bin is opened: every permitted size is filled in thought with
+the largest pieces still to come that fit, and the size of the least cost per token is opened, the smaller one if two
+are equal.  Finally each bin is downsized to the smallest permitted capacity that holds its contents.
 
 Pieces are dealt to shards by a hash of their identity (with a number of the row where ids repeat or are null), about ``shard_pieces`` each (a
 documented parameter: bins are never shared between shards, so the loss is at most the last
 open bins of each shard).  Every shard is packed in one task whose memory is bounded by it; a hot
 source or a frequent length is spread like any other row.
 
-A null or negative length counts as 0.  Texts of length 0 are one empty piece in a bin of their
+The lengths are written once, so that whatever computes them (reading the texts) runs once.  A null or negative length counts as 0.  Texts of length 0 are one empty piece in a bin of their
 shard (they take no room).  Repeated rows are packed separately.  Other columns are ignored.
 """
 
@@ -33,14 +31,34 @@ from vexa.llm import common as C
 CAPACITIES = (512, 1024, 2048, 4096)
 
 
-def _place(size: np.ndarray, opened: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Best fit of pieces in falling order; ``opened[n]`` is the capacity opened for a piece of n.
+def _least_cost(i: int, neg: np.ndarray, caps: np.ndarray, overhead: int) -> int:
+    """Capacity to open for piece ``i``; ``neg`` holds the falling sizes, negated.  For each permitted one, its cost per token when filled by the
+    largest pieces still to come that fit, and downsized to what they leave.  Ties go to the smaller one."""
+    best, chosen = None, 0
+    n = -int(neg[i])
+    for c in caps[np.searchsorted(caps, n):].tolist():
+        free, at = c - n, i + 1
+        while free and at < len(neg):
+            # the first piece behind ``at`` that is no larger than the room
+            at += int(neg[at:].searchsorted(-free))
+            if at == len(neg) or not neg[at]:
+                break
+            free += int(neg[at])
+            at += 1
+        used = c - free
+        cost = (int(caps[np.searchsorted(caps, used)]) + overhead) / max(used, 1)
+        if best is None or cost < best:
+            best, chosen = cost, c
+    return chosen
 
-    Returns (bin, offset) per piece and the bins' contents."""
+
+def pack(size: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, overhead: int = 16):
+    """(bin, offset, capacity of the bin) for every piece; sizes must fall."""
+    caps = np.array(sorted(capacities), np.int64)
     bins: list[int] = []       # tokens in each bin
     room: dict[int, list[int]] = {}  # bins by free room
     rooms: list[int] = []      # the rooms that occur, ascending
-    where, offset = np.empty(len(size), np.int64), np.empty(len(size), np.int64)
+    where, offset, neg = np.empty(len(size), np.int64), np.empty(len(size), np.int64), -size
     for i, n in enumerate(size.tolist()):
         at = bisect_left(rooms, n)
         if at < len(rooms):
@@ -51,7 +69,7 @@ def _place(size: np.ndarray, opened: np.ndarray) -> tuple[np.ndarray, np.ndarray
                 del room[free]
                 del rooms[at]
         else:
-            b, free = len(bins), int(opened[n])
+            b, free = len(bins), _least_cost(i, neg, caps, overhead)
             bins.append(0)
         where[i], offset[i] = b, bins[b]
         bins[b] += n
@@ -61,22 +79,7 @@ def _place(size: np.ndarray, opened: np.ndarray) -> tuple[np.ndarray, np.ndarray
                 room[left] = []
                 insort(rooms, left)
             room[left].append(b)
-    return where, offset, bins
-
-
-def pack(size: np.ndarray, capacities: tuple[int, ...] = CAPACITIES, overhead: int = 16):
-    """(bin, offset, capacity of the bin) for every piece; sizes must fall."""
-    caps = np.array(sorted(capacities), np.int64)
-    fits = np.searchsorted(caps, np.arange(caps[-1] + 1))  # smallest capacity for each length
-    best = None
-    for least in range(len(caps)):
-        opened = caps[np.maximum(fits, least)]
-        where, offset, bins = _place(size, opened)
-        final = caps[np.searchsorted(caps, np.array(bins, np.int64))] if bins else caps[:0]
-        cost = int((final + overhead).sum())
-        if best is None or cost < best[0]:
-            best = (cost, where, offset, final)
-    _, where, offset, final = best
+    final = caps[np.searchsorted(caps, np.array(bins, np.int64))] if bins else caps[:0]
     return where, offset, final[where] if len(where) else where
 
 
@@ -105,11 +108,11 @@ def best_fit(lengths: DataFrame, id_col: str, length_col: str, capacities: tuple
 
     A bin is named by its shard and number; rows of one bin fill it from offset 0."""
     longest = max(capacities)
+    lengths = C.save(lengths.select(id_col, length_col), "packing-lengths")
     kinds = dict(lengths.dtypes)
     n = F.greatest(F.coalesce(F.col(length_col), F.lit(0)).cast("double"), F.lit(1.0))
     total = lengths.agg(F.sum(F.ceil(n / longest))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_pieces))
-    lengths = lengths.select(id_col, length_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in C.by_group(batches, ["shard"]):
