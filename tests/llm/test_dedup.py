@@ -83,6 +83,76 @@ def test_near_duplicates_at_the_similarity_of_the_pipeline(spark):
     assert (minhash.least_matches(48, (85, 100)), minhash.least_matches(48, NEAR)) == (28, 24)
 
 
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(i).count("1") % 2 else a for i in range(n))
+
+
+@pytest.mark.parametrize("n", [64, 128, 1024, 2048, 4096])
+def test_words_that_a_polynomial_hash_confuses_are_different(spark, n):
+    x, y = thue_morse(n), thue_morse(n, "b", "a")
+    raw = np.frombuffer((x + " " + y + " " + x).encode(), np.uint8)
+    h = C.word_hashes(raw, np.array([0, n + 1, 2 * n + 2]), np.array([n, 2 * n + 1, 3 * n + 2]))
+    assert h[0] != h[1] and h[0] == h[2]
+    docs = C.identified(spark.createDataFrame([(1, x), (2, y), (3, x)], "doc_id long, text string"))
+    assert {r._uid: r.component for r in minhash.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 1}
+    bench = spark.createDataFrame([(7, x)], "item_id long, text string")
+    assert {r._uid: r.n_hit for r in posindex.contamination(docs, bench).collect()} == {1: 1, 2: 0, 3: 1}
+
+
+def test_unrelated_sets_share_no_coordinate(spark):
+    docs = spark.range(6000).selectExpr("id AS _uid", "array_join(transform(sequence(0, 150), x -> md5(concat(id, '-', x))), ' ') AS text")
+    sigs = minhash.signatures(docs, 5, 48)
+    keys = minhash._postings(sigs, 48)
+    assert keys.count() == 6000 * 48 == keys.select("key").distinct().count()
+
+
+def test_families_larger_than_a_block_equal_brute_force(spark):
+    rng = np.random.default_rng(12)
+    words = [f"w{i}" for i in range(400)]
+    texts = []
+    shared = " ".join(rng.choice(words, 30))
+    for f in range(3):
+        base = list(rng.choice(words, 90))
+        for k in range(70):  # a family that drifts: its ends are alike through its middle only
+            base[int(rng.integers(90))] = f"f{f}k{k}"
+            texts.append(shared + " " + " ".join(base))
+    order = rng.permutation(len(texts))
+    texts = [texts[i] for i in order]
+    docs = C.identified(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    _, root = brute_near(texts)
+    units = []
+    full = minhash._compared
+
+    def counted(placed, part, *args, crossing):
+        units.append((crossing, placed.count()))
+        return full(placed, part, *args, crossing=crossing)
+
+    minhash._compared = counted
+    try:
+        got = {r._uid: r.component for r in minhash.near_duplicates(docs, block_bytes=8000).collect()}
+    finally:
+        minhash._compared = full
+    assert got == dict(enumerate(root))
+    assert units[0] == (False, len(texts)) and units[-1][0]
+    # copies with one changed word: one family of many blocks ends without any row compared across blocks
+    near = [" ".join(["x%d" % i if j == i else w for j, w in enumerate(words[:200])]) for i in range(150)]
+    docs = C.identified(spark.createDataFrame(list(enumerate(near)), "doc_id long, text string"))
+    units.clear()
+    minhash._compared = counted
+    try:
+        got = {r.component for r in minhash.near_duplicates(docs, block_bytes=8000).collect()}
+    finally:
+        minhash._compared = full
+    assert got == {0} and units[-1] == (True, 0)
+
+
+def test_ids_that_are_no_integers(spark):
+    rows = [("b", "a b c d e f g"), ("a", "a b c d e f g"), ("c", "other words altogether here now")]
+    docs = C.identified(spark.createDataFrame(rows, "doc_id string, text string"))
+    got = {r.doc_id: r.kept for r in minhash.near_duplicates(docs).join(docs, "_uid").collect()}
+    assert got == {"a": True, "b": False, "c": True}
+
+
 def test_op7_on_documents(spark):
     rows = queries.QUERIES["op7_minhash_dedup"](spark, SF).collect()
     docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
@@ -196,8 +266,8 @@ def brute_hits(docs, items, width=13):
     return out
 
 
-@pytest.mark.parametrize("chunk_bytes", [8 << 20, 200])
-def test_phrases_equal_brute_force(spark, chunk_bytes):
+@pytest.mark.parametrize("windows", [100_000, 30])
+def test_phrases_equal_brute_force(spark, windows):
     rng = np.random.default_rng(6)
     vocab = ["the", "a", "of", "Ünder", "x1", "cat", "dog", "sun"]
     texts = [" ".join(rng.choice(vocab, int(n))) for n in rng.integers(0, 400, 50)] + [None, "", "...", "the"]
@@ -207,7 +277,7 @@ def test_phrases_equal_brute_force(spark, chunk_bytes):
     bench = spark.createDataFrame(items, "item_id string, text string")
     index = posindex.build_index(docs, block_bytes=2000)
     got = {r._uid: (sum(e - s for s, e in zip(r.starts, r.ends)), sorted(set(r["items"])))
-           for r in posindex.phrase_matches(index, bench, chunk_bytes=chunk_bytes).collect()}
+           for r in posindex.phrase_matches(index, bench, windows=windows).collect()}
     for uid, (_, n_hit, names, _) in brute_hits(list(enumerate(texts)), items).items():
         assert got.get(uid, (0, [])) == (n_hit, names)
 
@@ -283,6 +353,36 @@ def test_vectors_equal_brute_force(spark, block_rows):
 
 def test_copies_of_a_benchmark_item_are_collected_once(spark):
     items = spark.createDataFrame([("a", "one two three " * 20)] * 500 + [("b", "four"), (None, None)], "item_id string, text string")
-    chunks = posindex._chunked_items(items, "item_id", 1000)
+    chunks = posindex._chunked_items(items, "item_id", 13, 1000)
     assert len(chunks) == 1
     assert sorted(tuple(r) for c in chunks for r in c.collect()) == [("a", "one two three " * 20), ("b", "four"), ("null", "")]
+
+
+@pytest.mark.parametrize("width", [13, 64])
+def test_windows_of_a_very_long_item_fit_a_small_driver(spark, width):
+    import pickle
+    import tracemalloc
+
+    rng = np.random.default_rng(width)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 50_000, 1_300_000))  # 8 MB
+    bench = spark.createDataFrame([(1, text), (2, "short one")], "item_id long, text string")
+    chunks = posindex._chunked_items(bench, "item_id", width, posindex.CHUNK_WINDOWS if width == 13 else posindex.CHUNK_WINDOWS // 4)
+    index = posindex.build_index(C.identified(spark.createDataFrame([(1, text[:5000])], "doc_id long, text string")))
+    largest = max(chunks, key=lambda c: c.count())
+    tracemalloc.start()
+    w = posindex._ranked(index, largest, width)
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
+    assert len(pickle.dumps(w)) < 100e6 and len(w.terms) > 1000
+    # every window of the item is in some piece
+    words = text.split()
+    pieces = [r.text.split() for c in chunks for r in c.collect() if r.name == "1"]
+    assert len(pieces) > 3 and sum(len(p) - width + 1 for p in pieces) == len(words) - width + 1
+
+
+def test_a_passage_from_the_middle_of_a_cut_item_is_found(spark):
+    words = [f"v{i}" for i in range(500)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = C.identified(spark.createDataFrame([(k, "x " + " ".join(words[k:k + 13]) + " y") for k in range(0, 480)], "doc_id long, text string"))
+    found = posindex.phrase_matches(posindex.build_index(docs), bench, windows=40).collect()
+    assert {r._uid: (r.starts, r.ends) for r in found} == {k: ([1], [14]) for k in range(480)}

@@ -8,6 +8,7 @@ megabytes at a time and no Python code runs per character.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +44,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` plus ``_uid``, a unique long whose order is the document order.
 
-    Where ``id_col`` is unique and never null, ``_uid`` is the id itself.
+    Where ``id_col`` is an integer, unique and never null, ``_uid`` is the id itself.
     Otherwise the rows are ordered by (id, nulls last; text) and numbered in
     that order, and written once, so that a repeated row is a later document of
     its own.  The check reads only the id column.  A ``_uid`` that ``docs`` has already is
     replaced.
     """
-    per_id = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
-    clash = per_id.filter(F.col(id_col).isNull() | (F.col("n") > 1)).limit(1).count()
+    clash = dict(docs.dtypes)[id_col] not in ("tinyint", "smallint", "int", "bigint")
+    if not clash:
+        per_id = docs.groupBy(id_col).agg(F.count(F.lit(1)).alias("n"))
+        clash = per_id.filter(F.col(id_col).isNull() | (F.col("n") > 1)).limit(1).count() > 0
     if not clash:
         return docs.withColumn(UID, F.col(id_col).cast("long"))
     n = shuffle_partitions(docs.sparkSession)
@@ -152,6 +155,17 @@ class RollingHash:
         return mix((self.prefix[k:] - self.prefix[:m]) * type(self)._inv[:m])
 
 
+EXACT_WORD = 64  # bytes; a polynomial modulo 2**64 has systematic collisions between longer words
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words ``data[start:end]``; words above ``EXACT_WORD`` bytes by a cryptographic digest."""
+    h = RollingHash(data).ranges(start, end)
+    for i in np.flatnonzero(end - start > EXACT_WORD):
+        h[i] = int.from_bytes(blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
 LOWER_AZ = np.arange(256, dtype=np.uint8)
 LOWER_AZ[65:91] += 32
 

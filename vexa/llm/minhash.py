@@ -8,8 +8,9 @@
    ``matches`` of them is finished.  Of the rest, the rarest form its prefix:
    two signatures that agree on ``matches`` coordinates share one of them.
 3. Representatives joined through prefix postings form candidate clusters.  A
-   cluster is cut into blocks of bounded bytes and each pair of blocks
-   is one unit of work: the short (prefix) lists are merged into candidate pairs, the
+   cluster is cut into blocks of bounded bytes, which are contracted to the components of their own links level by level;
+   only rows that can still have a link to another component are compared across pairs of blocks (``verified_links``).  In a
+   unit of work the short (prefix) lists are merged into candidate pairs, the
    long lists are skipped and their coordinates are looked up for the candidates
    only; pairs with at least ``matches`` collisions are verified on the full
    shingle sets.  A unit returns a spanning forest of its verified links, not the links.
@@ -18,7 +19,8 @@
 ``matches`` follows from the similarity: a pair at the threshold agrees on fewer than that many
 of 48 coordinates with probability 2e-6 at most (28 at similarity 0.85, 24 at 0.80).
 
-Null, empty or blank texts have no shingles and link with nothing.  A text of
+Coordinates are 64-bit minima, so that documents without a common shingle share one by chance only about once in
+2**64 / n pairs.  Null, empty or blank texts have no shingles and link with nothing.  A very long text is held as a whole by its task.  A text of
 fewer words than a shingle is one shingle.  Repeated rows are copies; see
 ``common.identified`` for repeated or null ids.  Other columns are ignored.
 """
@@ -45,7 +47,7 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.nda
     low = C.LOWER_AZ[data]
     start, end, first = C.word_spans(WORD_BYTE[low], offs)
     n_words = np.diff(first)
-    h = C.RollingHash(low).ranges(start, end)
+    h = C.word_hashes(low, start, end)
     texts = np.arange(len(offs) - 1)
     owner = np.repeat(texts, n_words)
     full = first[1:][owner] - np.arange(len(h)) >= words  # a whole shingle starts here
@@ -81,17 +83,17 @@ def signatures(docs: DataFrame, words: int, coords: int) -> DataFrame:
             sets, at = shingle_sets(data, offs, words)
             n = np.diff(at)
             some = np.flatnonzero(n)
-            sig = np.zeros((len(n), coords), np.uint32)
+            sig = np.zeros((len(n), coords), np.uint64)
             s1, s2 = np.zeros(len(n), np.uint64), np.zeros(len(n), np.uint64)
             if len(some):
                 cut = at[some]
                 s1[some] = np.add.reduceat(C.mix(sets + np.uint64(11)), cut)
                 s2[some] = np.add.reduceat(C.mix(sets ^ np.uint64(0x5851F42D4C957F2D)), cut)
                 for c in range(coords):
-                    sig[some, c] = np.minimum.reduceat((sets * mult[c]) >> np.uint64(32), cut)
+                    sig[some, c] = np.minimum.reduceat(sets * mult[c], cut)
             yield pa.RecordBatch.from_arrays([
                 rows.column(0), pa.array(n, pa.int64()), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                C.binary_column(sig.view(np.uint8).ravel(), np.arange(len(n) + 1) * 4 * coords)],
+                C.binary_column(sig.view(np.uint8).ravel(), np.arange(len(n) + 1) * 8 * coords)],
                 ["_uid", "n", "s1", "s2", "sig"])
 
     return docs.select(C.UID, "text").mapInArrow(run, "_uid long, n long, s1 long, s2 long, sig binary")
@@ -103,8 +105,8 @@ def _postings(reps: DataFrame, coords: int) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            sig, _ = C.ragged(b.column(1), np.uint32)
-            key = C.mix(sig.astype(np.uint64) | (np.tile(np.arange(coords, dtype=np.uint64), b.num_rows) << np.uint64(32)))
+            sig, _ = C.ragged(b.column(1), np.uint64)
+            key = C.mix(sig ^ np.tile(C.mix(np.arange(1, coords + 1, dtype=np.uint64)), b.num_rows))
             uid = np.repeat(C.longs(b, "_uid"), coords)
             for i in range(0, len(key), 1 << 18):
                 yield pa.RecordBatch.from_arrays([pa.array(uid[i:i + (1 << 18)]), pa.array(key[i:i + (1 << 18)].view(np.int64))],
@@ -135,10 +137,10 @@ def clusters(prefix: DataFrame) -> DataFrame:
 
 def _local_links(t: pa.Table, matches: int, ratio: tuple[int, int], chunk: int = 4096) -> tuple[np.ndarray, np.ndarray]:
     """Spanning forest of the verified links of one pair of blocks."""
-    uid, block = C.longs(t, "_uid"), C.longs(t, "block")
+    uid, block, part = C.longs(t, "_uid"), C.longs(t, "block"), C.longs(t, "part")
     cross = bool(C.longs(t, "bi")[0] != C.longs(t, "bj")[0])
     order = np.lexsort((uid, block))
-    uid, block = uid[order], block[order]
+    uid, block, part = uid[order], block[order], part[order]
     t = t.take(pa.array(order))
     n = len(uid)
     # cross units compare the rows of one block with those of the other
@@ -147,7 +149,7 @@ def _local_links(t: pa.Table, matches: int, ratio: tuple[int, int], chunk: int =
     if n < 2 or not len(right):
         return uid[:0], uid[:0]
     keys, kat = C.ragged(t.column("keys").combine_chunks(), np.uint64)
-    sig = C.ragged(t.column("sig").combine_chunks(), np.uint32)[0].reshape(n, -1)
+    sig = C.ragged(t.column("sig").combine_chunks(), np.uint64)[0].reshape(n, -1)
     sets, sat = C.ragged(t.column("shingles").combine_chunks(), np.uint64)
     size = np.diff(sat)
     # merge the short lists: rows that share a prefix key are candidates
@@ -163,6 +165,7 @@ def _local_links(t: pa.Table, matches: int, ratio: tuple[int, int], chunk: int =
     if cross:
         cand[np.ix_(left, left)] = False
         cand[np.ix_(right, right)] = False
+    cand &= part[:, None] != part[None, :]  # connected already
     i, j = np.nonzero(np.triu(cand, 1))
     # skipped lists: look the other coordinates up for the candidates alone
     hits = np.zeros(len(i), np.int32)
@@ -203,9 +206,39 @@ def _local_links(t: pa.Table, matches: int, ratio: tuple[int, int], chunk: int =
     return uid[moved], uid[label[moved]]
 
 
-def verified_links(docs: DataFrame, reps: DataFrame, prefix: DataFrame, words: int, matches: int,
+def _compared(placed: DataFrame, part: DataFrame | None, size: str, block_bytes: int, matches: int, ratio: tuple[int, int],
+              crossing: bool) -> DataFrame:
+    """(a, b): a spanning forest of the links between rows of ``placed`` that share a cluster but no ``part`` (_uid, part; by default
+    each row is its own).  Rows are dealt to blocks of about ``block_bytes``; with ``crossing`` every pair of blocks is a
+    unit of work, else each block alone."""
+    spark = placed.sparkSession
+    rows = placed.join(part, "_uid") if part is not None else placed.withColumn("part", F.col("_uid"))
+    blocks = rows.groupBy("cluster").agg(F.ceil(F.sum(size) / F.lit(block_bytes)).cast("int").alias("blocks"))
+    dealt = rows.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("_uid"), F.col("blocks")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)) if crossing else F.col("block")
+    units = (dealt.withColumn("other", others)
+             .select("_uid", "part", "cluster", "block", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj"),
+                     "sig", "keys", "shingles"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in C.by_group(batches, ["cluster", "bi", "bj"]):
+            a, b = _local_links(t, matches, ratio)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    key = ["cluster", "bi", "bj"]
+    return C.save(units.repartition(C.shuffle_partitions(spark), *key).sortWithinPartitions(*key).mapInArrow(run, "a long, b long"), "links")
+
+
+def verified_links(docs: DataFrame, reps: DataFrame, prefix: DataFrame, words: int, coords: int, matches: int,
                    ratio: tuple[int, int], block_bytes: int) -> DataFrame:
-    """(a, b): links that connect the same representatives as all links do."""
+    """(a, b): links that connect the same representatives as all links do.
+
+    A cluster of one block is settled by one unit.  A larger one is contracted first: its blocks are settled each on its own,
+    then one row of every component found so far goes on to the next level, in blocks again, until they
+    fit one block or fall no further; a family of near copies thus shrinks by the size of a block at each level.  What is left are links between
+    different components.  A row can have one only if at least ``matches`` of all its coordinates also occur in another
+    component; these rows alone are compared across all pairs of blocks."""
     member = C.save(clusters(prefix), "clusters")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,13 +247,6 @@ def verified_links(docs: DataFrame, reps: DataFrame, prefix: DataFrame, words: i
             yield pa.RecordBatch.from_arrays([rows.column(0), C.binary_column(s.view(np.uint8), at * 8)],
                                              ["_uid", "shingles"])
 
-    wanted = docs.select(C.UID, "text").join(member.select("_uid"), "_uid", "left_semi")
-    shingled = wanted.mapInArrow(sets, "_uid long, shingles binary")
-    rows = (reps.select("_uid", "n", "sig").join(member, "_uid").join(prefix, "_uid")
-            .select("_uid", "n", "sig", "cluster", "keys"))
-    blocks = rows.groupBy("cluster").agg(
-        F.ceil(F.sum(F.col("n") * 8 + 512) / F.lit(block_bytes)).cast("int").alias("blocks"))
-
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = b.column(b.schema.get_field_index("keys"))
@@ -230,24 +256,45 @@ def verified_links(docs: DataFrame, reps: DataFrame, prefix: DataFrame, words: i
                     for n, c in zip(b.schema.names, b.columns)]
             yield pa.RecordBatch.from_arrays(cols, b.schema.names)
 
-    placed = (rows.join(blocks, "cluster")
-              .withColumn("block", F.pmod(F.xxhash64("_uid"), F.col("blocks")).cast("int"))
-              .select("_uid", "cluster", "block", "blocks", "sig", "keys")
-              .mapInArrow(pack, "_uid long, cluster long, block int, blocks int, sig binary, keys binary")
-              .join(shingled, "_uid"))
-    units = (placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("_uid", "cluster", "block", F.least("block", "other").alias("bi"),
-                     F.greatest("block", "other").alias("bj"), "sig", "keys", "shingles"))
+    wanted = docs.select(C.UID, "text").join(member.select("_uid"), "_uid", "left_semi")
+    shingled = wanted.mapInArrow(sets, "_uid long, shingles binary")
+    rows = (reps.select("_uid", "n", "sig").join(member, "_uid").join(prefix, "_uid")
+            .select("_uid", (F.col("n") * 8 + 1024).alias("size"), "cluster", "sig", "keys")
+            .mapInArrow(pack, "_uid long, size long, cluster long, sig binary, keys binary"))
+    placed = C.save(rows.join(shingled, "_uid"), "candidates")
+    links = _compared(placed, None, "size", block_bytes, matches, ratio, crossing=False)
+    wide = C.save(placed.groupBy("cluster").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+                  .filter(F.col("bytes") > block_bytes).select("cluster", "n"), "wide")
+    left = wide.agg(F.sum("n")).first()[0] or 0
+    if not left:
+        return links
+    open_rows = placed.join(wide.select("cluster"), "cluster", "left_semi")
+    while True:
+        part = C.save(_parts_of(open_rows, links), "parts")
+        heads = part.filter("_uid = part").select("_uid")
+        now = heads.count()
+        wider = open_rows.join(heads, "_uid", "left_semi").groupBy("cluster").agg(F.sum("size").alias("b")).filter(F.col("b") > block_bytes)
+        again = 2 * now <= left and now > 1
+        if again:
+            level = _compared(open_rows.join(heads, "_uid", "left_semi"), None, "size", block_bytes, matches, ratio, crossing=False)
+            links = C.save(links.unionByName(level), "links")
+        if not again or not wider.limit(1).count():
+            break
+        left = now
+    part = C.save(_parts_of(open_rows, links), "parts")
+    posted = _postings(open_rows, coords).join(open_rows.select("_uid", "cluster"), "_uid").join(part, "_uid")
+    mixed = (posted.groupBy("cluster", "key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+             .filter("low <> high").select("cluster", "key"))
+    enough = (posted.join(mixed, ["cluster", "key"]).groupBy("_uid").agg(F.count(F.lit(1)).alias("n"))
+              .filter(F.col("n") >= matches).select("_uid"))
+    last = C.save(open_rows.join(enough, "_uid", "left_semi"), "open")
+    return links.unionByName(_compared(last, part, "size", block_bytes, matches, ratio, crossing=True))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in C.by_group(batches, ["cluster", "bi", "bj"]):
-            a, b = _local_links(t, matches, ratio)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    key = ["cluster", "bi", "bj"]
-    return (units.repartition(C.shuffle_partitions(docs.sparkSession), *key).sortWithinPartitions(*key)
-            .mapInArrow(run, "a long, b long"))
+def _parts_of(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """(_uid, part): the component of each row so far, named by its smallest row."""
+    found = connected_components(links, "a", "b").select(F.col("node").alias("_uid"), "component")
+    return rows.select("_uid").join(found, "_uid", "left").select("_uid", F.coalesce("component", "_uid").alias("part"))
 
 
 def least_matches(coords: int, ratio: tuple[int, int], miss: float = 2e-6) -> int:
@@ -273,7 +320,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, ratio: tuple[int, int] = (8
                    .select("_uid", "n", F.coalesce("rep", "_uid").alias("rep")), "classes")
     reps = sigs.filter("n > 0").join(owner.filter("_uid = rep").select("_uid"), "_uid", "left_semi")
     prefix = C.save(prefixes(reps, coords, matches), "prefixes")
-    links = verified_links(docs, reps, prefix, words, matches, ratio, block_bytes)
+    links = verified_links(docs, reps, prefix, words, coords, matches, ratio, block_bytes)
     comp = connected_components(links, "a", "b").select(F.col("node").alias("rep"), "component")
     return (owner.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
             .select("_uid", F.col("n").alias("n_shingles"), "component",

@@ -6,7 +6,8 @@ delta-coded word positions.  A document lies in one block, so the lists of a phr
 can be intersected inside the block; no posting is ever shuffled and a
 frequent term is only a longer list in each block.
 
-``phrase_matches`` takes the test passages in bounded chunks.  The index gives the corpus
+``phrase_matches`` takes the test passages in chunks of at most ``CHUNK_WINDOWS`` windows or so, whatever their width; a longer item is
+cut into pieces that overlap by a window less a word, so that the pieces have the windows of the item.  The index gives the corpus
 frequency of each test term; in each block a window starts from the positions of its
 rarest term, shifted by the term's offset, and is intersected with the shifted lists of
 its next rarest terms until it is empty or all terms are found.  ``proximity_matches`` keeps
@@ -31,6 +32,9 @@ from vexa.llm import common as C
 WORD_BYTE = np.zeros(256, bool)
 WORD_BYTE[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
+CHUNK_WINDOWS = 100_000  # windows of test items held by the driver and broadcast at once
+WORD_GUESS = 2  # bytes of the shortest word with its blank: a text has no more words than its bytes by this
+
 INDEX_SCHEMA = ("uids binary, first binary, terms binary, counts binary, positions binary")
 HIT_SCHEMA = "_uid long, starts array<int>, ends array<int>, items array<string>"
 
@@ -39,7 +43,7 @@ def tokens(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(term hashes, first word of each text)."""
     low = C.LOWER_AZ[data]
     start, end, first = C.word_spans(WORD_BYTE[low], offs)
-    return C.RollingHash(low).ranges(start, end), first
+    return C.word_hashes(low, start, end), first
 
 
 def build_index(docs: DataFrame, block_bytes: int = 4 << 20) -> DataFrame:
@@ -87,19 +91,19 @@ class Windows:
             else:
                 rows.append(np.lib.stride_tricks.sliding_window_view(inv[a:b], width))
             owner += [at[name]] * len(rows[-1])
-        m = np.concatenate(rows) if rows else np.zeros((0, width), np.int64)
+        m = np.concatenate(rows).astype(np.int32) if rows else np.zeros((0, width), np.int32)
         self.terms, back = np.unique(m, axis=0, return_inverse=True) if len(m) else (m, np.zeros(0, np.int64))
         pairs = np.unique(np.stack([back.ravel(), np.asarray(owner, np.int64)], 1), axis=0) if len(m) \
             else np.zeros((0, 2), np.int64)
         self.items = pairs[:, 1]
         self.item_at = np.searchsorted(pairs[:, 0], np.arange(len(self.terms) + 1))
         self.length = (self.terms >= 0).sum(axis=1)
-        self.order = np.zeros_like(self.terms)
+        self.order = np.zeros(self.terms.shape, np.int16)
 
     def rank(self, freq: np.ndarray) -> None:
         """Order the terms of every window by corpus frequency, rarest first."""
         cost = np.where(self.terms >= 0, freq[self.terms], np.iinfo(np.int64).max) if len(self.terms) else self.terms
-        self.order = np.argsort(cost, axis=1, kind="stable")
+        self.order = np.argsort(cost, axis=1, kind="stable").astype(np.int16)
 
 
 class Block:
@@ -126,14 +130,15 @@ class Block:
         self.key = (np.repeat(np.arange(len(vocab), dtype=np.int64), self.df) << 32) | self.pos
 
     def has(self, term: np.ndarray, pos: np.ndarray) -> np.ndarray:
-        want = (term << 32) | pos
+        want = (term.astype(np.int64) << 32) | pos
         spot = np.searchsorted(self.key, want)
         return (spot < len(self.key)) & (self.key[np.minimum(spot, len(self.key) - 1)] == want)
 
     def near(self, term: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Whether the term has a posting in [low, high]."""
-        spot = np.searchsorted(self.key, (term << 32) | low)
-        return (spot < len(self.key)) & (self.key[np.minimum(spot, len(self.key) - 1)] <= ((term << 32) | high))
+        term = term.astype(np.int64) << 32
+        spot = np.searchsorted(self.key, term | low)
+        return (spot < len(self.key)) & (self.key[np.minimum(spot, len(self.key) - 1)] <= (term | high))
 
     def doc_of(self, pos: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.first, pos, side="right") - 1
@@ -197,13 +202,39 @@ def _merge(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start[at], top[np.append(at[1:], len(start)) - 1]
 
 
-def _chunked_items(items: DataFrame, id_col: str, chunk_bytes: int) -> list[DataFrame]:
+def _cut_items(named: DataFrame, width: int, words: int) -> DataFrame:
+    """Items of more than ``words`` words as pieces of that many, each beginning ``width`` - 1 words before the last one's end."""
+    schema = named.schema
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                raw = text.encode()
+                data = np.frombuffer(raw, np.uint8)
+                start, end, _ = C.word_spans(WORD_BYTE[C.LOWER_AZ[data]], np.array([0, len(data)]))
+                at = 0
+                while True:
+                    last = min(at + words, len(start))
+                    piece = raw[start[at]:end[last - 1]].decode("utf-8", "replace") if last > at else ""
+                    yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([piece], pa.string())], schema.names)
+                    if last == len(start):
+                        break
+                    at = last - (width - 1)
+
+    return named.mapInArrow(cut, schema)
+
+
+def _chunked_items(items: DataFrame, id_col: str, width: int, windows: int) -> list[DataFrame]:
     named = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("name"),
                          F.coalesce("text", F.lit("")).alias("text"))
-    named = C.save(named.distinct(), "items")  # copies of an item would all fall into one chunk
-    size = named.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
-    n = max(1, -(-size // chunk_bytes))
-    return [named.filter(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == i) for i in range(n)]
+    chunk_bytes = max(windows, 2 * width) * WORD_GUESS
+    long = F.octet_length("text") > chunk_bytes
+    pieces = named.filter(~long).unionByName(_cut_items(named.filter(long), width, max(windows, 2 * width)))
+    pieces = C.save(pieces.distinct(), "items")  # copies of an item would all fall into one chunk
+    size = pieces.agg(F.sum(F.octet_length("text") + F.octet_length("name"))).first()[0] or 0
+    # texts have about six bytes a word, so that a chunk holds some ``windows`` of them
+    n = max(1, -(-size // (6 * windows)))
+    return [pieces.filter(F.pmod(F.xxhash64("name", "text"), F.lit(n)) == i) for i in range(n)]
 
 
 def _ranked(index: DataFrame, chunk: DataFrame, width: int) -> Windows:
@@ -230,12 +261,12 @@ def _ranked(index: DataFrame, chunk: DataFrame, width: int) -> Windows:
 
 
 def phrase_matches(index: DataFrame, items: DataFrame, id_col: str = "item_id", width: int = 13,
-                   chunk_bytes: int = 8 << 20) -> DataFrame:
+                   windows: int = CHUNK_WINDOWS) -> DataFrame:
     """(_uid, starts, ends, items): per document with a match the merged word spans
     covered by occurrences of windows of ``width`` words of any item (an item of
     fewer words is one window), and the items concerned."""
     parts = []
-    for chunk in _chunked_items(items, id_col, chunk_bytes):
+    for chunk in _chunked_items(items, id_col, width, windows):
         shared = index.sparkSession.sparkContext.broadcast(_ranked(index, chunk, width))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -308,13 +339,13 @@ def _merge_chunks(hits: DataFrame) -> DataFrame:
 
 
 def proximity_matches(index: DataFrame, items: DataFrame, id_col: str = "item_id", slop: int = 8,
-                      chunk_bytes: int = 8 << 20) -> DataFrame:
+                      windows: int = CHUNK_WINDOWS // 4) -> DataFrame:
     """(_uid, item, position): occurrences of an item's rarest word, by word number
     in the document, with all its other words at most ``slop`` words away in the
     same document, in any order.  Items of more than 64 distinct words never
     match as a whole and are searched by their windows of 64 words."""
     out = None
-    for chunk in _chunked_items(items, id_col, chunk_bytes):
+    for chunk in _chunked_items(items, id_col, 64, windows):
         shared = index.sparkSession.sparkContext.broadcast(_ranked(index, chunk, 64))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
