@@ -135,7 +135,7 @@ def test_minhash_recall_for_bit_vectors(spark, sf):
 
 def test_probes_are_all_buckets_within_reach():
     rng = np.random.default_rng(1)
-    t = lsh.SignTables(None, None, None, reach=0.8)
+    t = lsh.SignTables(None, None, None, None, None, reach=0.8)
     y = rng.normal(size=(2, 7))
     got = set(t.probes(y))
     for k in range(2):

@@ -243,7 +243,7 @@ def _write(spark: SparkSession, df: DataFrame, vec_col: str, dim: int, centres:
 
 def _load_cells(spark: SparkSession, index: IvfIndex):
     rows = index.cells(spark).orderBy("cell").collect()  # at most MAX_CELLS
-    centres = np.array([r.centroid for r in rows], np.float64).reshape(len(rows), -1)
+    centres = np.array([r.centroid for r in rows], np.float64).reshape(len(rows), index.dim)
     inf = float("inf")
     return centres, np.array([inf if r.least is None else r.least for r in rows]), np.array([-inf if r.largest is None else r.largest for r in rows])
 
@@ -363,7 +363,8 @@ def search_settings(spark: SparkSession, index: IvfIndex, queries: DataFrame, np
     rows = rows.filter(any_mask).select(index.id_col, index.vec_col, "cell", *[m.alias(f"_f{i}") for i, m in enumerate(masks)])
     centres, _, _ = _load_cells(spark, index)
     found = None
-    for qpass in query_passes(queries.filter(F.col("qv").isNotNull()).select("qid", "qv"), "qid", index.dim):
+    passes = query_passes(queries.filter(F.col("qv").isNotNull()).select("qid", "qv"), "qid", index.dim) if index.nlist else []
+    for qpass in passes:
         qids, q = _pass_queries(qpass, index.dim)
         order = probe_order(q, centres, max(nprobes))
         lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}

@@ -4,8 +4,8 @@ Dense vectors.  Each of ``tables`` hash tables projects a vector on ``bits`` ort
 projection exceeds the sample's median, so that buckets are of like size whatever the data's scale.  A query probes,
 besides its own bucket, those that differ in bits whose projections lie near the median: bucket b costs the sum of the squared distances
 (in units of the projection's spread) of the query to the edges it would have to cross, and all buckets of cost up to ``reach`` are
-probed, cheapest first.  A row met in some table becomes a candidate (qid, row); its bits over all tables are then compared with the
-query's, and pairs that differ in more than ``differ`` bits are dropped.  Only what is left is scored exactly.
+probed, cheapest first.  A row met in some table becomes a candidate (qid, row); the signs of ``SKETCH_BITS`` further projections are then
+compared with the query's, and pairs that differ in more than ``differ`` of them are dropped.  Only what is left is scored exactly.
 
 ``reach`` and ``differ`` are learnt from the data: for a sample of rows the true neighbours are computed, and each bound is the
 smallest that keeps the share ``target`` of them.  Nothing is absolute, and no threshold on distances is applied.
@@ -34,6 +34,7 @@ from vexa.operators.ivf import Tops, _pass_queries, _rows_of, _sample, _steps, _
 from vexa.operators.knn import BLOCK_CELLS, _arrow_type, query_passes, top_k
 
 SAMPLE_QUERIES = 96
+SKETCH_BITS = 512
 
 
 @dataclass
@@ -43,6 +44,8 @@ class SignTables:
     planes: np.ndarray   # [table, dimension, bit]
     middle: np.ndarray   # [table, bit]
     spread: np.ndarray   # [table, bit]
+    sketch: np.ndarray   # [dimension, bit]
+    centre: np.ndarray   # of the vectors, from which the sketch looks
     reach: float = math.inf
     differ: int = 1 << 30
 
@@ -53,6 +56,10 @@ class SignTables:
     def keys(self, y: np.ndarray) -> np.ndarray:
         return (y > 0) @ (np.int64(1) << np.arange(y.shape[2], dtype=np.int64))
 
+    def words(self, x: np.ndarray) -> np.ndarray:
+        """[row, word]: the sketch of each row, packed into 64-bit words."""
+        return np.ascontiguousarray(np.packbits((x - self.centre) @ self.sketch > 0, axis=1, bitorder="little")).view(np.uint64)
+
     def probes(self, y: np.ndarray) -> Iterator[tuple[int, int]]:
         """(table, bucket) of every bucket within reach of one query [table, bit]."""
         for t, cost in enumerate(y * y):
@@ -71,13 +78,6 @@ class SignTables:
         return ((yq * yq) * ((yq > 0) != (yx > 0))).sum(axis=2).min(axis=1)
 
 
-def _words(bits: np.ndarray) -> np.ndarray:
-    """[row, word]: all bits of a row packed into 64-bit words."""
-    flat = bits.reshape(len(bits), -1)
-    flat = np.pad(flat, ((0, 0), (0, -flat.shape[1] % 64)))
-    return np.packbits(flat, axis=1, bitorder="little").view(np.uint64)
-
-
 def _differ(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=1)
 
@@ -101,7 +101,7 @@ def learn(df: DataFrame, id_col: str, vec_col: str, *, k: int = 10, target: floa
     rng = np.random.default_rng(seed)
     width = min(bits, dim)
     planes = np.stack([np.linalg.qr(rng.normal(size=(dim, dim if dim <= 512 else bits)))[0][:, :width] for _ in range(tables)])
-    made = SignTables(planes, np.zeros((tables, width)), np.ones((tables, width)))
+    made = SignTables(planes, np.zeros((tables, width)), np.ones((tables, width)), rng.normal(size=(dim, SKETCH_BITS)), sample.mean(axis=0))
     y = made.project(sample)
     made.middle, made.spread = np.median(y, axis=0), np.maximum(y.std(axis=0), 1e-300)
     q = good.orderBy(F.xxhash64(id_col, F.lit("learn")), id_col).limit(SAMPLE_QUERIES).select(F.col(id_col).alias("qid"), F.col(vec_col).alias("qv"))
@@ -111,9 +111,8 @@ def learn(df: DataFrame, id_col: str, vec_col: str, *, k: int = 10, target: floa
     if not pairs:
         return made
     at = {r.qid: r.qv for r in drawn}
-    yq = made.project(np.array([at[p.qid] for p in pairs], np.float64))
-    yx = made.project(np.array([p.xv for p in pairs], np.float64))
-    cost, apart = made.costs(yq, yx), _differ(_words(yq > 0), _words(yx > 0))
+    xq, xx = np.array([at[p.qid] for p in pairs], np.float64), np.array([p.xv for p in pairs], np.float64)
+    cost, apart = made.costs(made.project(xq), made.project(xx)), _differ(made.words(xq), made.words(xx))
     last = min(len(pairs) - 1, math.ceil(target * len(pairs)))
     made.reach, made.differ = float(np.sort(cost)[last]) * (1 + 1e-12), int(np.sort(apart)[last])
     return made
@@ -132,7 +131,7 @@ def search(df: DataFrame, queries: DataFrame, tables: SignTables | None, *, id_c
             qids, q = _pass_queries(qpass, dim)
             y = tables.project(q)
             lists = _lists((t, b, i) for i in range(len(q)) for t, b in tables.probes(y[i]))
-            shared = spark.sparkContext.broadcast((qids, q, _words(y > 0), lists, tables))
+            shared = spark.sparkContext.broadcast((qids, q, tables.words(q), lists, tables))
             part = rows.mapInArrow(_sign_scan(shared, id_col, vec_col, dim, k, _arrow_type(qid_type), _arrow_type(id_type), scored), out_type)
             found = part if found is None else found.unionByName(part)
     return _ranked(spark.createDataFrame([], out_type) if found is None else found, id_col, k)
@@ -183,7 +182,7 @@ def _sign_scan(shared, id_col: str, vec_col: str, dim: int, k: int, qid_type, id
                 x, ids = x_all[s], ids_all[s]
                 y = tables.project(x)
                 i, j = _met(tables.keys(y), lists, len(q))
-                near = _differ(words[i], _words(y > 0)[j]) <= tables.differ
+                near = _differ(words[i], tables.words(x)[j]) <= tables.differ
                 i, j = i[near], j[near]
                 if scored is not None:
                     scored.add(len(i))

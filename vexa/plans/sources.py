@@ -87,9 +87,11 @@ def _profile_sql():
     kinds = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
              "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string", "l_linestatus": "string",
              "l_shipdate": "timestamp_ntz"}
+    def value(agg, c, t):
+        return f"({agg}({c}) + 0e0)::VARCHAR" if t == "double" else f"{agg}({c})::VARCHAR"  # no negative zero
     return "\nUNION ALL\n".join(
         f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) AS num_rows, (count(*) - count({c}))::BIGINT AS num_nulls, "
-        f"min({c})::VARCHAR AS min_value, max({c})::VARCHAR AS max_value FROM lineitem" for c, t in kinds.items())
+        f"{value('min', c, t)} AS min_value, {value('max', c, t)} AS max_value FROM lineitem" for c, t in kinds.items())
 
 
 @register("parquet_profile", _profile_sql())
