@@ -9,10 +9,12 @@ approximation is acceptable.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vexa.session import scratch_path
+from vexa.operators.common import kept
 
 
 def list_length_stats(df: DataFrame, list_col: str, name: str | None = None) -> DataFrame:
@@ -26,8 +28,10 @@ def list_length_stats(df: DataFrame, list_col: str, name: str | None = None) ->
 BUCKETS = 1 << 16
 
 
-def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float, out: str = "p") -> DataFrame:
-    """Linear-interpolation percentile per group by distributed selection; null for a group without values.  NaN counts as
+def order_statistics(df: DataFrame, group_cols: list[str], value_col: str, ranks: Callable[[Column], list[Column]]) -> DataFrame:
+    """Values at given ranks (0-based, of the non-null values) per group, by distributed selection: (groups, _n, _v0, _v1, ...).
+
+    ``ranks`` gives the wanted ranks for a number of values.  A rank below 0 gives negative infinity, a group without values nulls; NaN counts as
     the largest value.
 
     Nothing is sorted.  A round counts, for each group, the values in ``BUCKETS`` ranges between the bounds found so far, with the least
@@ -41,34 +45,34 @@ def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: fl
         F.count("_v").alias("_n"), F.min(F.when(finite, F.col("_v"))).alias("_lo"), F.max(F.when(finite, F.col("_v"))).alias("_hi"),
         F.count(F.when(F.col("_v") == float("-inf"), 1)).alias("_low"), F.count(F.when(finite, 1)).alias("_mid"),
         F.count(F.when(F.col("_v") == float("inf"), 1)).alias("_high"))
-    pos = F.lit(float(p)) * (F.col("_n") - 1)
-    ends = stats.withColumn("_pos", pos).withColumn("_end", F.explode(F.array(F.lit(0), F.lit(1))))
-    rank = F.when(F.col("_end") == 0, F.floor("_pos")).otherwise(F.ceil("_pos")).cast("long")
-    ends = ends.withColumn("_rank", rank)
+    wanted = [r.cast("long") for r in ranks(F.col("_n"))]
+    ends = stats.select(*stats.columns, F.posexplode(F.array(*wanted)).alias("_end", "_rank"))
     inside = F.col("_rank") - F.col("_low")
     known = (F.when(F.col("_n") == 0, F.lit(None).cast("double")).when(inside < 0, F.lit(float("-inf")))
              .when(inside < F.col("_mid"), F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")))
              .when(inside < F.col("_mid") + F.col("_high"), F.lit(float("inf"))).otherwise(F.lit(float("nan"))))
-    state = _kept(ends.select(*keys, "_pos", "_end", inside.alias("_rank"), "_lo", "_hi", known.alias("_value"),
-                              (known.isNull() & (F.col("_n") > 0)).alias("_open")))
+    state = kept(ends.select(*keys, "_n", "_end", inside.alias("_rank"), "_lo", "_hi", known.alias("_value"),
+                             (known.isNull() & (F.col("_n") > 0)).alias("_open")), "ranks")
     done = state.filter(~F.col("_open"))
     state = state.filter("_open")
     while state.limit(1).count():
-        state = _kept(_narrowed(v, state, keys))
+        state = kept(_narrowed(v, state, keys), "ranks")
         done = done.unionByName(state.filter(~F.col("_open")))
         state = state.filter("_open")
-    low, high = F.max(F.when(F.col("_end") == 0, F.col("_value"))), F.max(F.when(F.col("_end") == 1, F.col("_value")))
-    both = done.groupBy(*keys).agg(F.max("_pos").alias("_pos"), low.alias("_a"), high.alias("_b"))
-    frac = F.col("_pos") - F.floor("_pos")
-    value = F.when((F.col("_a") == F.col("_b")) | (frac == 0), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * frac)
-    return both.select(*[F.col(k).alias(c) for k, c in zip(keys, group_cols)], value.alias(out))
+    values = [F.max(F.when(F.col("_end") == i, F.col("_value"))).alias(f"_v{i}") for i in range(len(wanted))]
+    out = done.groupBy(*keys).agg(F.max("_n").alias("_n"), *values)
+    return out.select(*[F.col(k).alias(c) for k, c in zip(keys, group_cols)], "_n", *[f"_v{i}" for i in range(len(wanted))])
+
 
+def exact_percentile(df: DataFrame, group_cols: list[str], value_col: str, p: float,
+                     out: str = "p") -> DataFrame:
+    """Linear-interpolation percentile per group (see ``order_statistics``); null for a group without values."""
+    def pos(n):
+        return F.lit(float(p)) * (n - 1)
 
-def _kept(df: DataFrame) -> DataFrame:
-    """A small table written once: two rows per group; its size on disk lets the planner broadcast it or not."""
-    path = scratch_path(df.sparkSession, "percentile")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    both = order_statistics(df, group_cols, value_col, lambda n: [F.floor(pos(n)), F.ceil(pos(n))])
+    a, b, frac = F.col("_v0"), F.col("_v1"), pos(F.col("_n")) - F.floor(pos(F.col("_n")))
+    return both.select(*group_cols, F.when((a == b) | (frac == 0), a).otherwise(a + (b - a) * frac).alias(out))
 
 
 def _narrowed(v: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
@@ -78,15 +82,15 @@ def _narrowed(v: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
     cond = within
     for c in same:
         cond = cond & c
-    j = v.alias("v").join(state.alias("s"), cond).select(*[f"s.{k}" for k in keys], "_pos", "_end", "_rank", "_lo", "_hi", "_v")
+    j = v.alias("v").join(state.alias("s"), cond).select(*[f"s.{k}" for k in keys], "_n", "_end", "_rank", "_lo", "_hi", "_v")
     share = F.try_divide(F.col("_v") * 0.5 - F.col("_lo") * 0.5, F.col("_hi") * 0.5 - F.col("_lo") * 0.5)
     bucket = (F.when(F.col("_v") == F.col("_lo"), 0).when(F.col("_v") == F.col("_hi"), BUCKETS - 1)
               .otherwise(F.least(F.floor(share * (BUCKETS - 2)), F.lit(BUCKETS - 2))).cast("int"))
-    group = [*keys, "_pos", "_end", "_rank"]
+    group = [*keys, "_n", "_end", "_rank"]
     counts = j.groupBy(*group, bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     upto = F.sum("_c").over(Window.partitionBy(*group).orderBy("_bucket"))  # at most BUCKETS rows
     hit = counts.withColumn("_upto", upto).filter((F.col("_rank") < F.col("_upto")) & (F.col("_rank") >= F.col("_upto") - F.col("_c")))
-    return hit.select(*keys, "_pos", "_end", (F.col("_rank") - F.col("_upto") + F.col("_c")).alias("_rank"), "_lo", "_hi",
+    return hit.select(*keys, "_n", "_end", (F.col("_rank") - F.col("_upto") + F.col("_c")).alias("_rank"), "_lo", "_hi",
                       F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).alias("_value"), (F.col("_lo") < F.col("_hi")).alias("_open"))
 
 

@@ -5,15 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Largest row count we broadcast without further thought (query-side sets).
+from vexa.session import scratch_path
+
+# What is broadcast without further thought: rows, and bytes as written.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 32 << 20
+
+
+def kept(df: DataFrame, name: str = "kept") -> DataFrame:
+    """``df`` evaluated once: written to the shared scratch folder and read back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; else leave the join to
-    the planner (sort-merge / shuffle-hash, with AQE re-planning)."""
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    """Broadcast ``df`` only when its size proves it small; else leave the join to
+    the planner (sort-merge / shuffle-hash, with AQE re-planning).
+
+    It is evaluated once, written, and measured by its rows and bytes on disk."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "side")
+    df.write.parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    return F.broadcast(back) if size <= BROADCAST_BYTES and back.count() <= max_rows else back
 
 
 def broadcast_query_side(df: DataFrame, max_rows: int = 200_000) -> DataFrame:

@@ -16,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vexa.operators.common import broadcast_if_small, rank_within
+from vexa.operators.aggregates import order_statistics
+from vexa.operators.common import broadcast_if_small, kept, rank_within
 from vexa.operators.ordering import global_row_number
 
 
@@ -29,11 +30,9 @@ def latest_per_key(df: DataFrame, keys: list[str], seq_col, *more_seq: str) -> D
 def upsert(base: DataFrame, changes: DataFrame, keys: list[str], seq_col: str | None = None) -> DataFrame:
     """Insert or fully replace rows by key; within ``changes`` the highest
     ``seq_col`` wins (no seq: all change keys must be distinct)."""
-    ch = latest_per_key(changes, keys, seq_col) if seq_col else changes
-    if seq_col:
-        ch = ch.drop(seq_col)
-    kept = base.join(broadcast_if_small(ch.select(*keys)), keys, "left_anti")
-    return kept.unionByName(ch.select(*base.columns))
+    ch = latest_per_key(changes, keys, seq_col).drop(seq_col) if seq_col else changes
+    ch = broadcast_if_small(ch.select(*base.columns))  # evaluated once, for the join and for the rows
+    return base.join(ch.select(*keys), keys, "left_anti").unionByName(ch)
 
 
 def upsert_log(log: DataFrame, keys: list[str], seq_col: str) -> DataFrame:
@@ -53,16 +52,30 @@ def delete_keys(base: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFra
 def sample_keys_per_segment(base: DataFrame, seg_col: str, key_col: str, percent: float) -> DataFrame:
     """``floor(percent/100 * segment rows)`` keys per segment, chosen by md5 of the key.
 
-    Repeatable (no random state) and skew-safe: rows are numbered in
-    (segment, md5) order through range partitions, never one window per
-    segment."""
+    Repeatable (no random state) and skew-safe: the md5 at which a segment's share ends is found by counting
+    (``aggregates.order_statistics`` on its first 52 bits); rows below it are taken, and only where more rows than needed share these bits
+    are they put in order."""
     h = base.select(seg_col, key_col, F.md5(F.col(key_col).cast("string")).alias("_h"))
-    n = global_row_number(h, [F.col(seg_col).asc(), F.col("_h").asc(), F.col(key_col).asc()], "_rn")
-    st = n.groupBy(seg_col).agg(F.min("_rn").alias("_start"), F.count(F.lit(1)).alias("_cnt"))
-    st = broadcast_if_small(st)
-    j = n.join(st, seg_col)
-    take = F.floor(F.col("_cnt") * F.lit(float(percent)) / F.lit(100.0))
-    return j.where(F.col("_rn") - F.col("_start") + 1 <= take).select(seg_col, key_col)
+    h = h.withColumn("_x", F.coalesce(F.conv(F.substring("_h", 1, 13), 16, 10).cast("double"), F.lit(-1.0)))  # a null key comes first
+
+    def take(n):
+        return F.floor(n * F.lit(float(percent)) / F.lit(100.0)).cast("long")
+
+    cuts = order_statistics(h, [seg_col], "_x", lambda n: [take(n) - 1]).select(
+        F.col(seg_col).alias("_seg"), take(F.col("_n")).alias("_take"), F.col("_v0").alias("_cut"))
+    j = h.join(broadcast_if_small(cuts), F.col(seg_col).eqNullSafe(F.col("_seg"))).filter(F.col("_x") <= F.col("_cut"))
+    at_cut = F.col("_x") == F.col("_cut")
+    n = j.groupBy("_seg").agg(F.max("_take").alias("_take"), F.count(F.when(~at_cut, 1)).alias("_below"), F.count(F.when(at_cut, 1)).alias("_same"))
+    tied = kept(n.filter(F.col("_below") + F.col("_same") > F.col("_take")).select(F.col("_seg").alias("_tied"), (F.col("_take") - F.col("_below")).alias("_need")))
+    if not tied.limit(1).count():
+        return j.select(seg_col, key_col)
+    marked = j.join(broadcast_if_small(tied), F.col("_seg").eqNullSafe(F.col("_tied")), "left")
+    sure = marked.filter(F.col("_need").isNull() | ~at_cut)
+    close = global_row_number(marked.filter(F.col("_need").isNotNull() & at_cut).select(seg_col, key_col, "_h", "_need"),
+                              [F.col(seg_col).asc(), F.col("_h").asc(), F.col(key_col).asc()], "_rn")
+    first = broadcast_if_small(close.groupBy(F.col(seg_col).alias("_first")).agg(F.min("_rn").alias("_start")))
+    close = close.join(first, F.col(seg_col).eqNullSafe(F.col("_first"))).filter(F.col("_rn") - F.col("_start") < F.col("_need"))
+    return sure.select(seg_col, key_col).unionByName(close.select(seg_col, key_col))
 
 
 def delete_in_batches(doomed: DataFrame, key_col: str, total: int, batch_size: int) -> DataFrame:

@@ -10,7 +10,7 @@ each document's contributions query by query, and returns its ``k`` best documen
 
 BM25: idf = ln(1 + (N - df + 0.5) / (df + 0.5)); with k1 = 1.2, b = 0.75 score = sum over distinct query terms of
 idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * dl / avgdl)) (Robertson & Zaragoza 2009).  Ranks go by scores rounded to 9 places, then by id:
-documents of equal terms tie whatever the order of the sum.
+documents of equal terms tie whatever the order of the sum.  A document without an id counts, but is never a hit.
 """
 
 from __future__ import annotations
@@ -126,7 +126,7 @@ def _search(docs: DataFrame, weighted: DataFrame, k: int, rule: tuple, places: i
         if not rows.num_rows:
             continue
         shared = spark.sparkContext.broadcast(_query_lists(rows))
-        hits = docs.select("doc_id", "dl", "terms", "counts").mapInArrow(_scan(shared, k, rule, places, _arrow_type(qid_type), _arrow_type(id_type)), out)
+        hits = docs.select("doc_id", "dl", "terms", "counts").filter("doc_id IS NOT NULL").mapInArrow(_scan(shared, k, rule, places, _arrow_type(qid_type), _arrow_type(id_type)), out)
         found = hits if found is None else found.unionByName(hits)
     return spark.createDataFrame([], out) if found is None else found
 

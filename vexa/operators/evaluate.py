@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vexa.operators.knn import top_k
+from vexa.operators.multiknn import Search, search_many
 
 
 def neighbors_list(hits: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
@@ -16,13 +16,10 @@ def neighbors_list(hits: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
 
 def ground_truth(base: DataFrame, queries: DataFrame, filters: dict[str, Column | None], *, k: int,
                  id_col: str, vec_col: str, metric: str = "L2") -> DataFrame:
-    out = None
-    for name, cond in filters.items():
-        b = base if cond is None else base.where(cond)
-        hits = top_k(b, queries, k=k, metric=metric, id_col=id_col, vec_col=vec_col)
-        lst = neighbors_list(hits, id_col, ["qid"]).withColumn("filter_name", F.lit(name))
-        out = lst if out is None else out.unionByName(lst)
-    return out
+    """Lists of true neighbours for every filter, from one scan of the base."""
+    searches = [Search(name, vec_col, metric, cond) for name, cond in filters.items()]
+    hits = search_many(base, queries, searches, k=k, id_col=id_col).withColumnRenamed("search", "filter_name")
+    return neighbors_list(hits, id_col, ["filter_name", "qid"])
 
 
 def recall_per_query(found: DataFrame, truth: DataFrame, id_col: str, k: int) -> DataFrame:

@@ -17,7 +17,7 @@ the triangle inequality with its centre and radii puts all its rows beyond the b
 in sub-space j it is at least |d_j - e_j| away, d_j being the distance from the query to the row's centroid and e_j the
 bound on the row's own distance to it.  What remains is scored exactly, so the result is that of the exact search.
 
-Rows whose vector is null, of another length than the index, or not a number are kept in cell -1 and never found.  Ties are
+Rows whose vector is null, of another length than the index, or not a number are kept in cell -1 and never found, nor are rows with a null id.  Ties are
 broken by id.  An empty table has an index without cells, and no hits.
 """
 
@@ -360,7 +360,7 @@ def search_settings(spark: SparkSession, index: IvfIndex, queries: DataFrame, np
     any_mask = masks[0]
     for m in masks[1:]:
         any_mask = any_mask | m
-    rows = rows.filter(any_mask).select(index.id_col, index.vec_col, "cell", *[m.alias(f"_f{i}") for i, m in enumerate(masks)])
+    rows = rows.filter(any_mask & F.col(index.id_col).isNotNull()).select(index.id_col, index.vec_col, "cell", *[m.alias(f"_f{i}") for i, m in enumerate(masks)])
     centres, _, _ = _load_cells(spark, index)
     found = None
     passes = query_passes(queries.filter(F.col("qv").isNotNull()).select("qid", "qv"), "qid", index.dim) if index.nlist else []
@@ -465,7 +465,7 @@ def exact_search(spark: SparkSession, index: IvfIndex, queries: DataFrame, *, k:
                 if len(near):
                     reach[c] = near
         shared = spark.sparkContext.broadcast((qids, q, bound, reach, centres, quantiser))
-        read = table.filter(F.col("cell").isin(list(reach))).select(index.id_col, index.vec_col, "cell", "_code", "_error")
+        read = table.filter(F.col("cell").isin(list(reach)) & F.col(index.id_col).isNotNull()).select(index.id_col, index.vec_col, "cell", "_code", "_error")
         part = read.mapInArrow(_code_scan(shared, index, k, _arrow_type(qid_type), _arrow_type(id_type), scored), out_type)
         found = part if found is None else found.unionByName(part)
     if found is None:

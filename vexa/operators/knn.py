@@ -215,7 +215,7 @@ def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2
     """Exact top-k of every query over ``base`` (already filtered by the caller).
 
     ``base`` needs ``id_col`` and ``vec_col`` (array<float|double>, or
-    array<long> packed bits for HAMMING / JACCARD).  Rows whose vector is
+    array<long> packed bits for HAMMING / JACCARD).  Rows whose id is null, or whose vector is
     null, of another length than the queries or not a number (NaN) are never
     hits; queries of different lengths in one search are an error.
 
@@ -254,7 +254,7 @@ def top_k(base: DataFrame, queries: DataFrame, *, k: int = 10, metric: str = "L2
         bq = sc.broadcast((qids, Q, probe))
         fn = _partition_topk(bq, k, metric, id_col, vec_col, _arrow_type(qid_dt), _arrow_type(id_dt), cell_col)
         cand = (base.select(*cols)
-                .where(F.size(F.col(vec_col)) == d)
+                .where((F.size(F.col(vec_col)) == d) & F.col(id_col).isNotNull())
                 .mapInArrow(fn, out_schema))
         parts.append(cand)
     if not parts:
@@ -297,8 +297,8 @@ def fetch_fields(hits: DataFrame, payloads: list[tuple[DataFrame, str, str]]) ->
     (broadcast after a count proves them small; the hit list is bounded by
     queries x k), so the wide table is scanned once and never shuffled whole.
     """
-    from vexa.operators.common import broadcast_if_small
-    out = hits
+    from vexa.operators.common import broadcast_if_small, kept
+    out = hits = kept(hits, "hits")  # the search runs once
     for payload, key, how in payloads:
         keys = broadcast_if_small(hits.select(key).distinct())
         small = payload.join(keys, key, "left_semi")

@@ -126,7 +126,7 @@ def search(df: DataFrame, queries: DataFrame, tables: SignTables | None, *, id_c
     found = None
     if tables is not None:
         dim = tables.planes.shape[1]
-        rows = df.select(id_col, vec_col).filter(_valid(df, vec_col, dim))
+        rows = df.select(id_col, vec_col).filter(_valid(df, vec_col, dim) & F.col(id_col).isNotNull())
         for qpass in query_passes(queries.filter(F.col("qv").isNotNull()).select("qid", "qv"), "qid", dim, max_queries_per_pass=512):
             qids, q = _pass_queries(qpass, dim)
             y = tables.project(q)
@@ -281,7 +281,7 @@ def minhash_search(df: DataFrame, queries: DataFrame, tables: MinHashTables | No
     found = None
     if tables is not None:
         width = tables.dim // 64
-        rows = df.select(id_col, vec_col).filter(F.size(vec_col) == width)
+        rows = df.select(id_col, vec_col).filter((F.size(vec_col) == width) & F.col(id_col).isNotNull())
         for qpass in query_passes(queries.filter(F.size("qv") == width).select("qid", "qv"), "qid", width, max_queries_per_pass=512):
             got = qpass.collect()  # bounded by query_passes
             q = np.array([r.qv for r in got], np.int64).view(np.uint64).reshape(len(got), width)

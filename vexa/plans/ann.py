@@ -14,7 +14,9 @@ from vexa.operators import ann as A
 from vexa.operators import evaluate as E
 from vexa.operators import ivf as IVF
 from vexa.operators import lsh as LSH
+from vexa.operators.common import kept
 from vexa.operators.knn import centroid_queries, local_queries, top_k
+from vexa.operators.multiknn import Search, search_many
 from vexa.plans import indexes as IX
 from vexa.plans import search as _search  # noqa: F401 - registers knn_l2, whose oracle is used below
 from vexa.plans import sql_snippets as S
@@ -122,9 +124,8 @@ SELECT n.qid, coalesce(h.hits, 0) AS hits, round(coalesce(h.hits, 0) / least({K}
 FROM n LEFT JOIN h ON h.qid = n.qid""")
 def recall_at_k(spark, sf):
     emb, q = _emb(spark, sf), _queries(spark, sf)
-    truth = top_k(emb, q, k=K, id_col="vec_id", vec_col="embedding")
-    found = top_k(emb.withColumn("embedding", F.slice("embedding", 1, 16)), q.withColumn("qv", F.slice("qv", 1, 16)),
-                  k=K, id_col="vec_id", vec_col="embedding")
+    hits = kept(search_many(emb, q, [Search("truth", "embedding"), Search("found", "embedding", dims=(0, 16))], k=K, id_col="vec_id"))
+    truth, found = (hits.where(F.col("search") == n) for n in ("truth", "found"))
     r = E.recall_per_query(found, truth, "vec_id", K)
     return r.withColumn("recall", F.round("recall", 4))
 

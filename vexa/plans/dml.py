@@ -4,9 +4,8 @@ documents, embeddings and events.  Every query returns the resulting table
 
 from __future__ import annotations
 
-import datetime as dt
+import itertools
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,9 +44,10 @@ def insert_parallel_batches(spark, sf):
     rows = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("pk"), "l_quantity")
     rows = rows.withColumn("batch", F.floor(F.col("pk") / 5000).cast("long"))
     path = scratch_path(spark, "parallel-insert")
-    rows.hint("rebalance", "batch").write.partitionBy("batch").parquet(path)
+    # one job; a task writes the batches of its key range, so files grow with the table, folders do not
+    rows.repartitionByRange("pk").sortWithinPartitions("pk").write.parquet(path)
     back = spark.read.parquet(path)
-    return back.groupBy(F.col("batch").cast("long").alias("batch")).agg(
+    return back.groupBy("batch").agg(
         F.count(F.lit(1)).alias("num_rows"), F.min("pk").alias("min_pk"), F.max("pk").alias("max_pk"))
 
 
@@ -58,14 +58,12 @@ SELECT row_number() OVER (ORDER BY o_orderkey) AS pk, o_orderkey,
 def insert_assign_ids(spark, sf):
     path = scratch_path(spark, "assign-ids")
     o = _orders(spark, sf).select("o_orderkey")
-    o.repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
+    o.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey").write.parquet(path)
     files = spark.read.parquet(path).select("o_orderkey", F.col("_metadata.file_path").alias("f"),
                                             F.col("_metadata.row_index").alias("ri"))
-    # one row per file: running offset in path order
-    counts = files.groupBy("f").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.orderBy("f").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select("f", F.coalesce(F.sum("c").over(w), F.lit(0)).alias("off"))
-    # offs has one row per file
+    counts = files.groupBy("f").agg(F.count(F.lit(1)).alias("c")).orderBy("f").collect()  # one row per file
+    upto = [0, *itertools.accumulate(r.c for r in counts)]
+    offs = spark.createDataFrame([(r.f, o) for r, o in zip(counts, upto)], "f string, off long")
     ids = files.join(broadcast_if_small(offs), "f").select((F.col("off") + F.col("ri") + 1).alias("pk"), "o_orderkey")
     return ids.withColumn("batch", batch_number(F.col("pk"), 500))
 

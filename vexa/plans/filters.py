@@ -76,6 +76,20 @@ def filter_json_path(spark, sf):
     return e.where(F.col("k") > 50).select("event_id", "k")
 
 
+@register("filter_json_nested", """
+SELECT event_id, event_type AS title, json_extract(props, '$.k')::DOUBLE / 10 AS rating, user_id AS first_tag FROM events
+WHERE event_type = 'click' AND json_extract(props, '$.k')::DOUBLE / 10 > 5""")
+def filter_json_nested(spark, sf):
+    """Paths of several levels and into lists, on documents {title, stats: {rating}, tags: [...]}."""
+    e = load(spark, sf, "events")
+    rating = P.json_path("props", "$.k", "double") / 10
+    doc = F.to_json(F.struct(F.col("event_type").alias("title"), F.struct(rating.alias("rating")).alias("stats"), F.array("user_id").alias("tags")))
+    docs = e.select("event_id", doc.alias("metadata"))
+    title, stars = P.json_path("metadata", "$.title", "string"), P.json_path("metadata", "$.stats.rating", "double")
+    return docs.where((title == "click") & (stars > 5)).select(
+        "event_id", title.alias("title"), stars.alias("rating"), P.json_path("metadata", "$.tags[0]", "bigint").alias("first_tag"))
+
+
 # Fixed lookup keys, including one that does not exist.
 LOOKUP_KEYS = (0, 50, 99, -1)
 

@@ -15,7 +15,9 @@ from vexa.operators import docscore as DS
 from vexa.operators.common import vector_dim
 from vexa.operators.export import KeysetExport, exported
 from vexa.operators.knn import centroid_queries, fetch_fields, local_queries, rounded, top_k
-from vexa.operators.sparse import drop_smallest
+from vexa.operators.multiknn import Search, search_many
+from vexa.operators.sparse import drop_smallest, from_map, sparse_ip_topk
+from vexa.plans import indexes as IX
 from vexa.plans import sql_snippets as S
 from vexa.plans.registry import load, register
 from vexa.session import scratch_path
@@ -140,15 +142,38 @@ named AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.l2('b.embedding', 'q.qv')} AS d F
 every AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.l2('b.embedding', 'q.qv')} AS d FROM embeddings b, q", K, 'ASC', 'vec_id')})
 SELECT 'named' AS scope, * FROM named UNION ALL SELECT 'all' AS scope, * FROM every""")
 def knn_partitions(spark, sf):
-    path = scratch_path(spark, "partitioned-embeddings")
-    write_partitioned(_emb(spark, sf), path, "label")
-    table = spark.read.parquet(path)
+    def build():
+        path = scratch_path(spark, "partitioned-embeddings")
+        write_partitioned(_emb(spark, sf), path, "label")
+        return path
+
+    table = spark.read.parquet(IX.shared(spark, sf, ["embeddings"], ("by-label",), build))
     q = _centroids(spark, sf)
     named = _knn(table.where(F.col("label").isin(1, 3)), q).withColumn("scope", F.lit("named"))
     every = _knn(table, q).withColumn("scope", F.lit("all"))
     return named.unionByName(every)
 
 
+# --- sparse vectors given as maps {index: weight} ------------------------------
+MAP_LEAST = 0.1  # weights up to this are not stored
+
+
+@register("sparse_map_topk", f"""
+WITH {S.CENTROIDS},
+b AS (SELECT vec_id, unnest(range(0, len(embedding))) AS i, unnest(embedding)::DOUBLE AS w FROM embeddings),
+qw AS (SELECT qid, unnest(range(0, len(qv))) AS i, unnest(qv) AS w FROM q),
+s AS (SELECT qid, vec_id, sum(b.w * qw.w) AS d FROM b JOIN qw USING (i) WHERE b.w > {MAP_LEAST} AND qw.w > 0 GROUP BY 1, 2)
+{S.topk('SELECT * FROM s', K, 'DESC', 'vec_id')}""")
+def sparse_map_topk(spark, sf):
+    def as_map(v, least):
+        pairs = F.transform(v, lambda x, i: F.struct(i.alias("i"), x.cast("double").alias("w")))
+        return F.map_from_entries(F.filter(pairs, lambda p: p["w"] > least))
+
+    base = from_map(_emb(spark, sf).select("vec_id", as_map(F.col("embedding"), MAP_LEAST).alias("m")), "vec_id", "m")
+    q = from_map(_centroids(spark, sf).select("qid", as_map(F.col("qv"), 0.0).alias("m")), "qid", "m")
+    return rounded(sparse_ip_topk(base, q, k=K, id_col="vec_id"))
+
+
 # --- O62 several vector fields of one row, each with its own metric ---------
 @register("knn_multi_field", f"""
 WITH {S.CENTROIDS},
@@ -156,12 +181,10 @@ f1 AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.l2('b.embedding', 'q.qv')} AS d FROM
 f2 AS ({S.topk(f"SELECT q.qid, b.vec_id, {S.ip('b.embedding[1:32]', 'q.qv[1:32]')} AS d FROM embeddings b, q", K, 'DESC', 'vec_id')})
 SELECT 'embedding' AS field, * FROM f1 UNION ALL SELECT 'head32' AS field, * FROM f2""")
 def knn_multi_field(spark, sf):
-    emb = _emb(spark, sf).withColumn("head32", F.slice("embedding", 1, 32))
-    q = _centroids(spark, sf)
-    q32 = q.withColumn("qv", F.slice("qv", 1, 32))
-    a = _knn(emb, q, "L2").withColumn("field", F.lit("embedding"))
-    b = _knn(emb, q32, "IP", vec_col="head32").withColumn("field", F.lit("head32"))
-    return a.unionByName(b)
+    emb = _emb(spark, sf)
+    found = search_many(emb, _centroids(spark, sf), [Search("embedding", "embedding"), Search("head32", "embedding", "IP", dims=(0, 32))],
+                        k=K, id_col="vec_id")
+    return rounded(found).withColumnRenamed("search", "field")
 
 
 # --- O63 late fetch of payload columns for the hits -------------------------
@@ -192,13 +215,8 @@ def _dims_sql():
 
 @register("vector_dims", _dims_sql())
 def vector_dims(spark, sf):
-    emb, q = _emb(spark, sf), _centroids(spark, sf)
-    out = None
-    for d in DIMS:
-        r = _knn(emb.withColumn("embedding", F.slice("embedding", 1, d)),
-                 q.withColumn("qv", F.slice("qv", 1, d))).withColumn("dim", F.lit(d))
-        out = r if out is None else out.unionByName(r)
-    return out
+    found = search_many(_emb(spark, sf), _centroids(spark, sf), [Search(str(d), "embedding", dims=(0, d)) for d in DIMS], k=K, id_col="vec_id")
+    return rounded(found).select("qid", "vec_id", "score", "rank", F.col("search").cast("int").alias("dim"))
 
 
 # --- the same at 1024 dimensions: each vector repeated with other scales
