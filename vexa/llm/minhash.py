@@ -99,20 +99,21 @@ def signatures(docs: DataFrame, words: int, coords: int) -> DataFrame:
     return docs.select(C.UID, "text").mapInArrow(run, "_uid long, n long, s1 long, s2 long, sig binary")
 
 
-def _postings(reps: DataFrame, coords: int) -> DataFrame:
-    """(_uid, key): one row per coordinate; the key names coordinate and value."""
+def _postings(reps: DataFrame, coords: int, carried: list[str] | None = None) -> DataFrame:
+    """(_uid, key) and the long columns ``carried``: one row per coordinate; the key names coordinate and value."""
+    names = ["_uid", *(carried or [])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            sig, _ = C.ragged(b.column(1), np.uint64)
-            key = C.mix(sig ^ np.tile(C.mix(np.arange(1, coords + 1, dtype=np.uint64)), b.num_rows))
-            uid = np.repeat(C.longs(b, "_uid"), coords)
+            sig, _ = C.ragged(b.column(len(names)), np.uint64)
+            key = C.mix(sig ^ np.tile(C.mix(np.arange(1, coords + 1, dtype=np.uint64)), b.num_rows)).view(np.int64)
+            cols = [np.repeat(C.longs(b, c), coords) for c in names] + [key]
             for i in range(0, len(key), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(uid[i:i + (1 << 18)]), pa.array(key[i:i + (1 << 18)].view(np.int64))],
-                                                 ["_uid", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[i:i + (1 << 18)]) for c in cols], [*names, "key"])
 
-    return reps.select("_uid", "sig").mapInArrow(run, "_uid long, key long")
+    return reps.select(*names, "sig").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "key"]))
 
 
 def prefixes(reps: DataFrame, coords: int, matches: int) -> DataFrame:
@@ -237,8 +238,8 @@ def verified_links(docs: DataFrame, reps: DataFrame, prefix: DataFrame, words: i
     A cluster of one block is settled by one unit.  A larger one is contracted first: its blocks are settled each on its own,
     then one row of every component found so far goes on to the next level, in blocks again, until they
     fit one block or fall no further; a family of near copies thus shrinks by the size of a block at each level.  What is left are links between
-    different components.  A row can have one only if at least ``matches`` of all its coordinates also occur in another
-    component; these rows alone are compared across all pairs of blocks."""
+    different components.  A row can have one only if one of its prefix keys, and at least ``matches`` of all its coordinates, also occur in
+    another component; these rows alone are compared across all pairs of blocks."""
     member = C.save(clusters(prefix), "clusters")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,14 +282,23 @@ def verified_links(docs: DataFrame, reps: DataFrame, prefix: DataFrame, words: i
         if not again or not wider.limit(1).count():
             break
         left = now
-    part = C.save(_parts_of(open_rows, links), "parts")
-    posted = _postings(open_rows, coords).join(open_rows.select("_uid", "cluster"), "_uid").join(part, "_uid")
+    part = C.save(_parts_of(open_rows, links).join(member, "_uid"), "parts")
+    several = part.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("cluster")
+    part = C.save(part.join(several, "cluster", "left_semi"), "parts")
+    # a link to another component needs a prefix key that occurs there, and enough of all keys
+    near = _held_elsewhere(prefix.join(part, "_uid").select("_uid", "cluster", "part", F.explode("keys").alias("key")), 1)
+    near = C.save(part.join(near, "_uid", "left_semi").join(reps.select("_uid", "sig"), "_uid"), "near")
+    enough = _held_elsewhere(_postings(near, coords, ["cluster", "part"]), matches)
+    last = C.save(open_rows.join(enough, "_uid", "left_semi"), "open")
+    return links.unionByName(_compared(last, part.select("_uid", "part"), "size", block_bytes, matches, ratio, crossing=True))
+
+
+def _held_elsewhere(posted: DataFrame, least: int) -> DataFrame:
+    """(_uid) of the rows of (_uid, cluster, part, key) with at least ``least`` keys that another part of the cluster holds too."""
     mixed = (posted.groupBy("cluster", "key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
              .filter("low <> high").select("cluster", "key"))
-    enough = (posted.join(mixed, ["cluster", "key"]).groupBy("_uid").agg(F.count(F.lit(1)).alias("n"))
-              .filter(F.col("n") >= matches).select("_uid"))
-    last = C.save(open_rows.join(enough, "_uid", "left_semi"), "open")
-    return links.unionByName(_compared(last, part, "size", block_bytes, matches, ratio, crossing=True))
+    return (posted.join(mixed, ["cluster", "key"], "left_semi").groupBy("_uid").agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") >= least).select("_uid"))
 
 
 def _parts_of(rows: DataFrame, links: DataFrame) -> DataFrame:
