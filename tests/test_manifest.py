@@ -3,7 +3,6 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tests.conftest import SF
 from vexa.session import scratch_path
 from vexa.sources import footers as FT
 from vexa.sources import io as IO

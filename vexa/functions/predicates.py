@@ -27,11 +27,3 @@ def epoch_seconds(ts) -> Column:
 def half_open(col, lo, hi) -> Column:
     c = _c(col)
     return (c >= lo) & (c < hi)
-
-
-def where_expr(df, expr: str | Column | None):
-    """Apply a filter; ``""``/``None`` means no filter.  A null predicate rejects the row."""
-    if expr is None or (isinstance(expr, str) and not expr.strip()):
-        return df
-    cond = F.expr(expr) if isinstance(expr, str) else expr
-    return df.where(F.coalesce(cond, F.lit(False)))

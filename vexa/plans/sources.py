@@ -17,7 +17,6 @@ from vexa.sources import footers as FT
 from vexa.sources import io as IO
 from vexa.sources import manifest as MF
 from vexa.sources import schema as SC
-from vexa.sources.tables import write_partitioned
 
 
 @register("scan_parquet_dir", """

@@ -1,9 +1,8 @@
-"""Partitioned tables, table creation and partition management."""
+"""Partitioned tables."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 
 def write_partitioned(df: DataFrame, path: str, col: str, mode: str = "overwrite",
@@ -16,13 +15,3 @@ def write_partitioned(df: DataFrame, path: str, col: str, mode: str = "overwrite
     (df.hint("rebalance", col).write.mode(mode)
        .option("maxRecordsPerFile", max_records_per_file)
        .partitionBy(col).parquet(path))
-
-
-def insert_into_partition(df: DataFrame, path: str, col: str, value) -> None:
-    """Append rows to one named partition."""
-    write_partitioned(df.withColumn(col, F.lit(value)), path, col, mode="append")
-
-
-def list_partitions(spark: SparkSession, path: str, col: str) -> DataFrame:
-    """Remaining partitions and their row counts."""
-    return spark.read.parquet(path).groupBy(col).agg(F.count(F.lit(1)).alias("num_rows"))
