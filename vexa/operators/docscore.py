@@ -34,6 +34,7 @@ from vexa.session import scratch_path
 
 PASS_TERMS = 200_000   # (query, term) pairs broadcast at once
 CELLS = 1 << 21        # scores, and contributions, held at once
+ENTRIES = 1 << 18      # tokens, or terms of documents, worked on at once by a task
 
 
 @dataclass(frozen=True)
@@ -51,6 +52,20 @@ class DocIndex:
         return spark.read.schema("term string, df long").parquet(f"{self.path}/terms")
 
 
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _entry_runs(lists: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows whose lists have ``ENTRIES`` entries together at most; a longer list is a run of its own."""
+    upto = np.concatenate([[0], np.cumsum(_lengths(lists))])
+    lo = 0
+    while lo < len(lists):
+        hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + ENTRIES, side="right")) - 1)
+        yield lo, min(hi, len(lists))
+        lo = hi
+
+
 def term_vectors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, dl, terms, counts): the distinct terms of each text, in order of first use by its task."""
     tok = docs.select(id_col, tokenize(text_col).alias("tokens"))
@@ -59,20 +74,24 @@ def term_vectors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tokens = b.column(1)
-            lens = tokens.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            coded = tokens.flatten().dictionary_encode()
-            # by document and term, in the terms' own order, so that equal texts give equal rows
-            rank = np.empty(len(coded.dictionary), np.int64)
-            rank[pc.sort_indices(coded.dictionary).to_numpy()] = np.arange(len(coded.dictionary))
-            pair = np.repeat(np.arange(b.num_rows), lens) * max(len(rank), 1) + rank[coded.indices.to_numpy(zero_copy_only=False)]
-            found, n = np.unique(pair, return_counts=True)
-            doc, term = found // max(len(rank), 1), found % max(len(rank), 1)
-            offs = pa.array(np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32))
-            names = coded.dictionary.take(pc.sort_indices(coded.dictionary)).take(pa.array(term)).cast(pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(lens), pa.ListArray.from_arrays(offs, names), pa.ListArray.from_arrays(offs, pa.array(n.astype(np.int32)))],
-                [id_col, "dl", "terms", "counts"])
+            for lo, hi in _entry_runs(b.column(1)):
+                yield counted(b.slice(lo, hi - lo))
+
+    def counted(b: pa.RecordBatch) -> pa.RecordBatch:
+        tokens = b.column(1)
+        lens = _lengths(tokens)
+        coded = tokens.flatten().dictionary_encode()
+        # by document and term, in the terms' own order, so that equal texts give equal rows
+        rank = np.empty(len(coded.dictionary), np.int64)
+        rank[pc.sort_indices(coded.dictionary).to_numpy()] = np.arange(len(coded.dictionary))
+        pair = np.repeat(np.arange(b.num_rows), lens) * max(len(rank), 1) + rank[coded.indices.to_numpy(zero_copy_only=False)]
+        found, n = np.unique(pair, return_counts=True)
+        doc, term = found // max(len(rank), 1), found % max(len(rank), 1)
+        offs = pa.array(np.searchsorted(doc, np.arange(b.num_rows + 1)).astype(np.int32))
+        names = coded.dictionary.take(pc.sort_indices(coded.dictionary)).take(pa.array(term)).cast(pa.string())
+        return pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array(lens), pa.ListArray.from_arrays(offs, names), pa.ListArray.from_arrays(offs, pa.array(n.astype(np.int32)))],
+            [id_col, "dl", "terms", "counts"])
 
     return tok.mapInArrow(count, out)
 
@@ -146,34 +165,35 @@ def _scan(shared, k: int, rule: tuple, places: int | None, qid_type, id_type):
         qids, terms, first, who, weight = shared.value
         tops = Tops(1, len(qids), k)
         everyone = np.arange(len(qids))
-        for b in batches:
-            lens = b.column(2).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            at = pc.index_in(b.column(2).flatten(), value_set=terms).fill_null(-1).to_numpy(zero_copy_only=False)
-            tf = b.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            doc = np.repeat(np.arange(b.num_rows), lens)
-            known = at >= 0
-            at, tf, doc = at[known], tf[known], doc[known]
-            if rule[0] == "bm25":
-                _, k1, bb, avgdl = rule
-                dl = b.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
-                part = (tf * (k1 + 1.0)) / (tf + k1 * ((1.0 - bb) + bb * dl[doc] / avgdl))
-            else:
-                part = tf
-            n = first[at + 1] - first[at]
-            ids = b.column(0).to_numpy(zero_copy_only=False)
-            for lo, hi in _doc_runs(doc, n, b.num_rows, len(qids)):
-                s = slice(*np.searchsorted(doc, [lo, hi]))
-                if s.stop == s.start:
-                    continue
-                c = n[s]
-                pos = np.repeat(first[at[s]] - (np.cumsum(c) - c), c) + np.arange(c.sum())
-                cell = who[pos] * (hi - lo) + np.repeat(doc[s] - lo, c)
-                value = np.repeat(part[s], c) * weight[pos]
-                score = np.bincount(cell, weights=value, minlength=len(qids) * (hi - lo)).reshape(len(qids), -1)
-                met = np.zeros(score.size, bool)
-                met[cell] = True
-                keys = np.where(met.reshape(score.shape), -(score if places is None else np.round(score, places)), np.inf)
-                tops.add(0, everyone, keys, ids[lo:hi], score)
+        for batch in batches:
+            for b in (batch.slice(lo, hi - lo) for lo, hi in _entry_runs(batch.column(2))):
+                lens = _lengths(b.column(2))
+                at = pc.index_in(b.column(2).flatten(), value_set=terms).fill_null(-1).to_numpy(zero_copy_only=False)
+                tf = b.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+                doc = np.repeat(np.arange(b.num_rows), lens)
+                known = at >= 0
+                at, tf, doc = at[known], tf[known], doc[known]
+                if rule[0] == "bm25":
+                    _, k1, bb, avgdl = rule
+                    dl = b.column(1).to_numpy(zero_copy_only=False).astype(np.float64)
+                    part = (tf * (k1 + 1.0)) / (tf + k1 * ((1.0 - bb) + bb * dl[doc] / avgdl))
+                else:
+                    part = tf
+                n = first[at + 1] - first[at]
+                ids = b.column(0).to_numpy(zero_copy_only=False)
+                for lo, hi in _doc_runs(doc, n, b.num_rows, len(qids)):
+                    s = slice(*np.searchsorted(doc, [lo, hi]))
+                    if s.stop == s.start:
+                        continue
+                    c = n[s]
+                    pos = np.repeat(first[at[s]] - (np.cumsum(c) - c), c) + np.arange(c.sum())
+                    cell = who[pos] * (hi - lo) + np.repeat(doc[s] - lo, c)
+                    value = np.repeat(part[s], c) * weight[pos]
+                    score = np.bincount(cell, weights=value, minlength=len(qids) * (hi - lo)).reshape(len(qids), -1)
+                    met = np.zeros(score.size, bool)
+                    met[cell] = True
+                    keys = np.where(met.reshape(score.shape), -(score if places is None else np.round(score, places)), np.inf)
+                    tops.add(0, everyone, keys, ids[lo:hi], score)
         _, q, _, ids = tops.rows()
         yield pa.RecordBatch.from_arrays([pa.array([qids[i] for i in q], qid_type), pa.array(ids, id_type), pa.array(tops.payload())],
                                          ["qid", "doc_id", "score"])
