@@ -1,9 +1,11 @@
 import math
 from collections import Counter
 
+import pyarrow as pa
 import regex
 
 from vexa.functions.text import text_match
+from vexa.operators import docscore as DS
 from vexa.operators import hybrid as H
 from vexa.operators.sparse import from_map, sparse_ip_topk
 from vexa.operators.text import bm25_topk, build_index, query_terms
@@ -75,3 +77,38 @@ def test_bm25_pruned_equals_exhaustive(spark):
     assert len(full) > 0
     assert [(a[0], a[1], a[3]) for a in full] == [(b[0], b[1], b[3]) for b in pruned]
     assert all(math.isclose(a[2], b[2], rel_tol=1e-12) for a, b in zip(full, pruned))
+
+
+def test_term_vectors_work_on_bounded_runs(spark, monkeypatch):
+    """Rows of any length, cut into runs of few tokens, give the vectors and hits of one run."""
+    docs = [(i, " ".join(f"w{(i * j) % 17}" for j in range(i % 23))) for i in range(1, 200)] + [(500, None), (501, ""), (502, "w3 " * 400)]
+    lists = pa.array([["a"] * n for n in (0, 3, 9, 0, 2, 2, 1)])
+    monkeypatch.setattr(DS, "ENTRIES", 4)
+    assert list(DS._entry_runs(lists)) == [(0, 2), (2, 3), (3, 6), (6, 7)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").coalesce(2)
+    q = spark.createDataFrame([(1, "w3 w5 w11"), (2, "w1")], "qid long, text string")
+
+    def run(entries):
+        monkeypatch.setattr(DS, "ENTRIES", entries)  # travels with the module's functions in local mode
+        vectors = {r.doc_id: (r.dl, r.terms, r.counts) for r in DS.term_vectors(d, "doc_id", "text").collect()}
+        idx = DS.build(spark, d)
+        return vectors, sorted(tuple(r) for r in DS.bm25(spark, idx, DS.query_vectors(q, "qid", "text"), 7).collect())
+
+    assert run(4) == run(1 << 30)
+
+
+def test_postings_are_counted_where_the_text_is_read(spark):
+    """One shuffle of postings; repeated and null ids add up as far as their lengths are equal."""
+    docs = [(1, "a b a"), (1, "a c c"), (1, "a"), (None, "b b"), (None, "b x"), (2, None), (3, "!"), (4, "B a")]
+    idx = build_index(spark, spark.createDataFrame(docs, "doc_id long, text string"))
+    got = sorted(((r.term, r.doc_id, r.dl, r.tf) for r in idx.postings.collect()), key=str)
+    want = Counter()
+    for i, t in docs:
+        words = regex.findall(r"[\p{L}\p{N}]+", (t or "").lower())
+        for w in words:
+            want[w, i, len(words)] += 1
+    assert got == sorted(((*k, n) for k, n in want.items()), key=str)
+    assert idx.n_docs == len(docs) and idx.avgdl == sum(want.values()) / len(docs)
+    assert {r.term: r.df for r in idx.terms.collect()} == Counter(k[0] for k in want)
+    counts = spark.read.parquet(idx.postings.inputFiles()[0].split("/postings/")[0] + "/counts")
+    assert counts.count() == len(docs)

@@ -3,8 +3,8 @@
 Index build (one job, persisted to the shared scratch folder and re-read,
 which also cuts lineage):
 
-* postings  ``(term, doc_id, dl, tf)`` -- explode + count per (doc, term),
-                                          the document length carried along;
+* postings  ``(term, doc_id, dl, tf)`` -- counted per document where its text
+                                          is read, the document length carried along;
 * term table ``(term, df)``            -- count per term, map-side partial agg,
                                           so a term in every document costs one
                                           partial row per task;
@@ -51,18 +51,26 @@ class TextIndex:
 def build_index(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 path: str | None = None) -> TextIndex:
     """One tokenization pass; the document length rides on each posting, so
-    a query never joins a per-document table."""
+    a query never joins a per-document table.
+
+    A document's terms are counted where its text is read and written once; both passes of the range partitioning read
+    those counts, and the postings are shuffled once.  Only where an id repeats are its postings of equal length added up."""
+    from vexa.operators.docscore import term_vectors
     path = path or scratch_path(spark, "text-index")
-    tok = docs.select(F.col(id_col).alias("doc_id"), tokenize(text_col).alias("tokens"))
-    postings = (tok.select("doc_id", F.size("tokens").cast("long").alias("dl"), explode_tokens("tokens").alias("term"))
-                .where(F.col("term").isNotNull())
-                .groupBy("term", "doc_id", "dl").agg(F.count(F.lit(1)).alias("tf")))
+    term_vectors(docs, id_col, text_col).withColumnRenamed(id_col, "doc_id").write.parquet(f"{path}/counts")
+    counted = spark.read.parquet(f"{path}/counts")
+    repeated = counted.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count() > 0
+    # explode_outer: see ``explode_tokens``
+    postings = (counted.select("doc_id", "dl", F.explode_outer(F.arrays_zip("terms", "counts")).alias("t")).filter("t IS NOT NULL")
+                .select(F.col("t.terms").alias("term"), "doc_id", "dl", F.col("t.counts").cast("long").alias("tf")))
     n_part = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (postings.repartitionByRange(n_part, "term", "doc_id").sortWithinPartitions("term", "doc_id")
-     .write.parquet(f"{path}/postings"))
+    postings = postings.repartitionByRange(n_part, "term", "doc_id")
+    if repeated:
+        postings = postings.groupBy("term", "doc_id", "dl").agg(F.sum("tf").alias("tf"))
+    postings.sortWithinPartitions("term", "doc_id").write.parquet(f"{path}/postings")
     p = spark.read.parquet(f"{path}/postings")
-    n_docs = docs.count()  # every document, also those without tokens
-    total = p.agg(F.sum("tf")).first()[0] or 0
+    n_docs, total = counted.agg(F.count(F.lit(1)), F.sum("dl")).first()  # every document, also those without tokens
+    total = total or 0
     avgdl = float(total) / n_docs if n_docs else 0.0
     # df and the largest per-posting contribution (idf aside) of every term:
     # the upper bounds used by pruned queries
