@@ -153,3 +153,23 @@ def test_sign_bits_of_any_dimension(spark):
     for i, v in enumerate(vecs):
         bits = sum(1 << j for j, x in enumerate(v or []) if x is not None and (x > 0 or x != x))
         assert [w & (2 ** 64 - 1) for w in got[i]] == [bits & (2 ** 64 - 1), bits >> 64]
+
+
+def test_cells_beyond_mllib_equal_kmeans_in_memory(spark, monkeypatch):
+    """No round of the k-means sends more to the driver than one number for each row of the sample."""
+    def mllib(*a, **b):
+        raise AssertionError("MLlib sends the distances of all pairs of centres to the driver")
+
+    monkeypatch.setattr("pyspark.ml.clustering.KMeans", mllib)
+    monkeypatch.setattr(ivf, "BLOCK_CELLS", 40_000)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1500, 8))
+    got = ivf._coarse(spark, x, 300, 42)
+    assert got.shape == (300, 8) and np.allclose(got, ivf._lloyd(x, 300, 42))
+
+
+def test_recall_with_cells_beyond_mllib(spark, monkeypatch):
+    monkeypatch.setattr(ivf, "MLLIB_CELLS", 8)
+    emb, q, truth = twentieths(spark, "/root/testdata/sf0.01")
+    idx = ivf.build(spark, emb, "vec_id", "embedding")
+    assert idx.nlist > 8 and recall(ivf.search(spark, idx, q), truth) >= 0.9

@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 
 import numpy as np
@@ -42,6 +42,7 @@ SAMPLE_ROWS = 16_384     # rows that train the quantisers
 SAMPLE_BYTES = 64 << 20
 CALIBRATION_QUERIES = 128
 MAX_CELLS = 1 << 14
+MLLIB_CELLS = 256        # MLlib's k-means sends the distances between all pairs of centres to the driver in every round
 
 
 @dataclass(frozen=True)
@@ -88,15 +89,15 @@ class Quantiser:
         return np.where(errors == 255, np.inf, errors * self.step)
 
 
-def _lloyd(x: np.ndarray, k: int, seed: int, rounds: int = 20) -> np.ndarray:
-    """k-means in memory, for the few columns of one sub-space or a bounded sample."""
+def _lloyd(x: np.ndarray, k: int, seed: int, rounds: int = 20, nearest: Callable[[np.ndarray], np.ndarray] | None = None) -> np.ndarray:
+    """k-means in memory, for the few columns of one sub-space or a bounded sample; ``nearest`` finds the centre nearest to each row."""
     rng = np.random.default_rng(seed)
     distinct = np.unique(x, axis=0)
     if len(distinct) <= k:
         return distinct
     centres = distinct[rng.choice(len(distinct), k, replace=False)]
     for _ in range(rounds):
-        near = ((centres * centres).sum(axis=1)[None, :] - 2.0 * x @ centres.T).argmin(axis=1)
+        near = _nearest(x, centres) if nearest is None else nearest(centres)
         n = np.bincount(near, minlength=k)
         total = np.zeros_like(centres)
         np.add.at(total, near, x)
@@ -166,18 +167,42 @@ def open_index(spark: SparkSession, path: str) -> IvfIndex:
 
 
 def _coarse(spark: SparkSession, sample: np.ndarray, nlist: int, seed: int) -> np.ndarray:
-    """Cell centres: MLlib k-means over the sample, spread over tasks."""
+    """Cell centres: k-means over the sample, spread over tasks; by MLlib up to ``MLLIB_CELLS``."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.functions import array_to_vector
     if not nlist:
         return np.zeros((0, sample.shape[1]))
     if len(np.unique(sample, axis=0)) <= nlist:
         return np.unique(sample, axis=0)
+    if nlist > MLLIB_CELLS:
+        return _lloyd(sample, nlist, seed, nearest=_nearest_by_tasks(spark, sample))
     table = pa.table({"v": pa.FixedSizeListArray.from_arrays(pa.array(sample.ravel()), sample.shape[1]).cast(pa.list_(pa.float64()))})
     feats = spark.createDataFrame(table).select(array_to_vector("v").alias("features"))
     return np.array(KMeans(k=nlist, seed=seed, maxIter=20).fit(feats).clusterCenters())
 
 
+def _nearest_by_tasks(spark: SparkSession, x: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    """``_nearest`` for a sample that the driver holds: tasks send one number for each row back, whatever the number of centres."""
+    shared = spark.sparkContext.broadcast(x)
+
+    def nearest(centres: np.ndarray) -> np.ndarray:
+        given = spark.sparkContext.broadcast(centres)
+        step = max(1, BLOCK_CELLS // max(centres.shape))
+
+        def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for lo in b.column(0).to_pylist():
+                    near = _nearest(shared.value[lo:lo + step], given.value).astype("<i4")
+                    yield pa.RecordBatch.from_arrays([pa.array([lo], pa.int64()), pa.array([near.tobytes()], pa.binary())], ["lo", "near"])
+
+        runs = spark.range(0, len(x), step, max(1, min(spark.sparkContext.defaultParallelism, -(-len(x) // step))))
+        got = runs.mapInArrow(label, "lo long, near binary").collect()  # four bytes a row
+        given.destroy()
+        return np.concatenate([np.frombuffer(r.near, "<i4") for r in sorted(got, key=lambda r: r.lo)])
+
+    return nearest
+
+
 def _train(spark: SparkSession, residuals: np.ndarray, m: int, seed: int) -> Quantiser:
     """One codebook of up to 256 centroids per sub-space; each is trained by its own task on the sample."""
     shared = spark.sparkContext.broadcast(residuals)
