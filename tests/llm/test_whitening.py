@@ -112,3 +112,18 @@ def test_result_does_not_depend_on_partitions(spark):
     a, b = (np.abs([r.whitened for r in whitening.whitened(emb.repartition(n)).orderBy("vec_id", "component").collect()]) for n in (1, 13))
     assert np.abs(a - b).max() < 1e-9
     assert whitening.whitened(emb).filter(F.col("identity_error") > 1e-4).count() == 0
+
+
+def test_one_chunk_is_added_in_one_partition(spark, monkeypatch):
+    frame, dealt = type(spark.range(0)), []
+    plain = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *by: dealt.append((n, by)) or plain(self, n, *by))
+    rng = np.random.default_rng(3)
+    x = rng.integers(-50, 50, (40, 600))
+    for dim in (5, 600):
+        fit = spark.createDataFrame([(bytearray(r[:dim].astype("<i4").tobytes()),) for r in x], "z binary").repartition(7)
+        dealt.clear()
+        mom = whitening.moments(fit, dim)
+        got = whitening.covariance_times(fit, dim, mom, np.eye(dim)[:, :4])
+        assert np.allclose(got, np.cov(x[:, :dim].T, bias=True)[:, :4])
+        assert dealt == [(1, ()), (1, ()) if dim == 5 else (2, ("chunk",))]

@@ -138,7 +138,10 @@ def added(partials, rows: int, columns: int, fit: DataFrame) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([c], pa.int32()), pa.array([m.tobytes()], pa.binary())], ["chunk", "m"])
 
     schema = "chunk int, m binary"
-    got = fit.mapInArrow(task, schema).repartition(chunks, "chunk").mapInArrow(add, schema).collect()
+    parts = fit.mapInArrow(task, schema)
+    # a single chunk needs no key: dealt by one, it could be spread over partitions that are empty but for it, and each starts a Python task
+    dealt = parts.repartition(1) if chunks == 1 else parts.repartition(chunks, "chunk")
+    got = dealt.mapInArrow(add, schema).collect()
     return np.concatenate([np.frombuffer(r.m, np.float64) for r in sorted(got, key=lambda r: r.chunk)]).reshape(rows, columns)
 
 
