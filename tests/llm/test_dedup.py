@@ -386,3 +386,28 @@ def test_a_passage_from_the_middle_of_a_cut_item_is_found(spark):
     docs = C.identified(spark.createDataFrame([(k, "x " + " ".join(words[k:k + 13]) + " y") for k in range(0, 480)], "doc_id long, text string"))
     found = posindex.phrase_matches(posindex.build_index(docs), bench, windows=40).collect()
     assert {r._uid: (r.starts, r.ends) for r in found} == {k: ([1], [14]) for k in range(480)}
+
+
+def test_a_family_posts_its_keys_once_per_block(spark):
+    """2,000 near copies share 46 of 48 keys; a second part holds 40 of them."""
+    common = np.arange(1000, 1046)
+    rows = [(i, 0, 0, np.concatenate([common, [10**6 + 2 * i, 10**6 + 2 * i + 1]])) for i in range(2000)]
+    rows += [(5000 + i, 0, 5000, np.concatenate([common[:40], np.arange(8) + 9000])) for i in range(3)]
+    rows += [(6000, 1, 6000, common), (6001, 1, 6000, common)]  # one part alone
+    rows += [(7000, 2, 7000, np.arange(48)), (7001, 2, 7001, np.concatenate([np.arange(20), np.arange(28) + 500]))]
+    df = spark.createDataFrame([(u, c, p, bytearray(k.astype("<i8").tobytes())) for u, c, p, k in rows],
+                               "_uid long, cluster long, part long, keys binary")
+
+    def held(least):
+        return {r._uid for r in minhash._held_elsewhere(df, least).collect()}
+
+    family = set(range(2000)) | {5000, 5001, 5002}
+    assert held(28) == held(40) == family
+    assert held(1) == held(20) == family | {7000, 7001}
+    assert held(41) == set()
+    blocks = df.selectExpr("*", "pmod(xxhash64(_uid), 4) AS block")
+    posted = minhash._block_keys(blocks)
+    assert posted.count() < 48 * 2007 / 10
+    low = {(r.cluster, r.key): (r.low, r.high) for r in posted.groupBy("cluster", "key").agg({"low": "min", "high": "max"})
+           .withColumnsRenamed({"min(low)": "low", "max(high)": "high"}).collect()}
+    assert low[0, 1000] == (0, 5000) and low[0, 1045] == (0, 0) and low[0, 9000] == (5000, 5000) and low[2, 3] == (7000, 7001)

@@ -40,6 +40,7 @@ from vexa.llm.components import connected_components
 
 WORD_BYTE = np.ones(256, bool)
 WORD_BYTE[[0x20, *range(0x09, 0x0E)]] = False
+HELD_ROWS = 512  # rows whose keys are posted together
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,21 +100,23 @@ def signatures(docs: DataFrame, words: int, coords: int) -> DataFrame:
     return docs.select(C.UID, "text").mapInArrow(run, "_uid long, n long, s1 long, s2 long, sig binary")
 
 
-def _postings(reps: DataFrame, coords: int, carried: list[str] | None = None) -> DataFrame:
-    """(_uid, key) and the long columns ``carried``: one row per coordinate; the key names coordinate and value."""
-    names = ["_uid", *(carried or [])]
+def _coordinate_keys(sig: pa.Array, coords: int) -> np.ndarray:
+    """Keys that name coordinate and value, ``coords`` for each signature."""
+    s, _ = C.ragged(sig, np.uint64)
+    return C.mix(s ^ np.tile(C.mix(np.arange(1, coords + 1, dtype=np.uint64)), len(sig)))
 
+
+def _postings(reps: DataFrame, coords: int) -> DataFrame:
+    """(_uid, key): one row per coordinate; the key names coordinate and value."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
-            sig, _ = C.ragged(b.column(len(names)), np.uint64)
-            key = C.mix(sig ^ np.tile(C.mix(np.arange(1, coords + 1, dtype=np.uint64)), b.num_rows)).view(np.int64)
-            cols = [np.repeat(C.longs(b, c), coords) for c in names] + [key]
-            for i in range(0, len(key), 1 << 18):
-                yield pa.RecordBatch.from_arrays([pa.array(c[i:i + (1 << 18)]) for c in cols], [*names, "key"])
+            cols = [np.repeat(C.longs(b, "_uid"), coords), _coordinate_keys(b.column(1), coords).view(np.int64)]
+            for i in range(0, len(cols[1]), 1 << 18):
+                yield pa.RecordBatch.from_arrays([pa.array(c[i:i + (1 << 18)]) for c in cols], ["_uid", "key"])
 
-    return reps.select(*names, "sig").mapInArrow(run, ", ".join(f"{c} long" for c in [*names, "key"]))
+    return reps.select("_uid", "sig").mapInArrow(run, "_uid long, key long")
 
 
 def prefixes(reps: DataFrame, coords: int, matches: int) -> DataFrame:
@@ -286,19 +289,67 @@ def verified_links(docs: DataFrame, reps: DataFrame, prefix: DataFrame, words: i
     several = part.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low <> high").select("cluster")
     part = C.save(part.join(several, "cluster", "left_semi"), "parts")
     # a link to another component needs a prefix key that occurs there, and enough of all keys
-    near = _held_elsewhere(prefix.join(part, "_uid").select("_uid", "cluster", "part", F.explode("keys").alias("key")), 1)
-    near = C.save(part.join(near, "_uid", "left_semi").join(reps.select("_uid", "sig"), "_uid"), "near")
-    enough = _held_elsewhere(_postings(near, coords, ["cluster", "part"]), matches)
+    near = C.save(part.join(open_rows.select("_uid", "keys", "sig"), "_uid"), "several")
+    near = near.join(_held_elsewhere(near.select("_uid", "cluster", "part", "keys"), 1), "_uid", "left_semi")
+    enough = _held_elsewhere(_all_keys(near, coords), matches)
     last = C.save(open_rows.join(enough, "_uid", "left_semi"), "open")
     return links.unionByName(_compared(last, part.select("_uid", "part"), "size", block_bytes, matches, ratio, crossing=True))
 
 
-def _held_elsewhere(posted: DataFrame, least: int) -> DataFrame:
-    """(_uid) of the rows of (_uid, cluster, part, key) with at least ``least`` keys that another part of the cluster holds too."""
-    mixed = (posted.groupBy("cluster", "key").agg(F.min("part").alias("low"), F.max("part").alias("high"))
+def _all_keys(rows: DataFrame, coords: int) -> DataFrame:
+    """(_uid, cluster, part, keys): the keys of all coordinates, packed."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            key = _coordinate_keys(b.column(3), coords)
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], C.binary_column(key.view(np.uint8), np.arange(b.num_rows + 1) * 8 * coords)],
+                                             ["_uid", "cluster", "part", "keys"])
+
+    return rows.select("_uid", "cluster", "part", "sig").mapInArrow(run, "_uid long, cluster long, part long, keys binary")
+
+
+def _block_keys(dealt: DataFrame) -> DataFrame:
+    """(cluster, block, key, low, high): each key once per block of rows (_uid, cluster, part, keys, block), with its least and largest part.
+    Near copies share most of their keys, so a family posts them once per block and not once per row."""
+    by = ["cluster", "block"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in C.by_group(batches, by):
+            keys, at = C.ragged(t.column("keys").combine_chunks(), np.uint64)
+            part = np.repeat(C.longs(t, "part"), np.diff(at))
+            order = np.lexsort((part, keys))
+            keys, part = keys[order], part[order]
+            cut = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
+            cols = [np.full(len(cut) - 1, t.column(c)[0].as_py(), np.int64) for c in by]
+            cols += [keys[cut[:-1]].view(np.int64), part[cut[:-1]], part[cut[1:] - 1]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], [*by, "key", "low", "high"])
+
+    dealt = dealt.repartition(C.shuffle_partitions(dealt.sparkSession), *by).sortWithinPartitions(*by)
+    return dealt.mapInArrow(run, "cluster long, block long, key long, low long, high long")
+
+
+def _held_elsewhere(rows: DataFrame, least: int) -> DataFrame:
+    """(_uid) of the rows (_uid, cluster, part, keys packed) with at least ``least`` keys that another part of the cluster holds too.
+
+    Rows are dealt to blocks of about ``HELD_ROWS``; keys travel once per block, those found in several parts go back to the blocks that hold them."""
+    by = ["cluster", "block"]
+    blocks = rows.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / F.lit(HELD_ROWS)).cast("long").alias("blocks"))
+    dealt = C.save(rows.join(blocks, "cluster").select("_uid", "cluster", "part", "keys", F.pmod(F.xxhash64("_uid"), "blocks").alias("block")), "dealt")
+    posted = C.save(_block_keys(dealt), "posted")
+    mixed = (posted.groupBy("cluster", "key").agg(F.min("low").alias("low"), F.max("high").alias("high"))
              .filter("low <> high").select("cluster", "key"))
-    return (posted.join(mixed, ["cluster", "key"], "left_semi").groupBy("_uid").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") >= least).select("_uid"))
+    back = posted.join(mixed, ["cluster", "key"], "left_semi").select("cluster", "block", F.col("key").alias("id"), F.lit(None).cast("binary").alias("keys"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in C.by_group(batches, by):
+            packed, ids = t.column("keys").combine_chunks(), C.longs(t, "id")
+            row = packed.is_valid().to_numpy(zero_copy_only=False)
+            keys, at = C.ragged(packed.filter(pa.array(row)), np.uint64)
+            held = np.isin(keys, ids[~row].view(np.uint64))
+            n = np.bincount(np.repeat(np.arange(len(at) - 1), np.diff(at)), weights=held, minlength=len(at) - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row][n >= least])], ["_uid"])
+
+    both = dealt.select("cluster", "block", F.col("_uid").alias("id"), "keys").unionByName(back)
+    return both.repartition(C.shuffle_partitions(rows.sparkSession), *by).sortWithinPartitions(*by).mapInArrow(run, "_uid long")
 
 
 def _parts_of(rows: DataFrame, links: DataFrame) -> DataFrame:
